@@ -165,7 +165,7 @@ oracle("text_forms", f"""{BASE} SELECT row_index, {strip('client_name')} AS stri
 oracle("document_name_keys", f"""SELECT doc_id, md5({collapse('text')}) AS collapsed_md5, CAST(length({strip('text')}) AS INT) AS stripped_length FROM documents""")
 oracle("parsed_dates", f"""{DATED} SELECT row_index, strftime(ia, '%Y-%m-%d %H:%M:%S') AS intake_at, strftime(ca, '%Y-%m-%d %H:%M:%S') AS closure_at,
   strftime(ta, '%Y-%m-%d %H:%M:%S') AS triage_at, dur AS duration_days, strftime(ia, '%Y-%m') AS intake_month,
-  CAST(datediff('day', DATE '0001-01-01', CAST(ia AS DATE)) + 1 AS BIGINT) AS intake_ordinal FROM timed""")
+  CAST(coalesce(datediff('day', DATE '0001-01-01', CAST(ia AS DATE)) + 1, 0) AS BIGINT) AS intake_ordinal FROM timed""")
 oracle("coerced_cells", f"""{BASE} SELECT row_index, {number('contact_count')} AS contacts, {_FLAG} AS triaged FROM cases""")
 
 # --- normalization ---------------------------------------------------------------------------

@@ -27,7 +27,7 @@ def _run(spark: SparkSession, folder: str) -> Assessment:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _PLANS:
         _PLANS[key] = assess(cases_view(spark, folder))
-    return _PLANS[key]
+    return _PLANS[key].fresh()
 
 
 def _raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,7 +81,7 @@ def parsed_dates(spark, folder):
         *[_days(f"{k}_at").alias(f"{k}_at") for k in ("intake", "closure", "triage")],
         dates.duration_days("intake_at", "closure_at").alias("duration_days"),
         dates.month_key("intake_at").alias("intake_month"),
-        dates.ordinal_day("intake_at").cast("long").alias("intake_ordinal"),
+        F.coalesce(dates.ordinal_day("intake_at"), F.lit(0)).cast("long").alias("intake_ordinal"),
     )
 
 
@@ -443,12 +443,12 @@ def data_health(spark, folder):
 
 @register
 def monthly_trend(spark, folder):
-    return _rounded(reports.monthly_trend(_run(spark, folder).cleaning.cleaned))
+    return _rounded(reports.monthly_trend(_closed(spark, folder)))
 
 
 @register
 def category_spread(spark, folder):
-    return _rounded(reports.category_spread(_run(spark, folder).cleaning.cleaned))
+    return _rounded(reports.category_spread(_closed(spark, folder)))
 
 
 @register
@@ -463,12 +463,12 @@ def dispositions(spark, folder):
 
 @register
 def triage_boxes(spark, folder):
-    return _rounded(reports.triage_boxes(_run(spark, folder).cleaning.cleaned))
+    return _rounded(reports.triage_boxes(_closed(spark, folder)))
 
 
 @register
 def category_triage_means(spark, folder):
-    return _rounded(reports.category_triage_means(_run(spark, folder).cleaning.cleaned))
+    return _rounded(reports.category_triage_means(_closed(spark, folder)))
 
 
 @register
@@ -484,12 +484,12 @@ def censoring_by_month(spark, folder):
 
 @register
 def category_mix_by_month(spark, folder):
-    return _rounded(reports.category_mix_by_month(_run(spark, folder).cleaning.cleaned))
+    return _rounded(reports.category_mix_by_month(_closed(spark, folder)))
 
 
 @register
 def sparse_cells(spark, folder):
-    return reports.sparse_cells(_run(spark, folder).cleaning.cleaned)
+    return reports.sparse_cells(_closed(spark, folder))
 
 
 __all__ = ["QUERIES", "vocab"]

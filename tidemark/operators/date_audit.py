@@ -80,8 +80,9 @@ def date_audit_summary(audited: DataFrame) -> DataFrame:
     )
     valid = audited.where(F.col("is_valid") & (F.col("duration_days") >= 0))
     spread = segment_stats(ranked_values(valid, "duration_days", width=365.0))
-    return counters.select(
-        "*",
-        spread.select(F.bround("mean", 2)).scalar().alias("mean_duration_days"),
-        spread.select(F.bround("median", 2)).scalar().alias("median_duration_days"),
+    middle = spread.select(F.struct(F.bround("mean", 2).alias("mean"), F.bround("median", 2).alias("median"))).scalar()
+    return counters.withColumn("_middle", middle).select(
+        *counters.columns,
+        F.col("_middle.mean").alias("mean_duration_days"),
+        F.col("_middle.median").alias("median_duration_days"),
     )

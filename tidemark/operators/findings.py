@@ -46,7 +46,8 @@ def _attach(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     """Join two one-row-per-segment tables."""
     if by:
         return left.join(right, list(by), "left")
-    return left.select("*", *[right.select(c).scalar().alias(c) for c in right.columns])
+    row = right.select(F.struct(*right.columns)).scalar()
+    return left.withColumn("_row", row).select(*left.columns, *[F.col(f"_row.{c}").alias(c) for c in right.columns])
 
 
 def trend_finding(closed: DataFrame, by: Sequence[str] = ()) -> DataFrame:

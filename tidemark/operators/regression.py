@@ -115,12 +115,11 @@ def factor_regression(
     else:
         table = fitted.withColumns(
             {
-                "n": whole.select("n").scalar(),
-                "tss": whole.select("tss").scalar(),
+                "whole": whole.select(F.struct("n", "tss")).scalar(),
                 "levels": level_count.scalar(),
                 "inner_tss": inner_total.scalar(),
             }
-        )
+        ).select("inner_rank", "inner_ess", "whole.*", "levels", "inner_tss")
     model_df = F.col("levels") - 1 + F.col("inner_rank")
     resid_df = F.col("n") - 1 - model_df
     rss = F.greatest(F.col("inner_tss") - F.col("inner_ess"), F.lit(0.0))

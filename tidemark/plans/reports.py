@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import CleaningResult
-from tidemark.operators.findings import closed_cases, monthly_cohorts, urgent_cases
+from tidemark.operators.findings import monthly_cohorts, urgent_cases
 from tidemark.operators.stats import box_stats, group_breakdown
 
 
@@ -16,19 +16,19 @@ def _with_error_band(stats: DataFrame) -> DataFrame:
     return stats.withColumn("std_err", error).withColumn("lower", F.col("mean") - error).withColumn("upper", F.col("mean") + error)
 
 
-def monthly_trend(cleaned: DataFrame) -> DataFrame:
+def monthly_trend(closed: DataFrame) -> DataFrame:
     """Per month: count, mean, median, error band, month index and the trend of the monthly means."""
-    cohorts = _with_error_band(monthly_cohorts(closed_cases(cleaned)))
+    cohorts = _with_error_band(monthly_cohorts(closed))
     # One row per month: this window runs over the aggregate, never over cases.
     indexed = cohorts.withColumn("month_idx", F.row_number().over(Window.orderBy("intake_month")) - 1)
-    line = indexed.agg(F.regr_slope("mean", "month_idx").alias("slope"), F.regr_intercept("mean", "month_idx").alias("intercept"))
-    slope, intercept = line.select("slope").scalar(), line.select("intercept").scalar()
+    every = Window.partitionBy()
+    slope, intercept = F.regr_slope("mean", "month_idx").over(every), F.regr_intercept("mean", "month_idx").over(every)
     return indexed.withColumn("trend_mean", slope * F.col("month_idx") + intercept).orderBy("month_idx")
 
 
-def category_spread(cleaned: DataFrame) -> DataFrame:
+def category_spread(closed: DataFrame) -> DataFrame:
     """Categories by median duration, longest first, with mean ± SE."""
-    stats = group_breakdown(closed_cases(cleaned), "duration_days", ["category"])
+    stats = group_breakdown(closed, "duration_days", ["category"])
     return _with_error_band(stats).orderBy(F.desc("median"), "category")
 
 
@@ -56,17 +56,17 @@ def lifecycle_funnel(result: CleaningResult) -> DataFrame:
 def dispositions(result: CleaningResult) -> DataFrame:
     """Rows by outcome: clean, quarantined, merged."""
     counts = result.flagged.groupBy("disposition").agg(F.count("*").alias("rows"))
-    total = counts.agg(F.sum("rows")).scalar()
+    total = F.sum("rows").over(Window.partitionBy())  # over the three outcomes
     return counts.withColumn("pct", F.bround(F.col("rows") / total * 100, 1))
 
 
-def triage_boxes(cleaned: DataFrame) -> DataFrame:
-    return box_stats(urgent_cases(closed_cases(cleaned)), "duration_days", ["triaged"])
+def triage_boxes(closed: DataFrame) -> DataFrame:
+    return box_stats(urgent_cases(closed), "duration_days", ["triaged"])
 
 
-def category_triage_means(cleaned: DataFrame) -> DataFrame:
+def category_triage_means(closed: DataFrame) -> DataFrame:
     """Mean urgent duration per category, one column per triage state, 0 where there is none."""
-    rows = urgent_cases(closed_cases(cleaned))
+    rows = urgent_cases(closed)
     return rows.groupBy("category").agg(
         F.coalesce(F.avg(F.when(~F.col("triaged"), F.col("duration_days"))), F.lit(0.0)).alias("not_triaged"),
         F.coalesce(F.avg(F.when(F.col("triaged"), F.col("duration_days"))), F.lit(0.0)).alias("triaged"),
@@ -96,16 +96,14 @@ def censoring_by_month(cleaned: DataFrame) -> DataFrame:
     ).withColumn("open_share", F.col("open_cases") / F.col("cases"))
 
 
-def category_mix_by_month(cleaned: DataFrame) -> DataFrame:
+def category_mix_by_month(closed: DataFrame) -> DataFrame:
     """Cases and share per month and category: a drift here can pass for a trend in durations."""
-    counts = (
-        closed_cases(cleaned).groupBy("intake_month", "category").agg(F.count("*").alias("cases"))
-    )
+    counts = closed.groupBy("intake_month", "category").agg(F.count("*").alias("cases"))
     whole = F.sum("cases").over(Window.partitionBy("intake_month"))
     return counts.withColumn("share", F.col("cases") / whole)
 
 
-def sparse_cells(cleaned: DataFrame, minimum: int = 30) -> DataFrame:
+def sparse_cells(closed: DataFrame, minimum: int = 30) -> DataFrame:
     """Category × priority cells too small to model an interaction."""
-    counts = closed_cases(cleaned).groupBy("category", "priority").agg(F.count("*").alias("cases"))
+    counts = closed.groupBy("category", "priority").agg(F.count("*").alias("cases"))
     return counts.withColumn("too_small", F.col("cases") < minimum)

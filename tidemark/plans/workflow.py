@@ -3,29 +3,43 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from tidemark import vocab
 from tidemark.operators import confidence, findings, rules
 from tidemark.operators.cleaning import CleaningResult, clean
+from tidemark.session import ensure_checkpoint_dir
+
+
+ANALYSIS_COLUMNS = [
+    "row_index", "category", "priority", "triaged", "contact_count", "assigned_agent", "duration_days", "intake_month", "intake_ordinal",
+]
 
 
 @dataclass(frozen=True)
 class Assessment:
-    """Lazy tables of a full run; each is a DataFrame."""
+    """Tables of a full run. Everything is lazy but ``closed``, which all findings read many times."""
 
     raw: DataFrame
     cleaning: CleaningResult
     hits: DataFrame
 
+    def fresh(self) -> Assessment:
+        """The same plans with nothing computed yet."""
+        return Assessment(self.raw, self.cleaning, self.hits)
+
     @property
     def quality(self) -> DataFrame:
         return rules.quality_score(self.hits)
 
-    @property
+    @cached_property
     def closed(self) -> DataFrame:
-        return findings.closed_cases(self.cleaning.cleaned)
+        """Closed cases, model columns only, kept in the checkpoint folder: cleaned once, asked often."""
+        ensure_checkpoint_dir(self.raw.sparkSession)
+        closed = findings.closed_cases(self.cleaning.cleaned)
+        return closed.select(*[c for c in ANALYSIS_COLUMNS if c in closed.columns]).checkpoint()
 
     @property
     def trend(self) -> DataFrame:
@@ -41,12 +55,16 @@ class Assessment:
 
     @property
     def scorecard(self) -> DataFrame:
-        counts = self.cleaning.summary
+        facts = self.cleaning.summary.select("initial_rows", "final_rows").withColumn(
+            "quality_score", self.quality.select("quality_score").scalar()
+        )
+        ensure_checkpoint_dir(self.raw.sparkSession)
+        facts = facts.checkpoint()  # one row that all three cards read
         return confidence.scorecard(
             self.trend, self.drivers, self.triage, findings.triage_crosstab(self.closed),
-            self.quality.select("quality_score").scalar(),
-            counts.select("initial_rows").scalar(),
-            counts.select("final_rows").scalar(),
+            facts.select("quality_score").scalar(),
+            facts.select("initial_rows").scalar(),
+            facts.select("final_rows").scalar(),
         )
 
 
