@@ -1,0 +1 @@
+"""Readers, row identity and writers."""
