@@ -128,7 +128,7 @@ def factor_regression(
         .withColumn("resid_df", resid_df)
         .withColumn("r2", 1 - F.try_divide(rss, F.col("tss")))
         .withColumn("adj_r2", 1 - (1 - F.col("r2")) * F.try_divide(F.col("n") - 1, F.col("resid_df")))
-        .withColumn("f_stat", F.try_divide(F.col("r2") / F.col("model_df"), (1 - F.col("r2")) / F.col("resid_df")))
+        .withColumn("f_stat", F.try_divide(F.try_divide("r2", "model_df"), F.try_divide(1 - F.col("r2"), F.col("resid_df"))))
         .withColumn("f_p", f_p(F.col("f_stat"), F.col("model_df").cast("double"), F.col("resid_df").cast("double")))
         .select(*by, "n", "model_df", "resid_df", "r2", "adj_r2", "f_stat", "f_p")
     )

@@ -136,13 +136,13 @@ def two_arm_tests(df: DataFrame, value: str, arm: Column, by: Sequence[str] = ()
     else:
         wide = wide.withColumn("ties", tied.scalar()).withColumn("rank_sum", rank_sum.scalar())
     n1, n2 = F.col("count_1").cast("double"), F.col("count_2").cast("double")
-    se1, se2 = F.col("std_1") * F.col("std_1") / n1, F.col("std_2") * F.col("std_2") / n2
+    se1, se2 = F.try_divide(F.col("std_1") * F.col("std_1"), n1), F.try_divide(F.col("std_2") * F.col("std_2"), n2)
     return (
         wide.fillna(0, ["count_1", "count_2"])
         .withColumn("u_stat", F.when((n1 > 0) & (n2 > 0), F.col("rank_sum") - n1 * (n1 + 1) / 2))
         .withColumn("u_p", rank_sum_p(F.col("u_stat"), n1, n2, F.col("ties")))
         .withColumn("welch_t", F.try_divide(F.col("mean_1") - F.col("mean_2"), F.sqrt(se1 + se2)))
-        .withColumn("welch_df", F.try_divide((se1 + se2) * (se1 + se2), se1 * se1 / (n1 - 1) + se2 * se2 / (n2 - 1)))
+        .withColumn("welch_df", F.try_divide((se1 + se2) * (se1 + se2), F.try_divide(se1 * se1, n1 - 1) + F.try_divide(se2 * se2, n2 - 1)))
         .withColumn("welch_p", student_p("welch_t", "welch_df"))
         .drop("rank_sum", "ties")
     )
