@@ -78,8 +78,8 @@ def date_audit_summary(audited: DataFrame) -> DataFrame:
             F.col("parsed_intake").isNotNull() & F.col("parsed_closure").isNull() & ~has("INVALID_CLOSURE_FORMAT")
         ).alias("open_cases_count"),
     )
-    valid = audited.where(F.col("is_valid") & (F.col("duration_days") >= 0))
-    spread = segment_stats(ranked_values(valid, "duration_days", width=365.0))
+    usable = F.when(F.col("is_valid") & (F.col("duration_days") >= 0), F.col("duration_days"))
+    spread = segment_stats(ranked_values(audited, usable, width=365.0))
     middle = spread.select(F.struct(F.bround("mean", 2).alias("mean"), F.bround("median", 2).alias("median"))).scalar()
     return counters.withColumn("_middle", middle).select(
         *counters.columns,
