@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing, pii, quality, sharding, simhash
+from tidemark.llm import chat, licenses, mixing, packing, pii, quality, sharding, simhash, substrings, topk
 from tidemark.llm.common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,11 @@ def register(function):
     return function
 
 
+@register
+def op1_perspective_rotation(spark, sf_dir):
+    return chat.rotate(read_table(spark, sf_dir, "conversations"))
+
+
 @register
 def op2_best_fit_packing(spark, sf_dir):
     return packing.pack(read_table(spark, sf_dir, "documents"))
@@ -49,15 +54,30 @@ def op5_disclosure_sanitiser(spark, sf_dir):
     return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+@register
+def op6_template_automata(spark, sf_dir):
+    return licenses.scan_documents(read_table(spark, sf_dir, "documents")).drop("matches")
+
+
 @register
 def op7_simhash_bit_sliced(spark, sf_dir):
     rows = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return rows.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+@register
+def op8_super_kmers(spark, sf_dir):
+    return substrings.report(read_table(spark, sf_dir, "documents"))
+
+
 @register
 def op9_rule_cascade(spark, sf_dir):
     rows = quality.judge_documents(read_table(spark, sf_dir, "documents"))
     words, repeated = F.col("n_words"), F.col("n_repeat_words")
     base_failed = (words < 50) | (100 * repeated > 50 * words)
     return rows.select("doc_id", *quality.COUNTS, base_failed.alias("base_failed"), "kept")
+
+
+@register
+def op10_threshold_top_k(spark, sf_dir):
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
