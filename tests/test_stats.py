@@ -89,3 +89,44 @@ def test_sparse_data_cannot_answer(spark):
     closed = findings.closed_cases(cleaned)
     for finding in (findings.trend_finding, findings.driver_finding, findings.triage_finding):
         assert finding(closed).first().verdict == "CANNOT ANSWER"
+
+
+def test_rank_sum_does_not_jump_with_the_larger_arm():
+    small, one_more = (tails.rank_sum_two_sided(0.0, 8.0, n, 0.0) for n in (1_250_000.0, 1_250_001.0))
+    assert small == pytest.approx(1.3528757e-44, rel=1e-6) and one_more == pytest.approx(small, rel=1e-4)
+    assert tails.rank_sum_two_sided(5.1e6, 2.0, 5_100_000.0, 0.0) == pytest.approx(tails.rank_sum_two_sided(4e6, 2.0, 4_000_000.0, 0.0), rel=1e-3)
+
+
+def test_tails_keep_their_digits_with_many_degrees_of_freedom():
+    for df in (1e8, 1e10, 1e12):
+        assert tails.student_two_sided(2.0, df) == pytest.approx(math.erfc(math.sqrt(2.0)), rel=1e-7)
+    assert tails.student_two_sided(8.5, 1e12) == pytest.approx(math.erfc(8.5 / math.sqrt(2.0)), rel=1e-7)
+
+
+def test_perfect_fit_is_significant(spark):
+    df = spark.createDataFrame([(float(i), 2.0 * i, 5.0) for i in range(20)], "x double, y double, flat double")
+    assert stats.linear_trend(df, F.col("x"), F.col("y")).first().p_value == 0.0
+    flat = stats.linear_trend(df, F.col("x"), F.col("flat")).first()
+    assert flat.slope == 0 and flat.p_value != 0.0
+
+
+def test_null_segments_are_segments(spark):
+    data = [(s, g, v, 2.0 * v) for s in ("a", None) for g, v in [("x", 1.0), ("x", 2.0), ("y", 3.0), ("y", 4.0)]]
+    df = spark.createDataFrame(data, "s string, g string, v double, w double")
+    for table in (
+        stats.kruskal_wallis(df, "v", "g", ["s"]),
+        stats.spearman(df, "v", "w", ["s"]),
+        stats.box_stats(df, "v", ["s"]),
+        stats.two_arm_tests(df, "v", F.col("g") == "x", ["s"]),
+        stats.linear_trend(df, F.col("v"), F.col("w"), ["s"]),
+    ):
+        rows = [tuple(r[1:]) for r in table.collect()]
+        assert len(rows) == 2 and rows[0] == rows[1]
+
+
+def test_rows_without_an_arm_or_group_are_left_out(spark):
+    data = [(True, 1.0), (True, 2.0), (False, 3.0), (False, 4.0)]
+    df = spark.createDataFrame([*data, (None, 0.5), (None, 0.6), (None, 0.7)], "arm boolean, v double")
+    got = stats.two_arm_tests(df, "v", F.col("arm")).first()
+    assert got.u_stat == 0.0 and (got.count_1, got.count_2) == (2, 2)
+    assert stats.kruskal_wallis(df, "v", "arm").first().n == 4

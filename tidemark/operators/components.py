@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.keyed import with_key_stats
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import stored_table
 
 
 def _star(pairs: DataFrame, larger_only: bool) -> DataFrame:
@@ -24,24 +24,22 @@ def _star(pairs: DataFrame, larger_only: bool) -> DataFrame:
     return linked.where(F.col("u") != F.col("v")).distinct()
 
 
-def connected_components(edges: DataFrame, left: str = "index_a", right: str = "index_b", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, left: str = "index_a", right: str = "index_b") -> DataFrame:
     """(member, canonical): every node that has an edge, with the smallest node of its component.
 
-    Each round's edges go to the shared checkpoint folder, which cuts the lineage and survives the
-    loss of an executor; the driver sees two numbers per round.
+    Rounds go on until one changes nothing; their number is logarithmic in the longest path. Each round's
+    edges are a table in the shared checkpoint folder, which cuts the lineage and survives the loss of an
+    executor; the round before it is deleted then. The driver sees two numbers per round.
     """
-    ensure_checkpoint_dir(edges.sparkSession)
     ends = edges.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v"))
-    current = ends.where(F.col("u") != F.col("v")).distinct().checkpoint()
-    seen = None
-    for _ in range(max_rounds):
-        both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        current = _star(_star(both, larger_only=True), larger_only=False).checkpoint()
-        state = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    current, seen = stored_table(ends.where(F.col("u") != F.col("v")).distinct()), None
+    while True:
+        state = current.table.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(state) == seen:
             break
-        seen = tuple(state)
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    members = current.select(F.col("u").alias("member"), F.col("v").alias("canonical"))
+        seen, last = tuple(state), current
+        both = last.table.union(last.table.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        current = stored_table(_star(_star(both, larger_only=True), larger_only=False))
+        last.delete()
+    members = current.table.select(F.col("u").alias("member"), F.col("v").alias("canonical"))
     return members.union(members.select(F.col("canonical").alias("member"), "canonical").distinct())

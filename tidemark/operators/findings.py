@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark import vocab
 from tidemark.functions.dates import month_key, ordinal_day
+from tidemark.operators.ranks import join_by
 from tidemark.operators.regression import factor_regression
 from tidemark.operators.stats import DURATION_WIDTH, group_breakdown, kruskal_wallis, linear_trend, spearman, two_arm_tests
 
@@ -39,13 +40,13 @@ def complete_cases(closed: DataFrame) -> DataFrame:
 
 def monthly_cohorts(closed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """count, mean, median and std of durations per intake month (unrounded)."""
-    return group_breakdown(closed, "duration_days", [*by, "intake_month"])
+    return group_breakdown(closed, "duration_days", [*by, "intake_month"], DURATION_WIDTH)
 
 
 def _attach(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     """Join two one-row-per-segment tables."""
     if by:
-        return left.join(right, list(by), "left")
+        return join_by(left, right, by, how="left")
     row = right.select(F.struct(*right.columns)).scalar()
     return left.withColumn("_row", row).select(*left.columns, *[F.col(f"_row.{c}").alias(c) for c in right.columns])
 
@@ -87,18 +88,20 @@ def trend_finding(closed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def category_durations(closed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return group_breakdown(complete_cases(closed), "duration_days", [*by, "category"])
+    """Durations per category of each segment, slowest first."""
+    return group_breakdown(complete_cases(closed), "duration_days", [*by, "category"], DURATION_WIDTH).orderBy(*by, F.desc("mean"), "category")
 
 
 def priority_durations(closed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return group_breakdown(complete_cases(closed), "duration_days", [*by, "priority"])
+    """Durations per priority of each segment, slowest first."""
+    return group_breakdown(complete_cases(closed), "duration_days", [*by, "priority"], DURATION_WIDTH).orderBy(*by, F.desc("mean"), "priority")
 
 
 def driver_finding(closed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Q2: Kruskal–Wallis over categories, Spearman with contacts, the full regression, extreme groups."""
     by = list(by)
     rows = complete_cases(closed)
-    kw = kruskal_wallis(rows, "duration_days", "category", by).select(
+    kw = kruskal_wallis(rows, "duration_days", "category", by, DURATION_WIDTH).select(
         *by, "n", F.col("h_stat"), F.col("p_value").alias("kw_p"))
     rho = spearman(rows, "contact_count", "duration_days", by, x_width=1000.0, y_width=DURATION_WIDTH).select(
         *by, "rho", F.col("p_value").alias("spearman_p"))
@@ -138,7 +141,7 @@ def triage_crosstab(closed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def triage_finding(closed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Q3: triaged against untriaged urgent cases."""
     by = list(by)
-    tests = two_arm_tests(urgent_cases(closed), "duration_days", F.col("triaged"), by)
+    tests = two_arm_tests(urgent_cases(closed), "duration_days", F.col("triaged"), by, DURATION_WIDTH)
     mean_1, mean_2 = F.bround("mean_1", 2), F.bround("mean_2", 2)
     n1, n2 = F.col("count_1"), F.col("count_2")
     able = (n1 + n2 >= 10) & (n1 > 0) & (n2 > 0)
@@ -153,6 +156,7 @@ def triage_finding(closed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.bround(mean_2 - mean_1, 2).alias("mean_difference_days"),
         F.when(mean_2 > 0, F.bround((mean_2 - mean_1) / mean_2 * 100, 2)).otherwise(F.lit(0.0)).alias("percentage_reduction"),
         F.col("u_stat").alias("mann_whitney_u"), F.col("u_p").alias("mann_whitney_p"),
+        (F.col("u_p") < 0.05).alias("significant"),
         F.bround("welch_t", 3).alias("welch_t_stat"), F.col("welch_p").alias("welch_t_p"),
         F.when(~able, CANNOT_ANSWER).when(works, "YES").otherwise("MODERATE / INCONCLUSIVE EFFECT").alias("verdict"),
         F.when(~able, CANNOT_ANSWER)

@@ -21,6 +21,17 @@ ONE_BUCKET_LIMIT = 100_000
 _EDGES = 256
 
 
+def join_by(left: DataFrame, right: DataFrame, by: Sequence[str], on: Sequence[str] = (), how: str = "inner") -> DataFrame:
+    """Join on segment columns ``by``, where NULL is a segment like any other, and never-NULL columns ``on``."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in by or c in on else F.col(c) for c in right.columns])
+    same = F.lit(True)
+    for name in on:
+        same = same & (F.col(name) == F.col(f"_r_{name}"))
+    for name in by:
+        same = same & F.col(name).eqNullSafe(F.col(f"_r_{name}"))
+    return left.join(renamed, same, how).drop(*[f"_r_{c}" for c in (*by, *on)])
+
+
 def count_values(df: DataFrame, value: Column | str, by: Sequence[str] = ()) -> DataFrame:
     """(by…, value, n) over the non-NULL values: the only step that reads the rows."""
     column = F.col(value) if isinstance(value, str) else value
@@ -39,8 +50,8 @@ def _bucketed(counts: DataFrame, by: list[str], width: float | None) -> DataFram
     sizes = counts.groupBy(*by).agg(F.count("*").alias("d")).where(F.col("d") > ONE_BUCKET_LIMIT)
     chosen = F.pmod(F.xxhash64("value"), F.ceil(F.col("d") / _EDGES)) == 0
     if by:
-        edges = counts.join(sizes, by).where(chosen).groupBy(*by).agg(F.array_sort(F.collect_list("value")).alias("edges"))
-        placed = counts.join(edges, by, "left")
+        edges = join_by(counts, sizes, by).where(chosen).groupBy(*by).agg(F.array_sort(F.collect_list("value")).alias("edges"))
+        placed = join_by(counts, edges, by, how="left")
     else:
         edges = counts.withColumn("d", sizes.scalar()).where(chosen).agg(F.array_sort(F.collect_list("value")))
         placed = counts.withColumn("edges", edges.scalar())

@@ -12,15 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.tails import chi2_p, f_p, rank_sum_p, student_p
-from tidemark.operators.ranks import count_values, rank_counts, ranked_values, sample_std, segment_stats
+from tidemark.operators.ranks import count_values, join_by, rank_counts, ranked_values, sample_std, segment_stats
 
 DURATION_WIDTH = 365.0
 
 
-def _same(by: Sequence[str], *extra: str) -> list[str]:
-    return [*by, *extra]
-
-
 def linear_trend(df: DataFrame, x: Column, y: Column, by: Sequence[str] = ()) -> DataFrame:
     """Ordinary least squares of y on x: n, slope, intercept, r2, std_err, t, p_value."""
     sums = (
@@ -37,27 +33,29 @@ def linear_trend(df: DataFrame, x: Column, y: Column, by: Sequence[str] = ()) ->
     )
     df_ = F.col("n") - 2
     err = F.when((df_ > 0) & (F.col("sxx") > 0), F.sqrt((1 - F.col("r2")) * F.col("syy") / F.col("sxx") / df_))
+    # A perfect fit has no error, hence no finite t; a flat line isn't a trend.
+    exact = (df_ > 0) & (F.col("std_err") == 0) & (F.col("slope") != 0)
     return (
         sums.withColumn("std_err", err)
         .withColumn("t", F.try_divide("slope", "std_err"))
-        .withColumn("p_value", student_p(F.col("t"), df_.cast("double")))
+        .withColumn("p_value", F.when(exact, F.lit(0.0)).otherwise(student_p(F.col("t"), df_.cast("double"))))
         .drop("sxx", "syy")
     )
 
 
-def group_breakdown(df: DataFrame, value: str, by: Sequence[str], width: float | None = DURATION_WIDTH) -> DataFrame:
+def group_breakdown(df: DataFrame, value: str, by: Sequence[str], width: float | None = None) -> DataFrame:
     """count, mean, median and sample standard deviation per group."""
     return segment_stats(ranked_values(df, value, by, width), by)
 
 
-def kruskal_wallis(df: DataFrame, value: str, group: str, by: Sequence[str] = (), width: float | None = DURATION_WIDTH) -> DataFrame:
-    """Tie-corrected H with its chi-square tail; a single group gives H = 0 and p = 1."""
+def kruskal_wallis(df: DataFrame, value: str, group: str, by: Sequence[str] = (), width: float | None = None) -> DataFrame:
+    """Tie-corrected H with its chi-square tail; a single group gives H = 0 and p = 1. Rows without a group are left out."""
     by = list(by)
-    cells = count_values(df, value, [*by, group]).withColumnRenamed("n", "cell_n")
+    cells = count_values(df.where(F.col(group).isNotNull()), value, [*by, group]).withColumnRenamed("n", "cell_n")
     pooled = cells.groupBy(*by, "value").agg(F.sum("cell_n").alias("n"))
     ranked = rank_counts(pooled, by, width).withColumn("ties", F.pow(F.col("n").cast("double"), F.lit(3)) - F.col("n"))
     sums = (
-        cells.join(ranked.drop("mean"), _same(by, "value"))
+        join_by(cells, ranked.select(*by, "value", "mid_rank", "total"), by, ["value"])
         .groupBy(*by, group)
         .agg(F.sum("cell_n").alias("size"), F.sum(F.col("cell_n") * F.col("mid_rank")).alias("rank_sum"), F.max("total").alias("total"))
     )
@@ -65,11 +63,11 @@ def kruskal_wallis(df: DataFrame, value: str, group: str, by: Sequence[str] = ()
     tested = sums.groupBy(*by).agg(
         F.max("total").alias("n"),
         F.count("*").alias("groups"),
-        F.sum(F.col("rank_sum") * F.col("rank_sum") / F.col("size")).alias("spread"),
+        F.sum(F.col("size") * F.pow(F.col("rank_sum") / F.col("size") - (F.col("total") + 1) / F.lit(2.0), F.lit(2))).alias("spread"),
     )
-    tested = tested.join(tied, by) if by else tested.withColumn("ties", tied.scalar())
+    tested = join_by(tested, tied, by) if by else tested.withColumn("ties", tied.scalar())
     n = F.col("n").cast("double")
-    raw = F.lit(12.0) / (n * (n + 1)) * F.col("spread") - 3 * (n + 1)
+    raw = F.lit(12.0) / (n * (n + 1)) * F.col("spread")
     corrected = F.try_divide(raw, 1 - F.col("ties") / (n * n * n - n))
     return (
         tested.withColumn("h_stat", F.when(F.col("groups") > 1, corrected).otherwise(F.lit(0.0)))
@@ -96,7 +94,7 @@ def spearman(
         off = F.col("mid_rank") - (F.col("total") + F.lit(1)) / F.lit(2.0)
         return ranked.select(*by, F.col("value").alias(side), off.alias(f"{side}_off"), F.col("total").alias(f"{side}_total"))
 
-    joined = cells.join(ranks("x", x_width), _same(by, "x")).join(ranks("y", y_width).drop("y_total"), _same(by, "y"))
+    joined = join_by(join_by(cells, ranks("x", x_width), by, ["x"]), ranks("y", y_width).drop("y_total"), by, ["y"])
     sums = joined.groupBy(*by).agg(
         F.max("x_total").alias("n"),
         F.sum(F.col("cell_n") * F.col("x_off") * F.col("y_off")).alias("sxy"),
@@ -109,18 +107,18 @@ def spearman(
     return sums.withColumn("rho", rho).withColumn("p_value", p).select(*by, "n", "rho", "p_value")
 
 
-def two_arm_tests(df: DataFrame, value: str, arm: Column, by: Sequence[str] = (), width: float | None = DURATION_WIDTH) -> DataFrame:
+def two_arm_tests(df: DataFrame, value: str, arm: Column, by: Sequence[str] = (), width: float | None = None) -> DataFrame:
     """Mann–Whitney U (of the first arm) and Welch t between two arms, with the arms' summaries.
 
-    ``arm`` is a boolean: true rows are arm 1, false rows arm 2.
+    ``arm`` is a boolean: true rows are arm 1, false rows arm 2; rows without an arm are left out.
     """
     by = list(by)
-    cells = count_values(df.withColumn("arm", arm), value, [*by, "arm"]).withColumnRenamed("n", "cell_n")
+    cells = count_values(df.withColumn("arm", arm).where(F.col("arm").isNotNull()), value, [*by, "arm"]).withColumnRenamed("n", "cell_n")
     pooled = cells.groupBy(*by, "value").agg(F.sum("cell_n").alias("n"))
     ranked = rank_counts(pooled, by, width)
     tied = ranked.groupBy(*by).agg(F.sum(F.pow(F.col("n").cast("double"), F.lit(3)) - F.col("n")).alias("ties"))
     rank_sum = (
-        cells.where(F.col("arm")).join(ranked.select(*by, "value", "mid_rank"), _same(by, "value"))
+        join_by(cells.where(F.col("arm")), ranked.select(*by, "value", "mid_rank"), by, ["value"])
         .groupBy(*by).agg(F.sum(F.col("cell_n") * F.col("mid_rank")).alias("rank_sum"))
     )
     arms = rank_counts(cells.withColumnRenamed("cell_n", "n"), [*by, "arm"], width)
@@ -132,7 +130,7 @@ def two_arm_tests(df: DataFrame, value: str, arm: Column, by: Sequence[str] = ()
 
     wide = summary.groupBy(*by).agg(*[of(f, c) for f in (True, False) for c in ("count", "mean", "median", "std")])
     if by:
-        wide = wide.join(tied, by, "left").join(rank_sum, by, "left")
+        wide = join_by(join_by(wide, tied, by, how="left"), rank_sum, by, how="left")
     else:
         wide = wide.withColumn("ties", tied.scalar()).withColumn("rank_sum", rank_sum.scalar())
     n1, n2 = F.col("count_1").cast("double"), F.col("count_2").cast("double")
@@ -148,7 +146,7 @@ def two_arm_tests(df: DataFrame, value: str, arm: Column, by: Sequence[str] = ()
     )
 
 
-def box_stats(df: DataFrame, value: str, by: Sequence[str], width: float | None = DURATION_WIDTH) -> DataFrame:
+def box_stats(df: DataFrame, value: str, by: Sequence[str], width: float | None = None) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers and outlier count per group."""
     from tidemark.operators.ranks import quantile
 
@@ -161,7 +159,7 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str], width: float | None
     low, high = F.col("q1") - reach, F.col("q3") + reach
     inside = F.col("value").between(low, high)
     spread = (
-        ranked.select(*by, "value", "n").join(boxes.select(*by, "q1", "q3"), list(by))
+        join_by(ranked.select(*by, "value", "n"), boxes.select(*by, "q1", "q3"), by)
         .groupBy(*by)
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
@@ -169,7 +167,7 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str], width: float | None
             F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
         )
     )
-    return boxes.join(spread, list(by))
+    return join_by(boxes, spread, by)
 
 
 __all__ = [

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import CleaningResult
 from tidemark.operators.findings import monthly_cohorts, urgent_cases
-from tidemark.operators.stats import box_stats, group_breakdown
+from tidemark.operators.stats import DURATION_WIDTH, box_stats, group_breakdown
 
 
 def _with_error_band(stats: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def monthly_trend(closed: DataFrame) -> DataFrame:
 
 def category_spread(closed: DataFrame) -> DataFrame:
     """Categories by median duration, longest first, with mean ± SE."""
-    stats = group_breakdown(closed, "duration_days", ["category"])
+    stats = group_breakdown(closed, "duration_days", ["category"], DURATION_WIDTH)
     return _with_error_band(stats).orderBy(F.desc("median"), "category")
 
 
@@ -61,7 +61,7 @@ def dispositions(result: CleaningResult) -> DataFrame:
 
 
 def triage_boxes(closed: DataFrame) -> DataFrame:
-    return box_stats(urgent_cases(closed), "duration_days", ["triaged"])
+    return box_stats(urgent_cases(closed), "duration_days", ["triaged"], DURATION_WIDTH)
 
 
 def category_triage_means(closed: DataFrame) -> DataFrame:

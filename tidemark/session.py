@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", app: str = "tidemark", **conf: str) -> SparkSession:
@@ -54,3 +56,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
+
+
+@dataclass
+class StoredTable:
+    """A table written to the shared checkpoint folder; its files go at the session's end or on ``delete``."""
+
+    table: DataFrame
+    path: str
+
+    def delete(self) -> None:
+        folder = self.table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stored_table(df: DataFrame) -> StoredTable:
+    """Write ``df`` as Parquet to the shared checkpoint folder and read it back: the lineage ends here.
+
+    Unlike a row checkpoint the files are compressed, are read by column, and give the planner their size.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    path = f"{root.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return StoredTable(spark.read.schema(df.schema).parquet(path), path)
