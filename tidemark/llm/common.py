@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import stored_table
 
 #: A word is a run of anything but the six ASCII white-space characters. ``bytes.split()`` cuts the same words.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -52,19 +51,13 @@ def _batch(held: list[tuple], arrow: pa.Schema) -> pa.RecordBatch:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet to the shared checkpoint folder and read it back: lineage ends here.
+    """``df`` as a table in the shared checkpoint folder: its lineage ends here."""
+    return stored_table(df).table
 
-    The files are compressed and pruned by column, unlike a row checkpoint. They go when the session ends.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    path = f"{root.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that no helper column can clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def ranked(

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD_PATTERN, buckets_for, ranked, stored
+from tidemark.llm.common import WORD_PATTERN, buckets_for, ranked, stored, whole_row
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -103,17 +103,16 @@ def plan_mixture(
 
 
 def with_copies(docs: DataFrame, plan: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED) -> DataFrame:
-    """Every row with ``_copies``, how often the mix repeats it, and its source's ``_source_size`` and ``_target``."""
-    own = plan.select(F.col("source").alias("_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), "copies", "cutoff", "filler")
-    joined = docs.withColumn("_digest", seeded_digest(seed, key, text)).join(own, F.col(source).eqNullSafe(F.col("_source")))
-    extra = F.coalesce(F.col("_digest") <= F.col("cutoff"), F.lit(False)) | F.coalesce(F.col("_digest") == F.col("filler"), F.lit(False))
-    copies = F.col("copies") + extra.cast("int")
-    return joined.withColumn("_copies", copies).select(*[docs[c] for c in docs.columns], "_copies", "_source_size", "_target")
+    """(doc, copies, source_size, target): every row as a struct, how often the mix repeats it, its source's figures."""
+    own = plan.select(F.col("source").alias("of"), "source_size", "target", F.col("copies").alias("whole"), "cutoff", "filler")
+    rows = docs.select(whole_row(docs).alias("doc"), F.col(source).alias("from"), seeded_digest(seed, key, text).alias("digest"))
+    joined = rows.join(own, F.col("from").eqNullSafe(F.col("of")))
+    extra = F.coalesce(F.col("digest") <= F.col("cutoff"), F.lit(False)) | F.coalesce(F.col("digest") == F.col("filler"), F.lit(False))
+    return joined.select("doc", (F.col("whole") + extra.cast("int")).alias("copies"), "source_size", "target")
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **settings) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as the mixture takes it."""
     plan = plan_mixture(docs, key, text, source, **settings)
-    seed = settings.get("seed", SEED)
-    rows = with_copies(docs, plan, key, text, source, seed).where(F.col("_copies") > 0)
-    return rows.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    rows = with_copies(docs, plan, key, text, source, settings.get("seed", SEED)).where(F.col("copies") > 0)
+    return rows.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")

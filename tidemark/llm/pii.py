@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD_PATTERN, map_rows, stored
+from tidemark.llm.common import WORD_PATTERN, map_rows, stored, whole_row
 
 KINDS = ("email", "ip", "card", "phone")
 REACH = 5
@@ -198,15 +198,17 @@ def rewrite(text: str | None, terms: list | None) -> str | None:
 def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", reach: int = REACH, **settings) -> DataFrame:
     """All rows and columns of ``docs``, entities and disclosing terms of ``text`` generalised."""
     found = scan(docs, key, text, reach)
-    terms = term_spans(found, disclosing_terms(docs, found, text, **settings)).withColumnRenamed("terms", "_terms")
-    joined = docs.withColumn("_text_key", F.md5(text)).join(terms, F.col("_text_key") == F.col("key_"), "left")
+    terms = term_spans(found, disclosing_terms(docs, found, text, **settings))
+    rows = docs.select(whole_row(docs).alias("doc"), F.md5(text).alias("text_key"))
+    joined = rows.join(terms, F.col("text_key") == F.col("key_"), "left")
 
     @F.pandas_udf("string")
     def rewritten(texts: pd.Series, spans: pd.Series) -> pd.Series:
         pairs = zip(texts.tolist(), spans.tolist())
         return pd.Series([rewrite(t, None if s is None else [(x["start"], x["end"]) for x in s]) if isinstance(t, str) else None for t, s in pairs], dtype=object)
 
-    return joined.select(*[rewritten(F.col(text), F.col("_terms")).alias(c) if c == text else F.col(c) for c in docs.columns])
+    own = {c: F.col("doc").getField(c) for c in docs.columns}
+    return joined.select(*[(rewritten(v, F.col("terms")) if c == text else v).alias(c) for c, v in own.items()])
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text", reach: int = REACH, **settings) -> DataFrame:

@@ -38,14 +38,8 @@ def op3_stratified_shards(spark, sf_dir):
 def op4_water_filling_mix(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     plan = mixing.plan_mixture(docs)
-    rows = mixing.with_copies(docs, plan).withColumn("size", mixing.word_count("text"))
-    return rows.select(
-        "doc_id",
-        "size",
-        F.col("_source_size").alias("source_size"),
-        F.col("_target").alias("target"),
-        (F.col("size") * F.col("_copies")).alias("taken"),
-    )
+    rows = mixing.with_copies(docs, plan).select("doc.doc_id", mixing.word_count("doc.text").alias("size"), "copies", "source_size", "target")
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 @register

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.common import map_rows, stored
+from tidemark.llm.common import map_rows, stored, whole_row
 from tidemark.llm.graph import components
 
 RADIUS = 3
@@ -240,12 +240,12 @@ def keep_representatives(docs: DataFrame, key: str = "doc_id", text: str = "text
     prints = stored(map_rows(docs.select(own.alias("own"), F.col(text).alias("t")), rows, schema))
     rooted = classes(prints, prints.groupBy("fingerprint").agg(F.min("own").alias("least")), radius)
     chosen = stored(rooted.groupBy("root").agg(F.min("least").alias("own")).select("own"))
-    kept = docs.withColumn("_own", own).join(chosen, F.col("_own") == F.col("own"), "left_semi")
+    kept = docs.select(whole_row(docs).alias("doc"), own.alias("mine")).join(chosen, F.col("mine") == F.col("own"), "left_semi")
     # Rows equal in key and text would all pass: of these one stays, found among the repeated keys alone.
-    again = prints.groupBy("own").agg(F.count("*").alias("n")).where(F.col("n") > 1).join(chosen, "own", "left_semi").select(F.col("own").alias("_again"))
-    once = kept.join(again, F.col("_own") == F.col("_again"), "left_anti").drop("_own")
-    twice = kept.join(again, F.col("_own") == F.col("_again"), "left_semi").dropDuplicates(["_own"]).drop("_own")
-    return once.union(twice)
+    again = prints.groupBy("own").agg(F.count("*").alias("n")).where(F.col("n") > 1).join(chosen, "own", "left_semi").select(F.col("own").alias("again"))
+    once = kept.join(again, F.col("mine") == F.col("again"), "left_anti")
+    twice = kept.join(again, F.col("mine") == F.col("again"), "left_semi").dropDuplicates(["mine"])
+    return once.union(twice).select("doc.*")
 
 
 def hex_fingerprint(column: str = "fingerprint"):

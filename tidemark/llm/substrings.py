@@ -4,7 +4,7 @@ A window is ``k`` consecutive words. Its minimiser is the smallest hash of its `
 windows with the same minimiser are one super-k-mer, and equal windows have equal minimisers. So a stretch of
 text travels as one packed string to its minimiser's bucket, and a bucket sees every copy of its windows.
 
-1. Texts give light rows (minimiser, text, first window, windows), equal texts once. A minimiser that occurs
+1. Texts give light rows (minimiser, text, first window, windows, places), equal texts once. A minimiser that occurs
    once holds no repeated window: its text need not travel.
 2. Texts with repeated minimisers are read again (equal ones folded to one), cut at those super-k-mers and
    packed. Bucket by bucket, windows are sorted as tuples of word numbers and neighbours compared: exact.
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD_PATTERN, map_rows, stored
+from tidemark.llm.common import WORD_PATTERN, map_rows, stored, whole_row
 
 WINDOW = 35
 RUN = 4
@@ -49,19 +49,27 @@ def _run_hashes(words: list[bytes], m: int) -> np.ndarray:
     return out
 
 
-def super_kmers(words: list[bytes], k: int = WINDOW, m: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(minimiser, first window, windows) of each super-k-mer, windows being numbered by their first word."""
+def super_kmers(words: list[bytes], k: int = WINDOW, m: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(minimiser, first window, windows, places) of each super-k-mer, windows being numbered by their first word.
+
+    ``places`` is how often the minimiser stands in the stretch: over once, and the stretch may repeat itself.
+    """
     n = len(words) - k + 1
     if n < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    least = _run_hashes(words, m)
-    width, span = k - m + 1, 1
+        return (np.zeros(0, np.int64),) * 4
+    runs = _run_hashes(words, m)
+    least, width, span = runs, k - m + 1, 1
     while span * 2 <= width:  # minima over doubling spans, then two overlapping ones make the window
         least = np.minimum(least[:-span], least[span:])
         span *= 2
     least = np.minimum(least[:n], least[width - span : width - span + n])
     first = np.concatenate([[0], np.nonzero(least[1:] != least[:-1])[0] + 1])
-    return least[first].view(np.int64), first, np.diff(np.append(first, n))
+    windows = np.diff(np.append(first, n))
+    reach = windows + width - 1
+    begin = np.cumsum(reach) - reach
+    at = np.arange(reach.sum()) - np.repeat(begin - first, reach)
+    places = np.add.reduceat(runs[at] == np.repeat(least[first], reach), begin, dtype=np.int64)
+    return least[first].view(np.int64), first, windows, places
 
 
 def text_key(text: str):
@@ -70,21 +78,21 @@ def text_key(text: str):
 
 
 def light_rows(docs: DataFrame, text: str, k: int, m: int) -> DataFrame:
-    """(minimiser, text_key, first, windows) of every distinct text; stored."""
+    """(minimiser, text_key, first, windows, places) of every distinct text; stored."""
 
     def rows(batch: dict) -> Iterator[tuple]:
         for h, t in zip(batch["h"], batch["t"]):
-            for value, first, n in zip(*(x.tolist() for x in super_kmers(t.encode().split(), k, m))):
-                yield value, h, first, n
+            for value, first, n, places in zip(*(x.tolist() for x in super_kmers(t.encode().split(), k, m))):
+                yield value, h, first, n, places
 
     texts = docs.where(F.length(text) >= 2 * k - 1).select(text_key(text).alias("h"), F.col(text).alias("t"))
-    return stored(map_rows(texts, rows, "minimiser long, text_key string, first int, windows int").distinct())
+    return stored(map_rows(texts, rows, "minimiser long, text_key string, first int, windows int, places int").distinct())
 
 
 def repeated_windows(docs: DataFrame, text: str = "text", k: int = WINDOW, m: int = RUN, hot: int = HOT) -> DataFrame:
     """(text_key, first, last): word spans [first, last) covered by windows that start at several places of distinct texts."""
     light = light_rows(docs, text, k, m)
-    often = light.groupBy(F.col("minimiser").alias("_m")).agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
+    often = light.groupBy(F.col("minimiser").alias("_m")).agg(F.sum("places").alias("_n")).where(F.col("_n") > 1)
     part = F.struct("first", "windows", "minimiser", (F.col("_n") > hot).alias("hot"))
     wanted = light.join(often, F.col("minimiser") == F.col("_m")).groupBy("text_key").agg(F.collect_list(part).alias("parts"))
     texts = docs.where(F.length(text) >= 2 * k - 1).groupBy(text_key(text).alias("text_key")).agg(F.first(text).alias("t"))
@@ -178,10 +186,12 @@ def changed_texts(docs: DataFrame, text: str = "text", k: int = WINDOW, m: int =
 def remove_repeats(docs: DataFrame, text: str = "text", k: int = WINDOW, m: int = RUN, hot: int = HOT) -> DataFrame:
     """All rows and columns of ``docs``; where words go, the text is its kept words joined by single spaces."""
     changed = changed_texts(docs, text, k, m, hot)
-    joined = docs.withColumn("_text", text_key(text)).join(changed, F.col("_text") == F.col("key_"), "left")
-    long = F.size(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(WORD_PATTERN), F.lit(0))) >= k
-    after = F.when(F.col("twice") & long, F.lit("")).otherwise(F.coalesce("kept", F.col(text)))
-    return joined.select(*[after.alias(c) if c == text else F.col(c) for c in docs.columns])
+    words = F.size(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(WORD_PATTERN), F.lit(0)))
+    rows = docs.select(whole_row(docs).alias("doc"), text_key(text).alias("mine"), (words >= k).alias("long"))
+    joined = rows.join(changed, F.col("mine") == F.col("key_"), "left")
+    own = {c: F.col("doc").getField(c) for c in docs.columns}
+    after = F.when(F.col("twice") & F.col("long"), F.lit("")).otherwise(F.coalesce("kept", own[text]))
+    return joined.select(*[(after if c == text else v).alias(c) for c, v in own.items()])
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WINDOW, m: int = RUN, hot: int = HOT) -> DataFrame:
