@@ -9,7 +9,8 @@ text travels as one packed string to its minimiser's bucket, and a bucket sees e
 2. Texts with repeated minimisers are read again (equal ones folded to one), cut at those super-k-mers and
    packed. Bucket by bucket, windows are sorted as tuples of word numbers and neighbours compared: exact.
 3. A minimiser with over ``hot`` super-k-mers (a passage in a third of all documents) would fill one bucket.
-   Its windows travel singly, as 128-bit digests that are counted with map-side folding.
+   Its windows are counted as 128-bit digests with map-side folding, and the repeated digests come back to the
+   super-k-mers in small slices.
 4. Repeated windows return to their texts as word spans. A text that occurs twice repeats all its windows.
 
 Defined results: NULL and empty texts have no words, nothing is removed, the digest is that of the empty
@@ -33,9 +34,11 @@ from tidemark.llm.common import WORD_PATTERN, map_rows, stored, whole_row
 WINDOW = 35
 RUN = 4
 #: Super-k-mers of one minimiser beyond which its windows travel singly. Decides where work happens, not the result.
-HOT = 2000
+HOT = 500
 #: Words that one bucket holds on average.
 BUCKET_WORDS = 400_000
+#: Repeated digests of a hot minimiser that come back together.
+SLICE = 64
 SEED = 0x9E3779B97F4A7C15
 
 
@@ -108,13 +111,13 @@ def repeated_windows(docs: DataFrame, text: str = "text", k: int = WINDOW, m: in
                     first = p["first"]
                     yield p["minimiser"] % buckets, h, first, " ".join(words[first : first + p["windows"] + k - 1])
 
-    def singly(batch: dict) -> Iterator[tuple]:
+    def digests(batch: dict) -> Iterator[tuple]:
         for h, t, parts in zip(batch["text_key"], batch["t"], batch["parts"]):
             words = t.encode().split()
             for p in parts:
                 if p["hot"]:
-                    for i in range(p["first"], p["first"] + p["windows"]):
-                        yield hashlib.md5(b" ".join(words[i : i + k])).digest(), h, i
+                    starts = range(p["first"], p["first"] + p["windows"])
+                    yield p["minimiser"], h, p["first"], [hashlib.md5(b" ".join(words[i : i + k])).digest() for i in starts]
 
     def count_bucket(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(_repeated_in_bucket(rows["text_key"].tolist(), rows["first"].tolist(), rows["packed"].tolist(), k), columns=["text_key", "first", "last"])
@@ -122,10 +125,11 @@ def repeated_windows(docs: DataFrame, text: str = "text", k: int = WINDOW, m: in
     cold = map_rows(chosen, packed, "bucket long, text_key string, first int, packed string")
     spans = cold.groupBy("bucket").applyInPandas(count_bucket, "text_key string, first int, last int")
     heated = chosen.where(F.exists("parts", lambda p: p["hot"]))
-    alone = stored(map_rows(heated, singly, "digest binary, text_key string, first int"))
-    twice = alone.groupBy(F.col("digest").alias("_d")).agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select("_d")
-    more = alone.join(twice, F.col("digest") == F.col("_d")).select("text_key", "first", (F.col("first") + k).alias("last"))
-    merged = spans.union(more).groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans"))
+    alone = stored(map_rows(heated, digests, "minimiser long, text_key string, first int, digests array<binary>"))
+    hot_spans = _repeated_digests(alone, k)
+    cold_spans = spans.select("text_key", F.array(F.struct("first", "last")).alias("spans"))
+    both = cold_spans.union(hot_spans.select("text_key", "spans"))
+    merged = both.groupBy("text_key").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
 
     def cut(batch: dict) -> Iterator[tuple]:
         for h, t, found in zip(batch["text_key"], batch["t"], batch["spans"]):
@@ -140,6 +144,28 @@ def repeated_windows(docs: DataFrame, text: str = "text", k: int = WINDOW, m: in
     return map_rows(chosen.select("text_key", "t").join(merged, "text_key"), cut, "text_key string, n_removed long, kept string")
 
 
+def _repeated_digests(alone: DataFrame, k: int) -> DataFrame:
+    """(text_key, spans) of the windows of hot minimisers whose digest occurs more than once.
+
+    Occurrences fold on the map side. The repeated digests of a minimiser come back in slices of about
+    ``SLICE``, so a super-k-mer meets a slice or two, not every window its partners.
+    """
+    each = alone.select("minimiser", F.explode("digests").alias("digest"))
+    twice = each.groupBy("minimiser", "digest").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    sizes = twice.groupBy(F.col("minimiser").alias("_m")).agg(F.ceil(F.count("*") / F.lit(SLICE)).cast("long").alias("slices"))
+
+    def slice_of(digest):
+        return F.pmod(F.xxhash64(digest), F.col("slices"))
+
+    sliced = twice.join(sizes, F.col("minimiser") == F.col("_m")).groupBy(F.col("minimiser").alias("_of"), slice_of("digest").alias("_slice")).agg(F.collect_list("digest").alias("repeated"))
+    asked = alone.join(sizes, F.col("minimiser") == F.col("_m"))
+    asked = asked.withColumn("slice", F.explode(F.array_distinct(F.transform("digests", slice_of))))
+    met = asked.join(sliced, (F.col("minimiser") == F.col("_of")) & (F.col("slice") == F.col("_slice")))
+    placed = F.transform("digests", lambda d, i: F.struct((F.col("first") + i).alias("first"), (F.col("first") + i + k).alias("last"), F.array_contains("repeated", d).alias("again")))
+    hits = F.transform(F.filter(placed, lambda x: x["again"]), lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last")))
+    return met.select("text_key", hits.alias("spans"))
+
+
 def _repeated_in_bucket(keys: list[str], firsts: list[int], packed: list[str], k: int) -> list[tuple[str, int, int]]:
     """Sort the windows of a bucket's packed strings and return those that stand beside an equal one, as merged spans."""
     number: dict[str, int] = {}
