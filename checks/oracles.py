@@ -320,6 +320,9 @@ oracle("dataset_profile", f"""{BASE}, u AS (SELECT count(*) AS d FROM (SELECT DI
   SELECT n AS row_count, 12 AS column_count, n - d AS exact_duplicate_rows, round_even((n - d) * 100.0 / n, 2) AS exact_duplicate_percentage FROM u, n""")
 oracle("repeated_lines", """SELECT count(*) AS row_count, 2 AS column_count, count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS exact_duplicate_rows,
   round_even((count(*) - count(DISTINCT (l_orderkey, l_linenumber))) * 100.0 / count(*), 2) AS exact_duplicate_percentage FROM lineitem""")
+oracle("repeated_whole_lines", """SELECT count(*) AS row_count, 11 AS column_count, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS exact_duplicate_rows,
+  round_even((count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem))) * 100.0 / count(*), 2) AS exact_duplicate_percentage FROM lineitem""")
+oracle("order_row_index", "SELECT row_number() OVER () - 1 AS row_index, o_orderkey FROM orders")
 oracle("column_profile", f"{BASE}, {_column_profile('cases', COLUMNS, 'row_index', parse('value'))}")
 oracle("profile_customers", f"WITH {_column_profile('customer', ['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment'], 'c_custkey', parse('value'))}")
 oracle("top_values", f"""{BASE}, cells AS ({_unpivot('cases', COLUMNS, 'row_index')}), c AS (SELECT column_name, value, count(*) AS n FROM cells WHERE NOT {_missing('value')} GROUP BY 1, 2)
@@ -336,10 +339,12 @@ def _missing_share(source: str, columns: list[str]) -> str:
 
 
 oracle("missing_share", f"{BASE}, {_missing_share('cases', COLUMNS)}")
+oracle("missingness_sample", f"""{BASE} SELECT row_index, {', '.join(f"CAST({_missing(c)} AS INT) AS {c}" for c in COLUMNS)} FROM cases
+  ORDER BY md5(CAST(row_index AS VARCHAR)), row_index LIMIT 60""")
 oracle("profile_pages", f"WITH {_missing_share('pages', ['page_id', 'url', 'html'])}")
 
 # --- duplicates ------------------------------------------------------------------------------
-oracle("exact_duplicates", """SELECT first AS index_a, doc_id AS index_b FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first FROM documents) WHERE doc_id <> first""")
+oracle("exact_duplicates", """SELECT first AS index_a, doc_id AS index_b FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text, lang, source, n_chars) AS first FROM documents) WHERE doc_id <> first""")
 _NORMAL = f"""nk AS (SELECT row_index, case_id, lower({collapse('client_name')}) AS a, lower({collapse('category')}) AS b, lower({collapse('intake_date')}) AS c, lower({collapse('closure_date')}) AS d FROM cases),
   ng AS (SELECT row_index, case_id, min(row_index) OVER w AS first, count(*) OVER w AS n FROM nk WHERE a <> '' AND b <> '' AND c <> '' AND d <> '' WINDOW w AS (PARTITION BY a, b, c, d))"""
 oracle("normalized_duplicates", f"{BASE}, {_NORMAL} SELECT first AS index_a, row_index AS index_b FROM ng WHERE first <> row_index")

@@ -13,6 +13,7 @@ from tidemark.operators import audit, cleaning, confidence, date_audit, duplicat
 from tidemark.plans import reports
 from tidemark.plans.cases_view import cases as cases_view
 from tidemark.plans.cases_view import table
+from tidemark.sources.row_index import with_row_index
 from tidemark.plans.workflow import Assessment, assess
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -206,7 +207,7 @@ def dataset_profile(spark, folder):
 
 @register
 def column_profile(spark, folder):
-    return profile.column_profile(_raw(spark, folder))
+    return profile.column_profile(_raw(spark, folder), type_sample=20)
 
 
 @register
@@ -231,7 +232,7 @@ def missingness_sample(spark, folder):
 
 @register
 def profile_customers(spark, folder):
-    return profile.column_profile(table(spark, folder, "customer").withColumn("row_index", F.col("c_custkey")))
+    return profile.column_profile(table(spark, folder, "customer").withColumn("row_index", F.col("c_custkey")), type_sample=20)
 
 
 @register
@@ -239,6 +240,16 @@ def profile_pages(spark, folder):
     return profile.missing_share(table(spark, folder, "pages"))
 
 
+@register
+def repeated_whole_lines(spark, folder):
+    return profile.dataset_profile(table(spark, folder, "lineitem"))
+
+
+@register
+def order_row_index(spark, folder):
+    return with_row_index(table(spark, folder, "orders")).select("row_index", "o_orderkey")
+
+
 @register
 def repeated_lines(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
@@ -255,7 +266,7 @@ def _documents(spark, folder):
 
 @register
 def exact_duplicates(spark, folder):
-    docs = _documents(spark, folder).select("row_index", "text")
+    docs = _documents(spark, folder).select("row_index", "text", "lang", "source", "n_chars")
     return duplicates.exact_duplicates(docs).select("index_a", "index_b")
 
 

@@ -130,9 +130,9 @@ def test_rules(rows):
     assert (score.quality_score, score.clean_records_count, score.health) == (50.0, 2, "CRITICAL DEGRADATION")
 
 
-def test_hot_keys_take_the_broadcast_path(spark):
+def test_hot_and_null_keys(spark):
     df = spark.range(3000).select(F.col("id").alias("row_index"), F.when(F.col("id") < 1000, F.lit("hot")).when(F.col("id") < 1010, F.lit(None)).otherwise((F.col("id") % 700).cast("string")).alias("key"))
-    got = with_key_stats(df, "key", {"low": F.min("row_index")}, hot_share=0.1, hot_minimum=1)
+    got = with_key_stats(df, "key", {"low": F.min("row_index")})
     plain = {r.key: (r.n, r.low) for r in df.where("key is not null").groupBy("key").agg(F.count("*").alias("n"), F.min("row_index").alias("low")).collect()}
     seen = got.collect()
     assert len(seen) == 3000

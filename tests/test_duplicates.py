@@ -8,6 +8,8 @@ from collections import defaultdict
 import pytest
 
 from tidemark.functions.similarity import common_subsequence
+from pyspark.sql import functions as F
+
 from tidemark.operators import duplicates
 from tidemark.operators.components import connected_components
 
@@ -56,12 +58,15 @@ def test_fuzzy_rows_equal_brute_force(rows, threshold):
     assert short == full
 
 
-def test_hot_grams_are_split_without_loss(spark, monkeypatch):
+def test_hot_grams_are_split_without_loss(spark):
     names = [f"customer {i:03d}" for i in range(60)]
     df = spark.createDataFrame([(n,) for n in names], "sorted_name string")
     plain = {tuple(r)[:2] for r in duplicates.similar_texts(df, 90.0).collect()}
-    monkeypatch.setattr(duplicates, "SALT_ROWS", 7)
-    assert {tuple(r)[:2] for r in duplicates.similar_texts(df, 90.0).collect()} == plain and plain
+    assert {tuple(r)[:2] for r in duplicates.similar_texts(df, 90.0, salt_rows=7).collect()} == plain and plain
+    near, far = duplicates.gram_lanes(duplicates._prefixes(df, 90.0), salt_rows=7)
+    for side in (near, far):
+        # 60 texts in nine lanes: no group of a gram and two lanes holds much more than its share.
+        assert side.groupBy("g", "lane_a", "lane_b").count().agg(F.max("count")).first()[0] <= 3 * 7
 
 
 def test_components_equal_union_find(spark):

@@ -8,41 +8,64 @@ from pyspark.sql import functions as F
 from tidemark import vocab
 from tidemark.functions.text import as_column, stripped
 
-# The accepted forms beyond year-first and slash dates, tried in this order.
-FALLBACK_PATTERNS = [
-    "y-M-d H:m:s[.SSSSSS]",
-    "y-M-d'T'H:m:s[.SSSSSS]",
-    "y-M-d H:m",
-    "M/d/y H:m[:s]",
-    "M-d-yyyy",
-    "d MMM yyyy",
-    "d MMMM yyyy",
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
-    "yyyyMMdd",
-    "M/d/yy",
-]
-
+# The families of accepted forms. A cell is looked at by its family's expression alone.
 _YEAR_FIRST = r"^\d{4}[-/.]\d{1,2}[-/.]\d{1,2}$"
 _SLASHED = r"^\d{1,2}/\d{1,2}/\d{4}$"
+_CLOCKED = r"^(\d{4}-\d{1,2}-\d{1,2})[T ](\d{1,2}:\d{2})(:\d{2})?(?:[.](\d{1,9}))?\s*(Z|UTC|[+-]\d{2}:?\d{2})?$"
+_SLASHED_CLOCK = r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}(:\d{2})?( ?[AaPp][Mm])?$"
+_DASHED = r"^\d{1,2}-\d{1,2}-(\d{4}|\d{2})$"
+_SHORT_SLASHED = r"^\d{1,2}/\d{1,2}/\d{2}$"
+_DAY_NAMED_MONTH = r"^(\d{1,2})[ -]([A-Za-z]{3,9}),?[ -](\d{4})$"
+_NAMED_MONTH_DAY = r"^([A-Za-z]{3,9}) (\d{1,2}),? (\d{4})$"
+_COMPACT = r"^\d{8}(T\d{6})?$"
+
+
+def _stamp(text: Column, *patterns: str) -> Column:
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)).cast("timestamp_ntz") for p in patterns])
+
+
+def _clocked(text: Column) -> Column:
+    """ISO date and time; an offset is taken off, so the result is in UTC. Digits beyond microseconds are cut."""
+    part = lambda i: F.regexp_extract(text, _CLOCKED, i)
+    seconds = F.when(part(3) == "", F.lit(":00")).otherwise(part(3))
+    whole = _stamp(F.concat(part(1), F.lit(" "), part(2), seconds), "y-M-d H:m:s")
+    micros = F.rpad(F.substring(part(4), 1, 6), 6, "0").try_cast("long")
+    zone = F.regexp_replace(part(5), "[^0-9]", "")
+    minutes = F.coalesce(F.substring(zone, 1, 2).try_cast("int") * 60 + F.substring(zone, 3, 2).try_cast("int"), F.lit(0))
+    minutes = F.when(F.startswith(part(5), F.lit("-")), -minutes).otherwise(minutes)
+    return F.timestamp_add("MICROSECOND", F.coalesce(micros, F.lit(0).cast("long")) - minutes.cast("long") * 60_000_000, whole)
+
+
+def _month_named(text: Column, form: str, day: int, month: int) -> Column:
+    name = F.initcap(F.regexp_extract(text, form, month))
+    plain = F.concat_ws(" ", F.regexp_extract(text, form, day), name, F.regexp_extract(text, form, 3))
+    return F.when(F.length(name) == 3, _stamp(plain, "d MMM yyyy")).otherwise(_stamp(plain, "d MMMM yyyy"))
 
 
 def parse_date(value: Column | str) -> Column:
     """Parse one date cell; anything impossible or outside the known forms gives NULL.
 
-    Slash dates read month first unless only day first is possible. Patterns outside
-    :data:`FALLBACK_PATTERNS` are deliberately not guessed at: they come back NULL and the rules
-    engine reports them.
+    Slash dates read month first unless only day first is possible; dashed dates read month first. Times
+    with an offset or ``Z`` become UTC, times without one are taken as they stand. Forms outside the
+    families above are deliberately not guessed at: they come back NULL and the rules engine reports them.
     """
     text = stripped(value)
     day_first = F.split_part(text, F.lit("/"), F.lit(1)).try_cast("int") > 12
     slashed = F.when(day_first, F.try_to_date(text, "d/M/y")).otherwise(F.try_to_date(text, "M/d/y"))
-    other = F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in FALLBACK_PATTERNS])
+    clock = F.upper(F.regexp_replace(text, "(?<=[0-9])(?=[AaPp])", " "))
+    halves = F.when(day_first, _stamp(clock, "d/M/y h:m[:s] a")).otherwise(_stamp(clock, "M/d/y h:m[:s] a"))
+    hours = F.when(day_first, _stamp(clock, "d/M/y H:m[:s]")).otherwise(_stamp(clock, "M/d/y H:m[:s]"))
     return (
         F.when(F.lower(text).isin(*vocab.MISSING_DATE_TOKENS), F.lit(None).cast("timestamp_ntz"))
         .when(text.rlike(_YEAR_FIRST), F.try_to_date(F.translate(text, "/.", "--"), "y-M-d").cast("timestamp_ntz"))
         .when(text.rlike(_SLASHED), slashed.cast("timestamp_ntz"))
-        .otherwise(other.cast("timestamp_ntz"))
+        .when(text.rlike(_CLOCKED), _clocked(text))
+        .when(text.rlike(_SLASHED_CLOCK), F.when(clock.rlike("M$"), halves).otherwise(hours))
+        .when(text.rlike(_DASHED), _stamp(text, "M-d-yyyy", "M-d-yy"))
+        .when(text.rlike(_SHORT_SLASHED), _stamp(text, "M/d/yy"))
+        .when(text.rlike(_DAY_NAMED_MONTH), _month_named(text, _DAY_NAMED_MONTH, 1, 2))
+        .when(text.rlike(_NAMED_MONTH_DAY), _month_named(text, _NAMED_MONTH_DAY, 2, 1))
+        .when(text.rlike(_COMPACT), _stamp(text, "yyyyMMdd", "yyyyMMdd'T'HHmmss"))
     )
 
 

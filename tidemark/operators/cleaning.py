@@ -166,12 +166,13 @@ def standardize(
     )
 
 
-def duplicate_rows(standardized: DataFrame) -> DataFrame:
-    """(row_index, merged_into): rows that repeat an earlier row's cleaned keys. Missing equals missing."""
+def with_duplicates(standardized: DataFrame) -> DataFrame:
+    """Adds ``merged_into``: the first row with the same cleaned keys, for rows that repeat it. Missing equals missing."""
     keys = [F.lower(F.col(c)) for c in ("client_name", "category", "intake_date", "closure_date")]
-    key = F.when(F.col("quarantine_reason") == "", row_digest(keys))
-    marked = with_key_stats(standardized.select("row_index", key.alias("merge_key")), "merge_key", {"first_row": F.min("row_index")})
-    return marked.where(F.col("row_index") != F.col("first_row")).select("row_index", F.col("first_row").alias("merged_into"))
+    keyed = standardized.withColumn("_merge_key", F.when(F.col("quarantine_reason") == "", row_digest(keys)))
+    marked = with_key_stats(keyed, "_merge_key", {"_first_row": F.min("row_index")})
+    into = F.when(F.col("row_index") != F.col("_first_row"), F.col("_first_row"))
+    return marked.select(*standardized.columns, into.alias("merged_into"))
 
 
 def clean(
@@ -188,5 +189,5 @@ def clean(
         .when(F.col("quarantine_reason") != "", F.lit("QUARANTINED"))
         .otherwise(F.lit("CLEAN"))
     )
-    merged = standardized.join(duplicate_rows(standardized), "row_index", "left")
+    merged = with_duplicates(standardized)
     return CleaningResult(merged.withColumn("disposition", disposition))

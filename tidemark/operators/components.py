@@ -12,10 +12,10 @@ from tidemark.session import stored_table
 def _star(pairs: DataFrame, larger_only: bool) -> DataFrame:
     """Link each neighbour ``v`` of ``u`` (and ``u`` itself) to the smallest node around ``u``.
 
-    The smallest neighbour per node folds on the map side; bringing it back to the pairs takes hot
-    nodes through a broadcast, so a node that touches a third of all edges stays spread out.
+    The smallest neighbour per node folds on the map side; it comes back to the pairs by a join that
+    adaptive execution splits at hot nodes, so a node that touches a third of all edges stays spread out.
     """
-    near = with_key_stats(pairs, "u", {"low": F.min("v")}, spread_by="v", min_rows=1)
+    near = with_key_stats(pairs, "u", {"low": F.min("v")}, min_rows=1)
     low = F.least("u", "low")
     if larger_only:
         linked = near.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), low.alias("v"))

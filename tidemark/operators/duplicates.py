@@ -17,7 +17,7 @@ from tidemark.functions.similarity import indel_ratio, token_sorted
 from tidemark.functions.text import filled, name_key, row_digest
 from tidemark.operators.components import connected_components
 from tidemark.operators.keyed import with_key_stats
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import stored_table
 
 DEFAULT_THRESHOLD = 85.0
 COMPANION_THRESHOLD = 70.0
@@ -26,32 +26,33 @@ GRAM_BUCKETS = 65_536
 SALT_ROWS = 20_000
 
 
-def _star_edges(rows: DataFrame, match_type: str) -> DataFrame:
+def _star_edges(rows: DataFrame, match_type: str, fields: Sequence[str]) -> DataFrame:
     marked = with_key_stats(rows, "key", {"first_row": F.min("row_index")})
     return marked.where(F.col("row_index") != F.col("first_row")).select(
         F.col("first_row").alias("index_a"),
         F.col("row_index").alias("index_b"),
         F.lit(match_type).alias("match_type"),
         F.lit(100.0).alias("similarity_score"),
+        F.array(*[F.lit(c) for c in fields]).alias("matched_fields"),
     )
 
 
 def exact_duplicates(df: DataFrame) -> DataFrame:
     """Edges from the first row to every row equal to it in all columns. NULL equals NULL."""
     names = [c for c in df.columns if c != "row_index"]
-    return _star_edges(df.select("row_index", row_digest(names).alias("key")), "EXACT")
+    return _star_edges(df.select("row_index", row_digest(names).alias("key")), "EXACT", names)
 
 
 def normalized_duplicates(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """As :func:`exact_duplicates` on normalized key columns; rows with a blank key take no part."""
     keys = [c for c in NORMALIZED_KEYS if c in df.columns] if keys is None else list(keys)
     if not keys:
-        return _star_edges(df.select("row_index", F.lit(None).cast("string").alias("key")), "NORMALIZED")
+        return _star_edges(df.select("row_index", F.lit(None).cast("string").alias("key")), "NORMALIZED", keys)
     read = df.select("row_index", *[name_key(c).alias(c) for c in keys])
     complete = F.lit(True)
     for c in keys:
         complete = complete & (F.col(c) != "")
-    return _star_edges(read.select("row_index", F.when(complete, row_digest(keys)).alias("key")), "NORMALIZED")
+    return _star_edges(read.select("row_index", F.when(complete, row_digest(keys)).alias("key")), "NORMALIZED", keys)
 
 
 def named_rows(df: DataFrame, name: str = "client_name", companion: str | None = "category") -> DataFrame:
@@ -103,26 +104,35 @@ def _prefixes(names: DataFrame, threshold: float) -> DataFrame:
     return per_text.select("sorted_name", F.slice("all", F.lit(1), keep.cast("int")).alias("prefix"))
 
 
-def similar_texts(names: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
-    """(text_a, text_b, score) for all distinct pairs of ``sorted_name`` at or above the threshold.
+def gram_lanes(prefixes: DataFrame, salt_rows: int = SALT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the candidate join, both cut into lanes of about ``salt_rows`` texts.
 
-    Exact: pairs meet on a shared rare gram, a hot gram is split into lanes, a pair that meets several
-    times is kept only on its first shared gram, and bounded edit distance (never above the
-    insertion-deletion distance) drops most of the rest before the exact score.
+    A hot gram's texts fall into lanes by digest, and every pair of lanes is a group of its own, so a group
+    is bounded on both sides and any pair of texts still meets in exactly one group of a shared gram.
     """
-    entries = _prefixes(names, threshold).select("sorted_name", "prefix", F.explode("prefix").alias("g"))
-    lanes = F.ceil(F.col("g.freq") / F.lit(float(SALT_ROWS))).cast("int")
+    entries = prefixes.select("sorted_name", "prefix", F.explode("prefix").alias("g"))
+    lanes = F.ceil(F.col("g.freq") / F.lit(float(salt_rows))).cast("int")
+    own, every = F.pmod(F.xxhash64("sorted_name"), lanes).cast("int"), F.sequence(F.lit(0), lanes - 1)
     near = entries.select(
-        F.col("sorted_name").alias("text_a"), F.col("prefix").alias("prefix_a"), F.col("g").alias("g"),
-        F.pmod(F.xxhash64("sorted_name"), lanes).cast("int").alias("lane"),
+        F.col("sorted_name").alias("text_a"), F.col("prefix").alias("prefix_a"), "g", own.alias("lane_a"), F.explode(every).alias("lane_b")
     )
     far = entries.select(
-        F.col("sorted_name").alias("text_b"), F.col("prefix").alias("prefix_b"), F.col("g").alias("g"),
-        F.explode(F.sequence(F.lit(0), lanes - 1)).alias("lane"),
+        F.col("sorted_name").alias("text_b"), F.col("prefix").alias("prefix_b"), "g", F.explode(every).alias("lane_a"), own.alias("lane_b")
     )
+    return near, far
+
+
+def similar_texts(names: DataFrame, threshold: float = DEFAULT_THRESHOLD, salt_rows: int = SALT_ROWS) -> DataFrame:
+    """(text_a, text_b, score) for all distinct pairs of ``sorted_name`` at or above the threshold.
+
+    Exact: pairs meet on a shared rare gram, a hot gram is split into lanes, a pair that meets several
+    times is kept only on its first shared gram, and bounded edit distance (never above the
+    insertion-deletion distance) drops most of the rest before the exact score.
+    """
+    near, far = gram_lanes(_prefixes(names, threshold), salt_rows)
     total = F.length("text_a") + F.length("text_b")
     room = F.floor(total * F.lit(1 - threshold / 100.0) + 1e-9).cast("int")
-    met = near.join(far, ["g", "lane"]).where(
+    met = near.join(far, ["g", "lane_a", "lane_b"]).where(
         (F.col("text_a") < F.col("text_b"))
         & (F.abs(F.length("text_a") - F.length("text_b")) <= room)
         & (F.element_at(F.array_intersect("prefix_a", "prefix_b"), 1) == F.col("g"))
@@ -176,19 +186,22 @@ def fuzzy_duplicates(
     """Row-level fuzzy edges, smaller index first. As large as the answer itself; see :func:`fuzzy_links`."""
     pairs = fuzzy_group_pairs(df, name, companion, threshold)
     rows = named_rows(df, name, companion).select("row_index", "group_key")
-    # Lanes keep the rows of one hot group in many tasks; the other side repeats per lane.
-    lanes = F.ceil(F.col("rows_a") / F.lit(float(SALT_ROWS))).cast("int")
-    left = pairs.withColumn("lanes", lanes).withColumn("lane", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)))
+    # Lanes keep the rows of a hot group, on either side, in many tasks; a pair of groups repeats per pair of lanes.
+    def lanes(rows_of: str) -> Column:
+        return F.sequence(F.lit(0), F.ceil(F.col(rows_of) / F.lit(float(SALT_ROWS))).cast("int") - 1)
+
+    left = pairs.withColumn("lane_a", F.explode(lanes("rows_a"))).withColumn("lane_b", F.explode(lanes("rows_b")))
     sized = with_key_stats(rows, "group_key", {}, min_rows=1)
     own = F.pmod(F.xxhash64("row_index"), F.ceil(F.col("key_rows") / F.lit(float(SALT_ROWS)))).cast("int")
-    side_a = sized.select(F.col("row_index").alias("row_a"), F.col("group_key").alias("group_key_a"), own.alias("lane"))
-    side_b = rows.select(F.col("row_index").alias("row_b"), F.col("group_key").alias("group_key_b"))
-    edges = left.join(side_a, ["group_key_a", "lane"]).join(side_b, "group_key_b")
+    side_a = sized.select(F.col("row_index").alias("row_a"), F.col("group_key").alias("group_key_a"), own.alias("lane_a"))
+    side_b = sized.select(F.col("row_index").alias("row_b"), F.col("group_key").alias("group_key_b"), own.alias("lane_b"))
+    edges = left.join(side_a, ["group_key_a", "lane_a"]).join(side_b, ["group_key_b", "lane_b"])
     return edges.select(
         F.least("row_a", "row_b").alias("index_a"),
         F.greatest("row_a", "row_b").alias("index_b"),
         F.lit("FUZZY").alias("match_type"),
         "similarity_score",
+        F.array(*[F.lit(c) for c in (name, companion) if c and c in df.columns]).alias("matched_fields"),
     )
 
 
@@ -248,11 +261,10 @@ class DuplicateReport:
 
     @cached_property
     def fuzzy_pairs(self) -> DataFrame | None:
-        """Similar groups, kept in the checkpoint folder because clusters and counts both read them."""
+        """Similar groups, kept in the shared checkpoint folder because clusters and counts both read them."""
         if self.name not in self.df.columns:
             return None
-        ensure_checkpoint_dir(self.df.sparkSession)
-        return fuzzy_group_pairs(self.df, self.name, self.companion, self.threshold).checkpoint()
+        return stored_table(fuzzy_group_pairs(self.df, self.name, self.companion, self.threshold)).table
 
     @cached_property
     def members(self) -> DataFrame:

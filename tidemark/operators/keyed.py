@@ -1,9 +1,9 @@
 """Bringing a per-key aggregate back onto the rows, whatever the key's skew.
 
-The aggregate itself is safe: partial aggregation folds a hot key on the map side. The join back is
-not, since all rows of one key would meet in one task. So keys that hold a noticeable share of the
-rows go through a broadcast, and the rest through an ordinary join. At most ``1 / HOT_SHARE`` keys can
-hold that share, which bounds the broadcast at ten thousand entries for any table size.
+The aggregate folds a hot key on the map side, so it has one row a key. The join back keeps all rows on its
+left side: a small aggregate is broadcast by the planner's own size check, a large one is a shuffled left
+join, whose hot partition adaptive execution splits on the left (``spark.sql.adaptive.skewJoin``, on by
+default), as the right side holds a single row for the hot key. NULL keys pile up in such a partition too.
 """
 
 from __future__ import annotations
@@ -11,45 +11,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1e-4
-HOT_MINIMUM = 100_000
 
-
-def with_key_stats(
-    df: DataFrame,
-    key: str,
-    stats: dict[str, Column],
-    spread_by: str = "row_index",
-    min_rows: int = 2,
-    hot_share: float = HOT_SHARE,
-    hot_minimum: int = HOT_MINIMUM,
-) -> DataFrame:
+def with_key_stats(df: DataFrame, key: str, stats: dict[str, Column], min_rows: int = 2, source: DataFrame | None = None) -> DataFrame:
     """Adds ``key_rows`` and the ``stats`` aggregates of each row's key.
 
-    Rows whose key is NULL, and keys with fewer than ``min_rows`` rows, get NULLs. ``key`` should be
-    short (a digest or a number), because up to ten thousand of them may be broadcast.
+    Rows whose key is NULL, and keys with fewer than ``min_rows`` rows, get NULLs. ``source`` is a cheaper
+    table with the same keys to aggregate, for instance ``df`` before joins that don't change its rows.
     """
     names = ["key_rows", *stats]
     # count(key) leaves the NULL group at zero rows. A filter on the key itself would be pushed down
     # to the scan and evaluate the whole expression behind the key a second time there.
-    grouped = df.groupBy(F.col(key).alias("_key")).agg(
+    grouped = (df if source is None else source).groupBy(F.col(key).alias("_key")).agg(
         F.count(key).alias("key_rows"), *[c.alias(n) for n, c in stats.items()]
     )
-    total = grouped.agg(F.coalesce(F.sum("key_rows"), F.lit(0))).scalar()
-    limit = F.greatest(F.lit(hot_minimum).cast("double"), total * F.lit(hot_share))
-    repeated = grouped.where(F.col("key_rows") >= min_rows)
-    hot = repeated.where(F.col("key_rows") >= limit).select(
-        F.col("_key").alias("_hot_key"), *[F.col(n).alias(f"_hot_{n}") for n in names]
-    )
-    cold = repeated.where(F.col("key_rows") < limit).select(
-        F.col("_key").alias("_cold_key"), *[F.col(n).alias(f"_cold_{n}") for n in names]
-    )
-    joined = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    # Settled rows look for no partner, so they are spread by row instead of piling up on their key.
-    settled = F.col(key).isNull() | F.col("_hot_key").isNotNull()
-    joined = joined.withColumn("_lane", F.when(settled, F.col(spread_by) + F.lit(1)).otherwise(F.lit(0)).cast("long"))
-    cold = cold.withColumn("_cold_lane", F.lit(0).cast("long"))
-    joined = joined.join(cold, (F.col(key) == F.col("_cold_key")) & (F.col("_lane") == F.col("_cold_lane")), "left")
-    return joined.select(
-        *[F.col(c) for c in df.columns], *[F.coalesce(F.col(f"_hot_{n}"), F.col(f"_cold_{n}")).alias(n) for n in names]
-    )
+    repeated = grouped.where(F.col("key_rows") >= max(1, min_rows)).select("_key", *[F.col(n).alias(f"_{n}") for n in names])
+    joined = df.join(repeated, F.col(key) == F.col("_key"), "left")
+    return joined.select(*[F.col(c) for c in df.columns], *[F.col(f"_{n}").alias(n) for n in names])

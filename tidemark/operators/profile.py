@@ -6,8 +6,6 @@ counts, top values and cardinality all come from that reduced table.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +14,6 @@ from tidemark.functions.dates import parse_date
 from tidemark.functions.text import filled, row_digest, stripped
 
 BOOLEAN_TOKENS = ["yes", "no", "y", "n", "true", "false", "1", "0"]
-TYPE_SAMPLE = 20
 
 
 def is_missing(column: Column | str) -> Column:
@@ -63,25 +60,22 @@ def top_values(df: DataFrame, limit: int = 5) -> DataFrame:
 def first_values(df: DataFrame, limit: int = 5) -> DataFrame:
     """The first non-missing values per column in row order (a top-k report).
 
-    One heap-based top-k per column: no sort and no shuffle of the rows.
+    One scan for all columns; each task passes on at most ``limit`` values a column.
     """
-    parts = [
-        df.select("row_index", F.lit(c).alias("column_name"), filled(c).alias("value"))
-        .where(~is_missing("value"))
-        .orderBy("row_index")
-        .limit(limit)
-        for c in _names(df)
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), filled(c).alias("value"), is_missing(c).alias("gone")) for c in _names(df)])
+    place = Window.partitionBy("column_name").orderBy("row_index")
+    rows = df.select("row_index", F.explode(cells).alias("c")).where(~F.col("c.gone")).select("row_index", "c.column_name", "c.value")
+    return rows.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= limit).drop("_place")
 
 
-def column_profile(df: DataFrame) -> DataFrame:
+def column_profile(df: DataFrame, type_sample: int | None = None) -> DataFrame:
     """One row per column: missing and distinct counts, ratios and the inferred type.
 
-    Types are tried in the order empty, numeric, boolean, datetime (on the first twenty values),
-    categorical, text.
+    Types are tried in the order empty, numeric, boolean, datetime, categorical, text. A column is
+    datetime if all its values parse; ``type_sample`` looks at that many first values only.
     """
     names = _names(df)
+    not_date = (lambda c: parse_date(c).isNull()) if type_sample is None else (lambda c: F.lit(False))
     cells = df.agg(
         F.count("*").alias("total"),
         *[
@@ -90,6 +84,7 @@ def column_profile(df: DataFrame) -> DataFrame:
                 F.count_if(stripped(c) != "").alias("written"),
                 F.count_if((stripped(c) != "") & ~is_number(c)).alias("not_number"),
                 F.count_if((stripped(c) != "") & ~F.lower(stripped(c)).isin(*BOOLEAN_TOKENS)).alias("not_boolean"),
+                F.count_if(~is_missing(c) & not_date(c)).alias("not_date"),
             ).alias(c)
             for c in names
         ],
@@ -99,22 +94,28 @@ def column_profile(df: DataFrame) -> DataFrame:
         F.posexplode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("m")) for c in names])).alias("ordinal", "e"),
     ).select("ordinal", "e.column_name", "total", "e.m.*")
 
-    counts = value_counts(df)
-    folded = counts.groupBy("column_name", F.lower(stripped("value")).alias("folded")).agg(F.count("*").alias("forms"))
+    # Digests stand for cell texts, so long texts aren't shuffled.
+    forms = F.array(*[F.struct(F.lit(c).alias("column_name"), F.md5(F.lower(stripped(c))).alias("folded"), F.md5(filled(c)).alias("form"), is_missing(c).alias("gone")) for c in names])
+    each = df.select(F.explode(forms).alias("c")).where(~F.col("c.gone")).select("c.column_name", "c.folded", "c.form").distinct()
+    folded = each.groupBy("column_name", "folded").agg(F.count("*").alias("forms"))
     distinct = folded.groupBy("column_name").agg(F.sum("forms").alias("unique_count"), F.count("*").alias("folded_count"))
-    dated = first_values(df, TYPE_SAMPLE).groupBy("column_name").agg(F.bool_and(parse_date("value").isNotNull()).alias("all_dates"))
+    joined = by_column.join(distinct, "column_name", "left").fillna(0, ["unique_count", "folded_count"])
+    if type_sample is None:
+        joined = joined.withColumn("all_dates", F.col("not_date") == 0)
+    else:
+        dated = first_values(df, type_sample).groupBy("column_name").agg(F.bool_and(parse_date("value").isNotNull()).alias("all_dates"))
+        joined = joined.join(dated, "column_name", "left")
 
     few = (F.col("folded_count") <= 10) | (
         (F.col("folded_count") < 50) & (F.try_divide("folded_count", "written") < 0.5)
     )
-    joined = by_column.join(distinct, "column_name", "left").join(dated, "column_name", "left").fillna(0, ["unique_count", "folded_count"])
     return joined.select(
         "ordinal",
         "column_name",
         F.when(F.col("written") == 0, "empty")
         .when(F.col("not_number") == 0, "numeric")
         .when(F.col("not_boolean") == 0, "boolean")
-        .when(F.coalesce("all_dates", F.lit(False)), "datetime")
+        .when((F.col("total") > F.col("missing")) & F.coalesce("all_dates", F.lit(False)), "datetime")
         .when(few, "categorical")
         .otherwise("text")
         .alias("inferred_type"),
@@ -146,4 +147,4 @@ def missing_share(df: DataFrame) -> DataFrame:
 def missingness_sample(df: DataFrame, rows: int = 60) -> DataFrame:
     """A fixed pseudo-random sample of rows as 0/1 missingness flags (a sampling operator)."""
     flags = [is_missing(c).cast("int").alias(c) for c in _names(df)]
-    return df.select("row_index", *flags).orderBy(F.xxhash64("row_index"), "row_index").limit(rows)
+    return df.select("row_index", *flags).orderBy(F.md5(F.col("row_index").cast("string")), "row_index").limit(rows)

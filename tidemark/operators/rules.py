@@ -55,8 +55,9 @@ def rule_hits_by_row(
             "contacts": to_number("contact_count"),
         }
     )
+    # Both aggregates come from the one projection, not from each other's joins.
     keyed = with_key_stats(read, "id_key", {}).withColumnRenamed("key_rows", "same_id")
-    keyed = with_key_stats(keyed, "case_key", {}).withColumnRenamed("key_rows", "same_case")
+    keyed = with_key_stats(keyed, "case_key", {}, source=read).withColumnRenamed("key_rows", "same_case")
 
     def filled_in(name: str) -> Column:
         return F.col(name) != ""

@@ -107,11 +107,8 @@ def cases(spark: SparkSession, folder: str) -> DataFrame:
         "c_nationkey AS nation",
         "explode(CASE WHEN o_orderkey % 50 = 0 THEN array(0, 1) ELSE array(0) END) AS copy",
     )
-    # A table of one or two files would leave most cores idle in the rule projections that follow.
-    # At scale the scan already has more splits than cores and nothing moves.
-    cores = spark.sparkContext.defaultParallelism
-    if orders.rdd.getNumPartitions() < cores:
-        spine = spine.repartition(cores, "k")
+    # Rows are dealt anew: a table of one or two files would leave most cores idle in the projections that follow.
+    spine = spine.repartition("k")
     return spine.selectExpr(
         "k * 2 + copy AS row_index",
         f"{_CASE_ID} AS case_id",

@@ -18,17 +18,25 @@ ANALYSIS_COLUMNS = [
 ]
 
 
-@dataclass(frozen=True)
+@dataclass
 class Assessment:
-    """Tables of a full run. Everything is lazy but ``closed``, which all findings read many times."""
+    """Tables of a full run. Each plan is built when first asked for; ``closed`` is also computed, as all findings read it."""
 
     raw: DataFrame
-    cleaning: CleaningResult
-    hits: DataFrame
+    reference_date: str = vocab.REFERENCE_DATE
+    plans_of: Assessment | None = None
+
+    @cached_property
+    def cleaning(self) -> CleaningResult:
+        return self.plans_of.cleaning if self.plans_of else clean(self.raw, self.reference_date)
+
+    @cached_property
+    def hits(self) -> DataFrame:
+        return self.plans_of.hits if self.plans_of else rules.rule_hits_by_row(self.raw, self.reference_date)
 
     def fresh(self) -> Assessment:
-        """The same plans with nothing computed yet."""
-        return Assessment(self.raw, self.cleaning, self.hits)
+        """The same plans with no rows computed yet."""
+        return Assessment(self.raw, self.reference_date, self)
 
     @property
     def quality(self) -> DataFrame:
@@ -69,4 +77,4 @@ class Assessment:
 
 
 def assess(raw: DataFrame, reference_date: str = vocab.REFERENCE_DATE) -> Assessment:
-    return Assessment(raw, clean(raw, reference_date), rules.rule_hits_by_row(raw, reference_date))
+    return Assessment(raw, reference_date)
