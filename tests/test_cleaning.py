@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.coerce import to_number
@@ -139,3 +140,35 @@ def test_hot_and_null_keys(spark):
     for r in seen:
         n, low = plain.get(r.key, (0, None))
         assert (r.key_rows, r.low) == ((n, low) if n > 1 else (None, None))
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("2024-05-15T08:30:00Z", "2024-05-15 08:30:00"),
+        ("2024-05-15T08:30:00+02:00", "2024-05-15 06:30:00"),
+        ("2024-05-15T08:30:00-0530", "2024-05-15 14:00:00"),
+        ("2024-05-15T08:30", "2024-05-15 08:30:00"),
+        ("2024-05-15T08:30:00.123Z", "2024-05-15 08:30:00.123"),
+        ("2024-05-15 08:30:00.123456789", "2024-05-15 08:30:00.123456"),
+        ("2024-05-15 08:30:00 UTC", "2024-05-15 08:30:00"),
+        ("15-Mar-2024", "2024-03-15 00:00:00"),
+        ("15 March, 2024", "2024-03-15 00:00:00"),
+        ("march 15, 2024", "2024-03-15 00:00:00"),
+        ("03/05/2024 2:30 PM", "2024-03-05 14:30:00"),
+        ("03/05/2024 2:30pm", "2024-03-05 14:30:00"),
+        ("25/12/2024 14:30", "2024-12-25 14:30:00"),
+        ("20240515T083000", "2024-05-15 08:30:00"),
+        ("20240515", "2024-05-15 00:00:00"),
+        ("03-05-24", "2024-03-05 00:00:00"),
+        ("3/5/24", "2024-03-05 00:00:00"),
+        ("2024-02-30T08:30", None),
+        ("soon", None),
+        ("15 Foo 2024", None),
+    ],
+)
+def test_date_families(spark, text, want):
+    from tidemark.functions.dates import parse_date
+
+    got = spark.createDataFrame([(text,)], "t string").select(parse_date("t").cast("string").alias("d")).first().d
+    assert got == want

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from tidemark.sources.delimited import LoadError, SchemaError, describe_files, load_cleaned, load_raw
+from tidemark.sources.delimited import LoadError, SchemaError, describe_files, load_cleaned, load_raw, load_rejects
 from tidemark.sources.sinks import write_cleaning, write_csv
 from tidemark.operators.cleaning import clean
 
@@ -71,4 +71,38 @@ def test_clean_outputs_round_trip(spark, tmp_path):
     columns = ["case_id", "client_name", "category", "priority", "intake_date", "closure_date", "triage_date", "status", "duration_days"]
     write_csv(stored.cleaned.select(*columns), str(tmp_path / "csv"))
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).first().duration_days == "4.0"
-    assert load_cleaned.__doc__
+
+
+def test_cleaned_csv_comes_back_typed(spark, tmp_path):
+    header = ["case_id", "client_name", "category", "priority", "intake_date", "closure_date", "triage_date", "triaged", "contact_count", "assigned_agent", "status", "resolution_notes"]
+    rows = [["C1", '"Ann ""A"" Lee"', "Billing", "High", "2024-01-01", "2024-01-05", "2024-01-02", "yes", "3", "Bo", "Closed", '"fine, done"'], ["C2", "Bob", "Billing", "Low", "2024-02-01", "", "", "no", "", "Bo", "Open", ""]]
+    cleaned = clean(load_raw(spark, _write(tmp_path / "a.csv", rows=rows, header=header))).cleaned
+    write_csv(cleaned.select(*[c for c in cleaned.columns if c in {*header, "duration_days"}]).orderBy("case_id"), str(tmp_path / "csv"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
+    typed = load_cleaned(spark, str(tmp_path / "csv"), back.columns)
+    first = typed.orderBy("case_id").collect()
+    assert first[0].client_name == 'Ann "A" Lee' and first[0].resolution_notes == "fine, done"
+    assert (str(first[0].closure_date), first[0].duration_days, first[0].triaged) == ("2024-01-05", 4.0, True)
+    assert first[1].closure_date is None and first[1].duration_days is None
+    assert dict(typed.dtypes)["intake_date"] == "date" and dict(typed.dtypes)["contact_count"] == "int"
+
+
+EXTRA = ["C2", "Acme", " Inc", "Billing", "High", "2024-01-01", "2024-01-05", "Closed"]
+
+
+def test_records_with_extra_fields_raise_or_are_set_aside(spark, tmp_path):
+    path = _write(tmp_path / "a.csv", rows=[ROW, EXTRA, ROW[:4]])
+    with pytest.raises(LoadError):
+        load_raw(spark, path)
+    with pytest.raises(Exception, match="more fields than the header"):
+        load_raw(spark, path, encoding="UTF-8", separator=",").collect()
+    kept = load_raw(spark, path, strict=False).orderBy("row_index").collect()
+    assert [(r.row_index, r.case_id, r.status) for r in kept] == [(0, "C1", "Closed"), (2, "C1", "")]
+    (reject,) = load_rejects(spark, path).collect()
+    assert (reject.row_index, reject.record) == (1, ",".join(EXTRA))
+
+
+def test_quoted_line_ends_and_extra_fields(spark, tmp_path):
+    path = _write(tmp_path / "a.csv", rows=[['"two\nlines, quoted"', *ROW[1:]], EXTRA])
+    assert [r.case_id for r in load_raw(spark, path, strict=False).collect()] == ["two\nlines, quoted"]
+    assert load_rejects(spark, path).count() == 1

@@ -1,8 +1,9 @@
 """Delimited text in mixed encodings and separators, read as strings.
 
-One splittable text scan looks at every line of every file: whether the bytes are UTF-8, whether a
-quoted field runs over a line end, and how the first lines are separated. The driver sees one small
-row per file. Files are then read in groups that share encoding, separator, layout and header.
+One splittable text scan looks at every line of every file: whether the bytes are UTF-8, whether a quoted
+field runs over a line end, how lines are separated, and whether a line has more fields than its header.
+The driver sees one short row per file. Files are then read in groups that share encoding, separator, layout
+and header. Records with more fields than the header are an error (``strict``) or go to a table of rejects.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -21,7 +22,6 @@ from tidemark.sources.row_index import with_row_index
 
 # Candidate separators, in order of preference.
 SEPARATORS = [",", ";", "\t", "|"]
-SAMPLE_LINES = 10
 SINGLE_BYTE = "ISO-8859-1"
 
 
@@ -55,29 +55,24 @@ def _separator_counts(value: Column) -> list[Column]:
 
 
 def describe_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Per file: encoding, separator, whether records span lines, header line, data presence.
+    """Per file, from one scan: encoding, separator, whether records span lines, header line, lines with extra fields.
 
-    A separator that occurs equally often in all of the first lines wins, the more frequent one first;
-    otherwise the most frequent one in the header; otherwise a comma.
+    A separator that occurs equally often in all lines wins, the more frequent one first; otherwise the most
+    frequent one in the header; otherwise a comma.
     """
-    lines = _lines(spark, paths)
+    lines = _lines(spark, paths).select("*", *_separator_counts(F.col("value")))
+    written = F.trim("value") != ""
+    first = F.when(written & (F.col("start") == 0), F.col("at"))
+    every = range(len(SEPARATORS))
     whole = lines.groupBy("path").agg(
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
         F.bool_or(F.pmod(F.regexp_count("value", F.lit('"')), F.lit(2)) == 1).alias("multiline"),
+        F.min_by("value", first).alias("header"),
+        *[F.min_by(f"c{i}", first).alias(f"head{i}") for i in every],
+        *[F.min(F.when(written, F.col(f"c{i}"))).alias(f"low{i}") for i in every],
+        *[F.max(F.when(written, F.col(f"c{i}"))).alias(f"high{i}") for i in every],
     )
-    # The row-number filter is applied before the shuffle: ten lines per task and file move.
-    place = Window.partitionBy("path").orderBy("at")
-    first = (
-        lines.where((F.col("start") == 0) & (F.trim("value") != ""))
-        .withColumn("line", F.row_number().over(place))
-        .where(F.col("line") <= SAMPLE_LINES)
-        .select("path", "line", "value", *_separator_counts(F.col("value")))
-    )
-    sampled = first.groupBy("path").agg(
-        F.min_by("value", "line").alias("header"),
-        *[F.min_by(f"c{i}", "line").alias(f"head{i}") for i in range(len(SEPARATORS))],
-        *[F.when(F.min(f"c{i}") == F.max(f"c{i}"), F.min(f"c{i}")).otherwise(F.lit(0)).alias(f"even{i}") for i in range(len(SEPARATORS))],
-    )
+    whole = whole.select("*", *[F.when(F.col(f"low{i}") == F.col(f"high{i}"), F.col(f"low{i}")).otherwise(F.lit(0)).alias(f"even{i}") for i in every])
 
     def best(kind: str) -> Column:
         ranked = F.array(*[F.struct(F.col(f"{kind}{i}").alias("n"), F.lit(-i).alias("p"), F.lit(s).alias("s")) for i, s in enumerate(SEPARATORS)])
@@ -85,12 +80,14 @@ def describe_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         return top.s
 
     chosen = F.coalesce(best("even"), best("head"), F.lit(SEPARATORS[0]))
-    return whole.join(sampled, "path", "left").select(
+    beyond = F.map_from_arrays(F.array(*[F.lit(s) for s in SEPARATORS]), F.array(*[F.col(f"high{i}") > F.col(f"head{i}") for i in every]))
+    return whole.withColumn("separator", chosen).select(
         "path",
         F.when(F.col("utf8"), "UTF-8").otherwise(SINGLE_BYTE).alias("encoding"),
-        chosen.alias("separator"),
+        "separator",
         F.coalesce("multiline", F.lit(False)).alias("multiline"),
         "header",
+        F.coalesce(beyond[F.col("separator")], F.lit(False)).alias("extra_fields"),
     )
 
 
@@ -117,37 +114,49 @@ def check_columns(columns: Sequence[str], required: Sequence[str]) -> None:
         raise SchemaError(f"missing required columns {missing}; found {list(columns)}")
 
 
-def load_raw(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    required: Sequence[str] | None = None,
-    validate: bool = True,
-    encoding: str | None = None,
-    separator: str | None = None,
-) -> DataFrame:
-    """All files as one all-string table with stripped column names, ``""`` for empty cells, and ``row_index``.
+REJECT = "_rejected_record"
 
-    Giving both ``encoding`` and ``separator`` skips the extra scan.
-    """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    files = describe_files(spark, paths).collect()  # one short row per file, as the file listing itself
+
+def _groups(spark: SparkSession, paths: list[str], encoding: str | None, separator: str | None, multiline: bool | None, strict: bool) -> list[tuple]:
+    """(encoding, separator, multiline, files) of the files that are read together."""
+    if encoding and separator:
+        # Nothing to find out: the reader itself checks each file's header against the first file's.
+        return [(encoding, separator, bool(multiline), paths)]
+    described = describe_files(spark, paths).withColumn("header", F.md5("header"))
+    files = described.collect()  # one short row per file, as the file listing itself
     if not files or any(f.header is None for f in files):
-        empty = [f.path for f in files if f.header is None] or paths
-        raise LoadError(f"no data in {empty}")
+        raise LoadError(f"no data in {[f.path for f in files if f.header is None] or paths}")
     groups: dict[tuple, list] = defaultdict(list)
     for f in files:
-        kind = (encoding or f.encoding, separator or f.separator, f.multiline, f.header.lstrip("﻿"))
-        groups[kind].append(f.path)
+        layout = f.multiline if multiline is None else multiline
+        if strict and f.extra_fields and not layout and not separator:
+            raise LoadError(f"{f.path}: some records have more fields than the header")
+        groups[(encoding or f.encoding, separator or f.separator, layout, f.header)].append(f.path)
+    return [(*kind[:3], members) for kind, members in sorted(groups.items())]
+
+
+def _load(spark: SparkSession, paths: str | Sequence[str], required, validate, encoding, separator, multiline, strict: bool) -> DataFrame:
+    """All records with ``row_index`` and, for those with more fields than the header, their text in ``REJECT``."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
     parts = []
-    for (enc, sep, multi, _), members in sorted(groups.items()):
+    for enc, sep, multi, members in _groups(spark, paths, encoding, separator, multiline, strict):
         names = _header_names(spark, members[0], enc, sep, multi)
+        if not names:
+            raise LoadError(f"no data in {members}")
         if validate:
             check_columns(names, vocab.REQUIRED_COLUMNS if required is None else required)
         if len(set(names)) != len(names):
             raise LoadError(f"repeated column names {names} in {members[0]}")
-        schema = StructType([StructField(n, StringType()) for n in names])
-        read = _reader(spark, enc, sep, multi).option("header", True).schema(schema).csv(members)
-        parts.append(with_row_index(read))
+        schema = StructType([StructField(n, StringType()) for n in [*names, REJECT]])
+        # Without column pruning a record is parsed whole, whatever columns are asked for.
+        reader = _reader(spark, enc, sep, multi).option("header", True).option("columnNameOfCorruptRecord", REJECT).option("columnPruning", False)
+        read = with_row_index(reader.schema(schema).csv(members))
+        # A record is set aside for extra fields only; one with fewer has empty cells, as usual.
+        cells = F.regexp_replace(REJECT, '"[^"]*"', "")
+        fields = F.length(cells) - F.length(F.replace(cells, F.lit(sep), F.lit(""))) + 1
+        # The reader refuses to give the record's text alone, so a data column takes part in the test.
+        extra = (fields > len(names)) & (F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0)
+        parts.append(read.withColumn(REJECT, F.when(extra, F.col(REJECT))))
     if len(parts) > 1:
         # Groups follow each other: each group's rows start after the largest index before it.
         shifted = []
@@ -157,7 +166,48 @@ def load_raw(
             offset = offset + part.agg(F.count("*")).scalar()
         parts = shifted
     table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return table.select("row_index", *[F.coalesce(c, F.lit("")).alias(c) for c in table.columns if c != "row_index"])
+    return table.select("row_index", *[F.coalesce(c, F.lit("")).alias(c) for c in table.columns if c not in ("row_index", REJECT)], REJECT)
+
+
+def load_raw(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    required: Sequence[str] | None = None,
+    validate: bool = True,
+    encoding: str | None = None,
+    separator: str | None = None,
+    multiline: bool | None = None,
+    strict: bool = True,
+) -> DataFrame:
+    """All files as one all-string table with stripped column names, ``""`` for empty cells, and ``row_index``.
+
+    Records with more fields than the header raise: at once where the scan has seen them, else when they are
+    read. With ``strict=False`` they are left out here and are to be had from :func:`load_rejects`.
+
+    Giving both ``encoding`` and ``separator`` skips the scan; all files must then share one header. A file
+    with an odd quote in a line is taken to hold line ends in quoted fields, which reads it in one task;
+    ``multiline=False`` says that there are none.
+    """
+    table = _load(spark, paths, required, validate, encoding, separator, multiline, strict)
+    if not strict:
+        return table.where(F.col(REJECT).isNull()).drop(REJECT)
+    message = F.concat(F.lit("record with more fields than the header: "), F.substring(REJECT, 1, 200))
+    checked = F.when(F.col(REJECT).isNotNull(), F.raise_error(message).cast("long")).otherwise(F.col("row_index"))
+    return table.withColumn("row_index", checked).drop(REJECT)
+
+
+def load_rejects(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    required: Sequence[str] | None = None,
+    validate: bool = True,
+    encoding: str | None = None,
+    separator: str | None = None,
+    multiline: bool | None = None,
+) -> DataFrame:
+    """(row_index, record): the records that :func:`load_raw` sets aside with ``strict=False``."""
+    table = _load(spark, paths, required, validate, encoding, separator, multiline, False)
+    return table.where(F.col(REJECT).isNotNull()).select("row_index", F.col(REJECT).alias("record"))
 
 
 # The schema of a cleaned table, for reading one back.
@@ -168,6 +218,8 @@ CLEAN_SCHEMA = (
 )
 
 
-def load_cleaned(spark: SparkSession, path: str) -> DataFrame:
-    """Read a cleaned CSV back with its types."""
-    return spark.read.option("header", True).option("escape", '"').schema(CLEAN_SCHEMA).csv(path)
+def load_cleaned(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Read a cleaned CSV back with its types; ``columns`` names those it has, in order, if not all."""
+    whole = StructType.fromDDL(CLEAN_SCHEMA)
+    schema = whole if columns is None else StructType([whole[c] for c in columns])
+    return spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
