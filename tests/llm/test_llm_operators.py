@@ -387,12 +387,57 @@ def test_crowded_bands_are_cut_without_loss(spark):
 
 
 def test_one_document_of_each_group_stays(docs):
+    """Groups by brute force: narrow fingerprints within three bits, wide ones that share a band within the radius."""
     kept = simhash.keep_representatives(docs)
     assert kept.columns == docs.columns
-    classes = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect() if r.doc_id is not None}
-    ids = [r.doc_id for r in kept.collect()]
-    assert len(ids) == len(set(ids)) == len(set(classes.values()))
-    assert {classes[i] for i in ids} == set(classes.values())
+    prints = {(d, t or ""): (plain_fingerprint(t), simhash.wide_fingerprint(t)) for d, t, *_ in corpus()}
+    radius = simhash.wide_radius(0.8, 512)
+
+    def near(a, b):
+        (na, wa), (nb, wb) = prints[a], prints[b]
+        apart = (int.from_bytes(wa) ^ int.from_bytes(wb)).bit_count()
+        band = any(wa[i : i + 2] == wb[i : i + 2] for i in range(0, 64, 2))
+        return (na ^ nb).bit_count() <= 3 or (band and apart <= radius)
+
+    order = sorted(prints, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+    rank = {x: i for i, x in enumerate(order)}
+    groups = closure(set(range(len(order))), lambda i, j: near(order[i], order[j]))
+    found = [groups[rank[r.doc_id, r.text or ""]] for r in kept.collect()]
+    assert len(found) == len(set(found)) and set(found) == set(groups.values())
+
+
+def test_near_copies_go_and_unlike_texts_stay(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    rows = []
+    for i in range(60):
+        base = [word() for _ in range(250)]
+        copy = base[:]
+        for at in rng.sample(range(250), 2):
+            copy[at] = word()
+        other = base[:60] + [word() for _ in range(190)]  # shares a passage, not the text
+        rows += [(3 * i, " ".join(base)), (3 * i + 1, " ".join(copy)), (3 * i + 2, " ".join(other))]
+    left = {r.doc_id for r in simhash.keep_representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(3 * i in left and 3 * i + 2 in left for i in range(60))
+    assert sum(3 * i + 1 in left for i in range(60)) <= 2
+
+
+def test_wide_tiles_lose_nothing(spark):
+    rng = random.Random(13)
+    base, prints = rng.getrandbits(512), set()
+    for _ in range(150):
+        x = base
+        for _ in range(rng.randint(20, 60)):
+            x ^= 1 << rng.randrange(512)
+        prints.add(x.to_bytes(64))
+    df = spark.createDataFrame([(bytearray(p),) for p in prints], "wide binary").repartition(3)
+    links = {(bytes(r.u), bytes(r.v)) for r in simhash.wide_links(df, limit=20).collect()}
+
+    def near(a, b):
+        band = any(a[i : i + 2] == b[i : i + 2] for i in range(0, 64, 2))
+        return band and (int.from_bytes(a) ^ int.from_bytes(b)).bit_count() <= simhash.wide_radius(0.8, 512)
+
+    assert closure(prints, lambda a, b: (a, b) in links or (b, a) in links) == closure(prints, near)
 
 
 def test_components_of_a_long_path(spark):

@@ -19,13 +19,14 @@ gets its component's smallest non-NULL id, which is NULL if there is none; rows
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from tidemark.llm.common import map_rows, stored, whole_row
 from tidemark.llm.graph import components
@@ -34,6 +35,10 @@ RADIUS = 3
 LIMIT = 1024
 SHINGLE = 3
 SEED = 42
+#: Wide fingerprints for whole groups of near copies: five-word shingles, eight times 64 bits, Jaccard similarity.
+WIDE_SHINGLE = 5
+WIDE_PRINTS = 8
+SIMILARITY = 0.8
 #: (fingerprint, block) meetings in memory at a time.
 MEETINGS = 1 << 17
 
@@ -64,40 +69,55 @@ def with_fingerprints(docs: DataFrame, key: str, text: str, words: int = SHINGLE
 
 
 def _planes(members: np.ndarray) -> np.ndarray:
-    """Blocks of 64 members as bit planes: word j of a block holds bit j of each lane."""
+    """Blocks of 64 members (rows of 64-bit words) as bit planes: word j of a block holds bit j of each lane."""
+    width = members.shape[1]
     blocks = -(-len(members) // 64)
-    padded = np.zeros(blocks * 64, dtype="<u8")
+    padded = np.zeros((blocks * 64, width), dtype="<u8")
     padded[: len(members)] = members
-    bits = np.unpackbits(padded.view(np.uint8).reshape(blocks, 64, 8), axis=2, bitorder="little")
-    return np.packbits(bits.transpose(0, 2, 1), axis=2, bitorder="little").reshape(blocks, 64, 8).copy().view("<u8")[:, :, 0]
+    bits = np.unpackbits(padded.view(np.uint8).reshape(blocks, 64, 8 * width), axis=2, bitorder="little")
+    return np.packbits(bits.transpose(0, 2, 1), axis=2, bitorder="little").reshape(blocks, 64 * width, 8).copy().view("<u8")[:, :, 0]
+
+
+def _beyond(counter: list[np.ndarray], radius: int) -> np.ndarray:
+    """The lanes whose bitwise counter is over ``radius``."""
+    more, same = np.zeros_like(counter[0]), ~np.zeros_like(counter[0])
+    for i in reversed(range(len(counter))):
+        if (radius >> i) & 1:
+            same &= counter[i]
+        else:
+            more |= same & counter[i]
+            same &= ~counter[i]
+    return more
 
 
 def _near_lanes(query: np.ndarray, block: np.ndarray, planes: np.ndarray, over: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Which meetings survive, and the lanes within ``radius`` of each. ``over`` starts as the lanes to ignore.
 
-    Counters are carry-save: ``low`` and ``high`` are two bits per lane, ``over`` is the overflow beyond 3.
+    Counters are carry-save: plane i of ``counter`` is bit i of every lane's distance, a carry out of the last
+    plane marks the lane as over. Meetings whose lanes are all over are abandoned.
     """
     alive = np.arange(len(query))
-    low, high = np.zeros(len(query), "<u8"), np.zeros(len(query), "<u8")
-    for j in range(64):
-        differ = planes[block, j] ^ (np.uint64(0) - ((query >> np.uint64(j)) & np.uint64(1)))
-        carry = low & differ
-        low = low ^ differ
-        over = over | (high & carry)
-        high = high ^ carry
-        if j % 8 == 7:
+    counter = [np.zeros(len(query), "<u8") for _ in range(max(1, radius.bit_length()))]
+    step = 8 if planes.shape[1] == 64 else 32
+    for j in range(planes.shape[1]):
+        carry = planes[block, j] ^ (np.uint64(0) - ((query[:, j // 64] >> np.uint64(j % 64)) & np.uint64(1)))
+        for i, plane in enumerate(counter):
+            counter[i], carry = plane ^ carry, plane & carry
+        over = over | carry
+        if j % step == step - 1:
+            over = over | _beyond(counter, radius)
             live = ~over != 0
             if not live.all():
-                alive, query, block, over, low, high = (x[live] for x in (alive, query, block, over, low, high))
+                alive, query, block, over = alive[live], query[live], block[live], over[live]
+                counter = [plane[live] for plane in counter]
             if not len(alive):
                 break
-    over = over | {3: np.uint64(0), 2: high & low, 1: high, 0: high | low}[radius]
     return alive, ~over
 
 
-def bucket_links(buckets: list[list[int]], radius: int = RADIUS) -> Iterator[tuple[int, int]]:
-    """Spanning links of each bucket's fingerprints (signed longs), many buckets in one bit-sliced run."""
-    held: list[list[int]] = []
+def bucket_links(buckets: list[list], radius: int = RADIUS) -> Iterator[tuple]:
+    """Spanning links of each bucket's fingerprints (signed longs, or bytes of whole 64-bit words), many buckets in one run."""
+    held: list[list] = []
     meetings = 0
     for bucket in buckets:
         held.append(bucket)
@@ -109,27 +129,30 @@ def bucket_links(buckets: list[list[int]], radius: int = RADIUS) -> Iterator[tup
         yield from _links(held, radius)
 
 
-def _links(buckets: list[list[int]], radius: int) -> Iterator[tuple[int, int]]:
-    members = np.concatenate([np.array(b, dtype=np.int64) for b in buckets])
+def _links(buckets: list[list], radius: int) -> Iterator[tuple]:
+    flat = [x for b in buckets for x in b]
+    if isinstance(flat[0], int):
+        bits = np.array(flat, dtype=np.int64).view("<u8").reshape(-1, 1)
+    else:
+        bits = np.frombuffer(b"".join(flat), dtype="<u8").reshape(len(flat), -1)
     sizes = np.array([len(b) for b in buckets])
     blocks = -(-sizes // 64)
-    first_member = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    first_block = np.concatenate([[0], np.cumsum(blocks)[:-1]])
-    planes = np.concatenate([_planes(members[s : s + n].view("<u8")) for s, n in zip(first_member, sizes)])
+    first_member = np.cumsum(sizes) - sizes
+    first_block = np.cumsum(blocks) - blocks
+    planes = np.concatenate([_planes(bits[s : s + n]) for s, n in zip(first_member, sizes)])
     owner = np.repeat(np.arange(len(sizes)), sizes)
     lane0 = np.repeat(first_member, blocks) + 64 * (np.arange(blocks.sum()) - np.repeat(first_block, blocks))
     held = np.minimum(64, np.repeat(first_member + sizes, blocks) - lane0)
     # Every member meets the blocks from its own on; the lanes up to itself are ignored.
-    own_block = first_block[owner] + (np.arange(len(members)) - first_member[owner]) // 64
+    own_block = first_block[owner] + (np.arange(len(flat)) - first_member[owner]) // 64
     ahead = first_block[owner] + blocks[owner] - own_block
-    query = np.repeat(np.arange(len(members)), ahead)
+    query = np.repeat(np.arange(len(flat)), ahead)
     block = np.arange(ahead.sum()) - np.repeat(np.cumsum(ahead) - ahead, ahead) + np.repeat(own_block, ahead)
     none, every = np.uint64(0), ~np.uint64(0)
     absent = np.where(held == 64, none, every << np.minimum(held, 63).astype("<u8")).astype("<u8")
     lane = (query - lane0[block]).clip(-1, 63)
     upto = np.where(lane < 0, none, every >> (np.uint64(63) - lane.clip(0).astype("<u8"))).astype("<u8")
-    bits = members.view("<u8")
-    root = np.arange(len(members))
+    root = np.arange(len(flat))
     for s in range(0, len(query), MEETINGS):
         q, b = query[s : s + MEETINGS], block[s : s + MEETINGS]
         alive, near = _near_lanes(bits[q], b, planes, absent[b] | upto[s : s + MEETINGS], radius)
@@ -141,7 +164,7 @@ def _links(buckets: list[list[int]], radius: int) -> Iterator[tuple[int, int]]:
     while (root[root] != root).any():
         root = root[root]
     for i in np.nonzero(root != np.arange(len(root)))[0]:
-        yield int(members[i]), int(members[root[i]])
+        yield flat[i], flat[root[i]]
 
 
 def _merge(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -209,6 +232,55 @@ def _unsigned(mask: int) -> int:
     return mask & ((1 << 64) - 1)
 
 
+def wide_fingerprint(text: str | None, words: int = WIDE_SHINGLE, prints: int = WIDE_PRINTS) -> bytes:
+    """``prints`` fingerprints over the set of word shingles, their hashes remixed for each."""
+    w = (text or "").encode().lower().split()
+    if not w:
+        return bytes(8 * prints)
+    shingles = [b" ".join(w)] if len(w) < words else map(b" ".join, zip(*[w[i:] for i in range(words)]))
+    hashes = np.unique(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], dtype="<u8"))
+    out = []
+    for i in range(prints):
+        mixed = hashes + np.uint64((i * 0x9E3779B97F4A7C15) & (2**64 - 1))
+        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        mixed ^= mixed >> np.uint64(31)
+        ones = np.zeros(64, dtype=np.int64)
+        for s in range(0, len(mixed), 1 << 16):
+            ones += np.unpackbits(mixed[s : s + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        out.append(np.packbits(2 * ones > len(mixed), bitorder="little").tobytes())
+    return b"".join(out)
+
+
+def wide_radius(similarity: float, bits: int) -> int:
+    """Differing bits to expect at a Jaccard similarity: sets of one size have the cosine 2J / (1 + J). One deviation is added."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(bits * share + math.sqrt(bits * share * (1 - share)))
+
+
+def wide_links(prints: DataFrame, similarity: float = SIMILARITY, limit: int = LIMIT) -> DataFrame:
+    """(u, v): spanning links among the distinct values of ``wide`` that estimate to ``similarity`` or more.
+
+    Candidates agree on one of the 16-bit bands. A band's bucket over ``limit`` is cut into tiles, and every
+    pair of tiles is a bucket of its own, so that all its pairs are compared in groups of bounded size.
+    """
+    every = stored(prints.select("wide").distinct())
+    bits = 64 * WIDE_PRINTS
+    bands = F.transform(F.sequence(F.lit(0), F.lit(bits // 16 - 1)), lambda i: F.struct(i.alias("band"), F.substring(F.col("wide"), 2 * i + 1, F.lit(2)).alias("value")))
+    keyed = every.select("wide", F.explode(bands).alias("b")).select("wide", "b.band", "b.value")
+    sizes = keyed.groupBy("band", "value").agg(F.ceil(F.count("*") / F.lit(limit)).cast("long").alias("tiles"), F.count("*").alias("n"))
+    sized = keyed.join(sizes.where(F.col("n") > 1).drop("n"), ["band", "value"])
+    own = F.pmod(F.xxhash64("wide"), F.col("tiles"))
+    tiled = sized.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    members = tiled.groupBy("band", "value", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")).agg(F.collect_list("wide").alias("members"))
+    radius = wide_radius(similarity, bits)
+
+    def rows(batch: dict) -> Iterator[tuple]:
+        yield from bucket_links([m for m in batch["members"] if len(m) > 1], radius)
+
+    return stored(map_rows(members.select("members"), rows, "u binary, v binary").distinct())
+
+
 def classes(prints: DataFrame, least: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``least`` (one row per fingerprint) with ``root``, the smallest fingerprint of its component."""
     found = components(fingerprint_links(prints, radius))
@@ -225,21 +297,30 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return prints.join(ids, "fingerprint").select(key, "fingerprint", "component_id")
 
 
-def keep_representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One row of each component: the one with the smallest (key, digest of its text), NULL keys last.
+def keep_representatives(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE, radius: int = RADIUS, similarity: float = SIMILARITY
+) -> DataFrame:
+    """One row of each near-duplicate group: the one with the smallest (key, digest of its text), NULL keys last.
 
-    Rows equal in both are one row. Only digests are shuffled to choose; the chosen come back by a semi join.
+    Groups are joined by fingerprints within ``radius`` and by wide fingerprints (over sets of five-word
+    shingles) that estimate to a Jaccard similarity of ``similarity`` or more. Rows equal in key and text are
+    one row. Only digests are shuffled to choose; the chosen come back by a semi join.
     """
     own = F.struct(F.col(key).isNull().alias("absent"), F.col(key).alias("id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest"))
 
     def rows(batch: dict) -> Iterator[tuple]:
         for row, t in zip(batch["own"], batch["t"]):
-            yield row, fingerprint(t, words)
+            yield row, fingerprint(t, words), wide_fingerprint(t)
 
-    schema = StructType([StructField("own", docs.select(own.alias("own")).schema["own"].dataType), StructField("fingerprint", LongType())])
+    schema = StructType([StructField("own", docs.select(own.alias("own")).schema["own"].dataType), StructField("fingerprint", LongType()), StructField("wide", BinaryType())])
     prints = stored(map_rows(docs.select(own.alias("own"), F.col(text).alias("t")), rows, schema))
-    rooted = classes(prints, prints.groupBy("fingerprint").agg(F.min("own").alias("least")), radius)
-    chosen = stored(rooted.groupBy("root").agg(F.min("least").alias("own")).select("own"))
+    # One graph over both kinds of fingerprint, which differ in length; a document ties its two together.
+    narrow = lambda c: F.unhex(F.lpad(F.hex(c), 16, "0"))
+    ties = prints.select(narrow("fingerprint").alias("u"), F.col("wide").alias("v")).distinct()
+    links = fingerprint_links(prints, radius).select(narrow("u").alias("u"), narrow("v").alias("v"))
+    found = components(ties.union(links).union(wide_links(prints, similarity)))
+    least = prints.groupBy("wide").agg(F.min("own").alias("least"))
+    chosen = stored(least.join(found, F.col("wide") == F.col("node")).groupBy("root").agg(F.min("least").alias("own")).select("own"))
     kept = docs.select(whole_row(docs).alias("doc"), own.alias("mine")).join(chosen, F.col("mine") == F.col("own"), "left_semi")
     # Rows equal in key and text would all pass: of these one stays, found among the repeated keys alone.
     again = prints.groupBy("own").agg(F.count("*").alias("n")).where(F.col("n") > 1).join(chosen, "own", "left_semi").select(F.col("own").alias("again"))
