@@ -39,7 +39,7 @@ SEED = 42
 WIDE_SHINGLE = 5
 WIDE_PRINTS = 8
 SIMILARITY = 0.8
-#: (fingerprint, block) meetings in memory at a time.
+#: (64 bits of a fingerprint, block) meetings in memory at a time.
 MEETINGS = 1 << 17
 
 
@@ -121,7 +121,8 @@ def bucket_links(buckets: list[list], radius: int = RADIUS) -> Iterator[tuple]:
     meetings = 0
     for bucket in buckets:
         held.append(bucket)
-        meetings += len(bucket) * -(-len(bucket) // 64)
+        words = 1 if isinstance(bucket[0], int) else len(bucket[0]) // 8
+        meetings += words * len(bucket) * -(-len(bucket) // 64)
         if meetings >= MEETINGS:
             yield from _links(held, radius)
             held, meetings = [], 0
@@ -153,7 +154,7 @@ def _links(buckets: list[list], radius: int) -> Iterator[tuple]:
     lane = (query - lane0[block]).clip(-1, 63)
     upto = np.where(lane < 0, none, every >> (np.uint64(63) - lane.clip(0).astype("<u8"))).astype("<u8")
     root = np.arange(len(flat))
-    for s in range(0, len(query), MEETINGS):
+    for s in range(0, len(query), MEETINGS):  # a single bucket may have more
         q, b = query[s : s + MEETINGS], block[s : s + MEETINGS]
         alive, near = _near_lanes(bits[q], b, planes, absent[b] | upto[s : s + MEETINGS], radius)
         q, b = q[alive], b[alive]
