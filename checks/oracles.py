@@ -432,6 +432,54 @@ def _kruskal(source: str, by: str = "") -> str:
   FROM h JOIN t {'USING (' + by + ')' if by else 'ON true'}"""
 
 
+def _simpson(density: str, upper: str, steps: int = 4000) -> str:
+    """Integral of a density in @ from 0 to ``upper``, row by row."""
+    weight = f"CASE WHEN i = 0 OR i = {steps} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    return f"(SELECT {upper} / {steps} / 3 * sum({weight} * ({density.replace('@', f'({upper} * i / {steps})')})) FROM range(0, {steps + 1}) AS k(i))"
+
+
+def _student(t: str, df: str) -> str:
+    """Two-sided tail of Student's t; all but nothing lies within 60."""
+    density = f"exp(lgamma(({df} + 1) / 2.0) - lgamma({df} / 2.0) - ({df} + 1) / 2.0 * ln(1 + @ * @ / {df})) / sqrt({df} * pi())"
+    return f"(1 - 2 * {_simpson(density, f'least(abs({t}), 60)')})"
+
+
+def _chi2(h: str, df: str) -> str:
+    """Upper tail of chi-square, integrated over its square root, where the density is smooth."""
+    density = f"2 * pow(@, {df} - 1) * exp(-@ * @ / 2) / (pow(2, {df} / 2.0) * exp(lgamma({df} / 2.0)))"
+    return f"(1 - {_simpson(density, f'sqrt({h})')})"
+
+
+def _normal(z: str) -> str:
+    return f"(1 - 2 * {_simpson('exp(-@ * @ / 2) / sqrt(2 * pi())', f'least(abs({z}), 12)')})"
+
+
+def _arms(source: str, value: str, arm: str, by: str = "") -> str:
+    """u_p and welch_p of two arms, in columns n1, n2, u, z, t, df."""
+    keep = f"{by}, " if by else ""
+    return f"""r AS ({_ranks(source, value, by)}),
+  s AS (SELECT {keep}count(*) FILTER ({arm}) AS n1, avg({value}) FILTER ({arm}) AS m1, stddev_samp({value}) FILTER ({arm}) AS s1,
+    count(*) FILTER (NOT {arm}) AS n2, avg({value}) FILTER (NOT {arm}) AS m2, stddev_samp({value}) FILTER (NOT {arm}) AS s2,
+    sum(rk) FILTER ({arm}) - count(*) FILTER ({arm}) * (count(*) FILTER ({arm}) + 1) / 2 AS u, sum(tied * tied - 1.0) AS ties, CAST(count(*) AS DOUBLE) AS n FROM r GROUP BY ALL),
+  w AS (SELECT *, greatest(u, n1 * n2 - u) AS big, s1 * s1 / n1 AS e1, s2 * s2 / n2 AS e2 FROM s),
+  a AS (SELECT *, (big - n1 * n2 / 2.0 - 0.5) / sqrt(n1 * n2 / 12.0 * (n + 1 - ties / (n * (n - 1)))) AS z, (m1 - m2) / sqrt(e1 + e2) AS t,
+    (e1 + e2) * (e1 + e2) / (e1 * e1 / (n1 - 1) + e2 * e2 / (n2 - 1)) AS df FROM w)"""
+
+
+oracle("trend_p_values", f"""WITH s AS (SELECT event_type, datediff('day', DATE '0001-01-01', CAST(ts AS DATE)) + 1 AS x, value AS y FROM events),
+  f AS (SELECT event_type, regr_count(y, x) AS n, regr_slope(y, x) AS slope, regr_r2(y, x) AS r2, regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy FROM s GROUP BY 1),
+  g AS (SELECT *, sqrt((1 - r2) * syy / sxx / (n - 2)) AS err, CAST(n - 2 AS DOUBLE) AS df FROM f)
+  SELECT event_type, CAST(n AS BIGINT) AS n, round(slope, 6) AS slope, round(r2, 6) AS r2, round(err, 6) AS std_err, round({_student('(slope / err)', 'df')}, 6) AS p_value FROM g""")
+oracle("kruskal_p_values", f"""WITH e AS (SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM events), k AS (WITH {_kruskal('e', 'day').replace('round(CASE', '(CASE').replace(' END, 6) AS h_stat', ' END) AS h_stat')})
+  SELECT day, round(CASE WHEN groups > 1 THEN {_chi2('greatest(h_stat, 0.0)', '(groups - 1)')} ELSE 1 END, 6) AS p_value FROM k""")
+oracle("kruskal_by_unknown_segment", f"""WITH e AS (SELECT *, CAST(user_id % 3 AS VARCHAR) AS part FROM events), k AS (WITH {_kruskal('e', 'part')})
+  SELECT nullif(part, '0') AS part, n, groups, h_stat FROM k""")
+oracle("spearman_p_values", f"""WITH a AS (SELECT l_returnflag, l_discount, rk AS rx FROM ({_ranks('(SELECT * FROM lineitem)', 'l_quantity', 'l_returnflag')})),
+  b AS (SELECT l_returnflag, rx, rk AS ry FROM ({_ranks('a', 'l_discount', 'l_returnflag')})),
+  c AS (SELECT l_returnflag, count(*) AS n, corr(rx, ry) AS rho FROM b GROUP BY 1), d AS (SELECT *, CAST(n - 2 AS DOUBLE) AS df, rho * sqrt((n - 2) / ((1 - rho) * (1 + rho))) AS t FROM c)
+  SELECT l_returnflag, n, round(rho, 6) AS rho, round({_student('t', 'df')}, 6) AS p_value FROM d""")
+oracle("two_arm_p_values", f"""WITH {_arms('(SELECT l_returnflag, l_quantity, l_linestatus FROM lineitem)', 'l_quantity', "(l_linestatus = 'F')", 'l_returnflag')}
+  SELECT l_returnflag, CASE WHEN n1 > 0 AND n2 > 0 THEN round({_normal('z')}, 6) END AS u_p, CASE WHEN n1 > 1 AND n2 > 1 THEN round({_student('t', 'df')}, 6) END AS welch_p FROM a""")
 oracle("kruskal_event_types", f"WITH {_kruskal('events')}")
 oracle("kruskal_by_day", f"WITH e AS (SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM events), {_kruskal('e', 'day')}")
 oracle("spearman_lines", f"""WITH a AS (SELECT l_returnflag, l_extendedprice, rk AS rx FROM ({_ranks('(SELECT * FROM lineitem)', 'l_quantity', 'l_returnflag')})),
@@ -452,6 +500,19 @@ oracle("trend_finding", f"""{FULL}, f AS (SELECT regr_count(duration_days, ordin
   SELECT 'Q1' AS question_id, CAST(n AS BIGINT) AS n, cohorts, round_even(slope * 30.4375, 3) AS monthly_slope_days, round_even(r2, 4) AS r_squared,
     round_even(sqrt((1 - r2) * syy / sxx / (n - 2)) * 30.4375, 4) AS std_err, first_month, last_month, first_month_mean, last_month_mean,
     round_even(last_month_mean - first_month_mean, 2) AS mean_increase FROM f, c""")
+oracle("trend_verdict", f"""{FULL}, f AS (SELECT regr_count(duration_days, ordinal) AS n, regr_slope(duration_days, ordinal) AS slope, regr_r2(duration_days, ordinal) AS r2,
+    regr_sxx(duration_days, ordinal) AS sxx, regr_syy(duration_days, ordinal) AS syy FROM closed),
+  g AS (SELECT *, slope / sqrt((1 - r2) * syy / sxx / (n - 2)) AS t, CAST(n - 2 AS DOUBLE) AS df FROM f), p AS (SELECT *, {_student('t', 'df')} AS p FROM g)
+  SELECT 'Q1' AS question_id, round(p, 6) AS p_value, CASE WHEN n < 10 THEN 'CANNOT ANSWER' WHEN slope > 0 AND p < 0.05 THEN 'YES' WHEN slope < 0 AND p < 0.05 THEN 'NO'
+    ELSE 'INCONCLUSIVE / NO SIGNIFICANT INCREASE' END AS verdict, CASE WHEN n < 10 THEN 'CANNOT ANSWER' WHEN p < 0.01 THEN 'HIGH' WHEN p < 0.05 THEN 'MEDIUM' ELSE 'LOW' END AS confidence_level FROM p""")
+oracle("triage_verdict", f"""{FULL}, urgent AS (SELECT duration_days, triaged FROM closed WHERE priority IN ('High', 'Critical')), {_arms('urgent', 'duration_days', 'triaged')},
+  q AS (SELECT median(duration_days) FILTER (triaged) AS d1, median(duration_days) FILTER (NOT triaged) AS d2 FROM urgent),
+  p AS (SELECT *, {_normal('z')} AS up, {_student('t', 'df')} AS wp, round_even(m1, 2) AS a1, round_even(m2, 2) AS a2 FROM a, q)
+  SELECT 'Q3' AS question_id, n1 AS triaged_n, a1 AS triaged_mean, round_even(d1, 2) AS triaged_median, round_even(s1, 2) AS triaged_std,
+    n2 AS untriaged_n, a2 AS untriaged_mean, round_even(d2, 2) AS untriaged_median, round_even(s2, 2) AS untriaged_std,
+    round_even(a2 - a1, 2) AS mean_difference_days, round_even((a2 - a1) / a2 * 100, 2) AS percentage_reduction, u AS mann_whitney_u, round(up, 6) AS mann_whitney_p, up < 0.05 AS significant,
+    round_even(t, 3) AS welch_t_stat, round(wp, 6) AS welch_t_p, CASE WHEN n1 + n2 < 10 THEN 'CANNOT ANSWER' WHEN up < 0.05 AND a1 < a2 THEN 'YES' ELSE 'MODERATE / INCONCLUSIVE EFFECT' END AS verdict,
+    CASE WHEN n1 + n2 < 10 THEN 'CANNOT ANSWER' WHEN up < 0.01 AND a1 < a2 THEN 'HIGH' WHEN up < 0.05 AND a1 < a2 THEN 'MEDIUM' WHEN n2 >= 5 THEN 'MEDIUM' ELSE 'LOW' END AS confidence_level FROM p""")
 oracle("triage_crosstab", f"""{FULL} SELECT category, count(*) FILTER (NOT triaged) AS untriaged, count(*) FILTER (triaged) AS triaged FROM closed
   WHERE priority IN ('High', 'Critical') GROUP BY 1""")
 oracle("triage_finding", f"""{FULL}, r AS ({_ranks("(SELECT * FROM closed WHERE priority IN ('High', 'Critical'))", 'duration_days')}),

@@ -372,7 +372,35 @@ def trend_by_event_type(spark, folder):
 
 @register
 def trend_p_values(spark, folder):
-    return stats.linear_trend(_events(spark, folder), dates.ordinal_day("ts"), F.col("value"), ["event_type"])
+    trend = stats.linear_trend(_events(spark, folder), dates.ordinal_day("ts"), F.col("value"), ["event_type"])
+    return _rounded(trend.drop("intercept", "t"))
+
+
+@register
+def kruskal_p_values(spark, folder):
+    return _rounded(stats.kruskal_wallis(_events(spark, folder), "value", "event_type", ["day"]).select("day", "p_value"))
+
+
+@register
+def kruskal_by_unknown_segment(spark, folder):
+    """A segment column that holds NULL: the NULL rows are a segment of their own."""
+    events = _events(spark, folder).withColumn("part", F.nullif(F.col("user_id") % 3, F.lit(0)).cast("string"))
+    return _rounded(stats.kruskal_wallis(events, "value", "event_type", ["part"]).select("part", "n", "groups", "h_stat"))
+
+
+@register
+def spearman_p_values(spark, folder):
+    session.tune(spark)
+    lines = table(spark, folder, "lineitem")
+    return _rounded(stats.spearman(lines, "l_quantity", "l_discount", ["l_returnflag"]))
+
+
+@register
+def two_arm_p_values(spark, folder):
+    session.tune(spark)
+    lines = table(spark, folder, "lineitem")
+    tests = stats.two_arm_tests(lines, "l_quantity", F.col("l_linestatus") == "F", ["l_returnflag"])
+    return _rounded(tests.select("l_returnflag", "u_p", "welch_p"))
 
 
 @register
@@ -405,6 +433,11 @@ def trend_finding(spark, folder):
     return _run(spark, folder).trend.drop("p_value", "verdict", "confidence_level")
 
 
+@register
+def trend_verdict(spark, folder):
+    return _rounded(_run(spark, folder).trend.select("question_id", "p_value", "verdict", "confidence_level"))
+
+
 @register
 def driver_finding(spark, folder):
     return _run(spark, folder).drivers
@@ -425,7 +458,7 @@ def triage_finding(spark, folder):
 
 @register
 def triage_verdict(spark, folder):
-    return _run(spark, folder).triage
+    return _rounded(_run(spark, folder).triage)
 
 
 @register
