@@ -351,6 +351,10 @@ oracle("normalized_duplicates", f"{BASE}, {_NORMAL} SELECT first AS index_a, row
 _DOCS = f"""d AS (SELECT doc_id, min(doc_id) OVER w AS first, count(*) OVER w AS n FROM documents WHERE {collapse('text')} <> '' WINDOW w AS (PARTITION BY lower({collapse('text')})))"""
 oracle("normalized_document_duplicates", f"WITH {_DOCS} SELECT first AS index_a, doc_id AS index_b FROM d WHERE first <> doc_id")
 oracle("cluster_members", f"WITH {_DOCS} SELECT first AS canonical, doc_id AS member FROM d WHERE n > 1")
+oracle("order_chain_clusters", """WITH o AS (SELECT *, row_number() OVER w AS place, lead(o_orderstatus) OVER w AS status, lead(o_orderpriority) OVER w AS priority, count(*) OVER (PARTITION BY o_custkey) AS n
+    FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey))
+  SELECT o_orderkey AS canonical_index, n AS total_records, CASE WHEN o_orderstatus = status THEN 'EXACT' WHEN o_orderpriority = priority THEN 'NORMALIZED' ELSE 'FUZZY' END AS match_type,
+    'Row ' || CAST(o_orderkey AS VARCHAR) AS sample_identifier FROM o WHERE place = 1 AND n > 1""")
 oracle("duplicate_clusters", f"""{BASE}, {_NORMAL} SELECT first AS canonical_index, max(n) AS total_records, 'NORMALIZED' AS match_type,
   max(CASE WHEN row_index = first THEN case_id END) AS sample_identifier FROM ng WHERE n > 1 GROUP BY 1""")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import session, vocab
@@ -319,6 +319,18 @@ def cluster_members(spark, folder):
     return duplicates.cluster_members(edges)
 
 
+@register
+def order_chain_clusters(spark, folder):
+    """Chains: every order is tied to its customer's next one only, by edges of all three tiers."""
+    session.tune(spark)
+    nearby = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    before = lambda c: F.lag(c).over(nearby)
+    tier = F.when(before("o_orderstatus") == F.col("o_orderstatus"), "EXACT").when(before("o_orderpriority") == F.col("o_orderpriority"), "NORMALIZED").otherwise("FUZZY")
+    edges = table(spark, folder, "orders").select(before("o_orderkey").alias("index_a"), F.col("o_orderkey").alias("index_b"), tier.alias("match_type"))
+    edges = edges.where(F.col("index_a").isNotNull())
+    return duplicates.cluster_groups(duplicates.cluster_members(edges), edges)
+
+
 @register
 def duplicate_report(spark, folder):
     parts = _parts(spark, folder)

@@ -43,3 +43,14 @@ def test_scan_is_pruned(spark):
     plan = QUERIES["mid_ranks"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     read = {frozenset(m.split(",")) for m in re.findall(r"ReadSchema: struct<([^>]*)>", plan)}
     assert read == {frozenset({"event_type:string", "value:double"})}
+
+
+@needs_data
+@pytest.mark.parametrize("name,most", [("rule_hits", 2), ("cleaned_cases", 2), ("cleaning_audit", 2), ("column_profile", 2), ("first_values", 1)])
+def test_few_scans_in_the_plan_that_ran(spark, name, most):
+    """Scans of the order table in the final adaptive plan, reused exchanges not counted."""
+    df = QUERIES[name](spark, FOLDER)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    scans = [line for line in final.splitlines() if "Scan parquet" in line and "o_orderkey" in line and "l_orderkey" not in line]
+    assert 1 <= len(scans) <= most

@@ -130,3 +130,29 @@ def test_rows_without_an_arm_or_group_are_left_out(spark):
     got = stats.two_arm_tests(df, "v", F.col("arm")).first()
     assert got.u_stat == 0.0 and (got.count_1, got.count_2) == (2, 2)
     assert stats.kruskal_wallis(df, "v", "arm").first().n == 4
+
+
+@pytest.mark.parametrize("dense_levels", [4096, 3])
+def test_regression_with_many_levels_of_both_factors(spark, dense_levels):
+    """Dense and iterative solutions against numpy, with a segment of NULL and factors in two separate parts."""
+    rng = random.Random(2)
+    data = []
+    for s in ("u", None):
+        for _ in range(400):
+            part = rng.choice("pq")
+            a, b = f"{part}{rng.randrange(12)}", f"{part}{rng.randrange(8)}"
+            x, z = rng.randrange(20), rng.random() < 0.4
+            data.append((s, a, b, x, z, 1e6 + 3.0 * x + 5 * z + len(a) * int(a[1:]) % 7 + rng.gauss(0, 4)))
+    df = spark.createDataFrame(data, "seg string, a string, b string, x int, z boolean, y double")
+    got = {r.seg: r for r in factor_regression(df, "y", "a", "b", "x", "z", ["seg"], dense_levels=dense_levels).collect()}
+    for s in ("u", None):
+        mine = [d for d in data if d[0] == s]
+        y = np.array([d[5] for d in mine])
+        columns = [[float(d[1] == a) for d in mine] for a in sorted({d[1] for d in mine})]
+        columns += [[float(d[2] == b) for d in mine] for b in sorted({d[2] for d in mine})]
+        m = np.array([*columns, [d[3] for d in mine], [float(d[4]) for d in mine]]).T
+        rank = np.linalg.matrix_rank(m)
+        rss = ((y - m @ np.linalg.lstsq(m, y, rcond=None)[0]) ** 2).sum()
+        r2 = 1 - rss / ((y - y.mean()) ** 2).sum()
+        assert (got[s].n, got[s].model_df) == (400, rank - 1)
+        assert got[s].r2 == pytest.approx(r2, rel=1e-8)

@@ -12,18 +12,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def with_key_stats(df: DataFrame, key: str, stats: dict[str, Column], min_rows: int = 2, source: DataFrame | None = None) -> DataFrame:
+def with_key_stats(df: DataFrame, key: str, stats: dict[str, Column], min_rows: int = 2) -> DataFrame:
     """Adds ``key_rows`` and the ``stats`` aggregates of each row's key.
 
-    Rows whose key is NULL, and keys with fewer than ``min_rows`` rows, get NULLs. ``source`` is a cheaper
-    table with the same keys to aggregate, for instance ``df`` before joins that don't change its rows.
+    Rows whose key is NULL, and keys with fewer than ``min_rows`` rows, get NULLs.
     """
     names = ["key_rows", *stats]
     # count(key) leaves the NULL group at zero rows. A filter on the key itself would be pushed down
     # to the scan and evaluate the whole expression behind the key a second time there.
-    grouped = (df if source is None else source).groupBy(F.col(key).alias("_key")).agg(
+    grouped = df.groupBy(F.col(key).alias("_key")).agg(
         F.count(key).alias("key_rows"), *[c.alias(n) for n, c in stats.items()]
     )
     repeated = grouped.where(F.col("key_rows") >= max(1, min_rows)).select("_key", *[F.col(n).alias(f"_{n}") for n in names])
     joined = df.join(repeated, F.col(key) == F.col("_key"), "left")
     return joined.select(*[F.col(c) for c in df.columns], *[F.col(f"_{n}").alias(n) for n in names])
+
+
+def with_key_counts(df: DataFrame, keys: dict[str, str], min_rows: int = 2) -> DataFrame:
+    """Adds, for each key column, how many rows share the row's key (NULL below ``min_rows``), counted in one pass.
+
+    ``keys`` maps key columns to output columns. Keys of different columns must differ, by a prefix for
+    instance, as they are counted in one table, which is aggregated once and joined once per column.
+    """
+    each = df.select(F.explode(F.array(*[F.col(k) for k in keys])).alias("_key"))
+    counts = each.groupBy("_key").agg(F.count("_key").alias("_rows")).where(F.col("_rows") >= max(1, min_rows))
+    for key, name in keys.items():
+        own = counts.select(F.col("_key").alias(f"_of_{key}"), F.col("_rows").alias(name))
+        df = df.join(own, F.col(key) == F.col(f"_of_{key}"), "left").drop(f"_of_{key}")
+    return df

@@ -1,9 +1,12 @@
 """Least squares on two factors and two numbers, from sums only.
 
-``y ~ factor_a + factor_b + x + flag``. The first factor is absorbed: sums are taken within its levels
-(the Frisch–Waugh–Lovell theorem), so any number of levels costs one aggregation. What is left is a
-matrix over the second factor's levels and the two numbers, a few dozen cells per segment, solved in
-one call.
+``y ~ factor_a + factor_b + x + flag``. The factor with more levels is absorbed: sums are taken within its
+levels (the Frisch-Waugh-Lovell theorem), so any number of levels costs one aggregation. What is left is a
+matrix over the other factor's levels and the two numbers, a few dozen cells per segment, solved in one call.
+
+Where the other factor has more than ``dense_levels`` levels as well, both are absorbed: conjugate gradients on
+the level sums take them out of y and the numbers, each step being two joins and two aggregations, until the
+residual is down to rounding. The two ways agree; the number only decides where the work happens.
 """
 
 from __future__ import annotations
@@ -12,19 +15,21 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.tails import f_p
+from tidemark.operators.components import connected_components
+from tidemark.operators.ranks import join_by
+from tidemark.session import stored_table
 
-MAX_LEVELS = 4096
+DENSE_LEVELS = 4096
+_VARIABLES = ("y", "x", "z")
 
 
 def _solve(cells: pd.DataFrame) -> tuple[int, float]:
     """Rank and explained sum of squares of the within-level regression."""
     names = sorted(set(cells["i"]) | set(cells["j"]))
-    if len(names) > MAX_LEVELS:
-        raise ValueError(f"the second factor has more than {MAX_LEVELS} levels; absorb it instead")
     place = {name: k for k, name in enumerate(names)}
     gram = np.zeros((len(names), len(names)))
     i, j = cells["i"].map(place).to_numpy(), cells["j"].map(place).to_numpy()
@@ -45,20 +50,99 @@ def _solve(cells: pd.DataFrame) -> tuple[int, float]:
     return int(real.sum()), float((along * along / values[real]).sum())
 
 
+def _segment(by: Sequence[str]) -> Column:
+    """The segment as one column, in which NULL equals NULL."""
+    return F.struct(*by) if by else F.lit(0)
+
+
+def _level_sums(cells: DataFrame, p: DataFrame) -> DataFrame:
+    """The between-factor matrix times a vector over the second factor's levels, for all variables at once."""
+    met = cells.join(p, ["g", "b"])
+    t = met.groupBy("g", "a").agg(*[(F.sum(F.col("one") * F.col(f"p_{v}")) / F.sum("one")).alias(f"t_{v}") for v in _VARIABLES])
+    return met.join(t, ["g", "a"]).groupBy("g", "b").agg(
+        *[F.sum(F.col("one") * (F.col(f"p_{v}") - F.col(f"t_{v}"))).alias(f"q_{v}") for v in _VARIABLES]
+    )
+
+
+def _squares(table: DataFrame, left: str, right: str, name: str) -> DataFrame:
+    return table.groupBy("g").agg(*[F.sum(F.col(f"{left}_{v}") * F.col(f"{right}_{v}")).alias(f"{name}_{v}") for v in _VARIABLES])
+
+
+def _both_absorbed(cells: DataFrame) -> DataFrame:
+    """(g, i, j, s): second moments of y and the numbers after both factors are taken out, by conjugate gradients."""
+    means = cells.groupBy("g", "a").agg(*[(F.sum(f"s_{v}") / F.sum("one")).alias(f"m_{v}") for v in _VARIABLES])
+    rhs = cells.join(means, ["g", "a"]).groupBy("g", "b").agg(
+        *[F.sum(F.col(f"s_{v}") - F.col("one") * F.col(f"m_{v}")).alias(f"r_{v}") for v in _VARIABLES]
+    )
+    state = stored_table(rhs.select("g", "b", *[x for v in _VARIABLES for x in (F.lit(0.0).alias(f"beta_{v}"), F.col(f"r_{v}"), F.col(f"r_{v}").alias(f"p_{v}"))]))
+    size = stored_table(_squares(state.table, "r", "r", "rr"))
+    start = stored_table(size.table.select("g", *[F.col(f"rr_{v}").alias(f"first_{v}") for v in _VARIABLES]))
+    while True:
+        left = start.table.join(size.table, "g").agg(
+            F.max(F.greatest(*[F.coalesce(F.try_divide(f"rr_{v}", f"first_{v}"), F.lit(0.0)) for v in _VARIABLES]))
+        ).first()[0]
+        if left is None or left < 1e-24:
+            break
+        q = stored_table(_level_sums(cells, state.table.select("g", "b", *[f"p_{v}" for v in _VARIABLES])).join(state.table, ["g", "b"]))
+        pq = _squares(q.table, "p", "q", "pq")
+        step = q.table.join(size.table, "g").join(pq, "g")
+        rate = {v: F.coalesce(F.try_divide(f"rr_{v}", f"pq_{v}"), F.lit(0.0)) for v in _VARIABLES}
+        moved = stored_table(step.select("g", "b", *[x for v in _VARIABLES for x in (
+            (F.col(f"beta_{v}") + rate[v] * F.col(f"p_{v}")).alias(f"beta_{v}"), (F.col(f"r_{v}") - rate[v] * F.col(f"q_{v}")).alias(f"r_{v}"), F.col(f"p_{v}"))]))
+        after = stored_table(_squares(moved.table, "r", "r", "rr"))
+        before = size.table.select("g", *[F.col(f"rr_{v}").alias(f"old_{v}") for v in _VARIABLES])
+        turned = moved.table.join(after.table, "g").join(before, "g").select("g", "b", *[x for v in _VARIABLES for x in (
+            F.col(f"beta_{v}"), F.col(f"r_{v}"), (F.col(f"r_{v}") + F.coalesce(F.try_divide(f"rr_{v}", f"old_{v}"), F.lit(0.0)) * F.col(f"p_{v}")).alias(f"p_{v}"))])
+        following = stored_table(turned)
+        for old in (state, size, q, moved):
+            old.delete()
+        state, size = following, after
+    fitted = cells.join(state.table, ["g", "b"])
+    alpha = fitted.groupBy("g", "a").agg(*[(F.sum(F.col(f"s_{v}") - F.col("one") * F.col(f"beta_{v}")) / F.sum("one")).alias(f"alpha_{v}") for v in _VARIABLES])
+    whole = fitted.join(alpha, ["g", "a"])
+    f = {v: F.col(f"alpha_{v}") + F.col(f"beta_{v}") for v in _VARIABLES}
+    moments = []
+    for p, q in [("x", "x"), ("x", "y"), ("x", "z"), ("y", "y"), ("y", "z"), ("z", "z")]:
+        s = F.col(f"s_{p}{q}") - F.col(f"s_{p}") * f[q] - F.col(f"s_{q}") * f[p] + F.col("one") * f[p] * f[q]
+        moments.append(F.struct(F.lit(p).alias("i"), F.lit(q).alias("j"), F.sum(s).alias("s")))
+    return whole.groupBy("g").agg(F.array(*moments).alias("m")).select("g", F.explode("m").alias("c")).select("g", "c.*")
+
+
+def _levels_less_parts(cells: DataFrame) -> DataFrame:
+    """(g, levels): the rank of both factors together, levels of either less the connected parts of their cells."""
+    node = lambda side: F.md5(F.concat(F.to_json(F.struct("g")), F.lit(side), F.col(side)))
+    edges = cells.select("g", node("a").alias("index_a"), node("b").alias("index_b"))
+    parts = connected_components(edges).withColumnRenamed("member", "index_a")
+    sides = edges.select("g", "index_a").union(edges.select("g", "index_b")).distinct().join(parts, "index_a")
+    return sides.groupBy("g").agg((F.count("*") - F.count_distinct("canonical")).alias("levels"))
+
+
 def factor_regression(
-    df: DataFrame, y: str, absorbed: str, factor: str, number: str, flag: str, by: Sequence[str] = ()
+    df: DataFrame, y: str, absorbed: str, factor: str, number: str, flag: str, by: Sequence[str] = (), dense_levels: int = DENSE_LEVELS
 ) -> DataFrame:
     """n, rank, R², adjusted R², F and its p-value of the full model per segment."""
     by = list(by)
-    rows = df.select(
+    filled = df.na.drop(subset=[y, absorbed, factor, number, flag])
+    counted = filled.groupBy(*by).agg(F.count_distinct(absorbed).alias("a"), F.count_distinct(factor).alias("b")).agg(F.max("a"), F.max("b")).first()
+    levels_a, levels_b = counted[0] or 0, counted[1] or 0
+    if levels_b > levels_a:
+        absorbed, factor = factor, absorbed
+    raw = filled.select(
         *by,
-        F.col(absorbed).alias("a"),
+        F.col(absorbed).cast("string").alias("a"),
         F.concat(F.lit("f:"), F.col(factor)).alias("b"),
         F.col(number).cast("double").alias("x"),
         F.col(flag).cast("double").alias("z"),
         F.col(y).cast("double").alias("y"),
-    ).na.drop()
-    whole = rows.groupBy(*by).agg(F.count("*").alias("n"), (F.var_pop("y") * F.count("*")).alias("tss"))
+    )
+    # Second moments of centred numbers: large means would cancel their digits away.
+    means = raw.groupBy(*by).agg(*[F.avg(v).alias(f"mean_{v}") for v in _VARIABLES])
+    if by:
+        rows = join_by(raw, means, by)
+    else:
+        rows = raw.withColumns({f"mean_{v}": means.select(f"mean_{v}").scalar() for v in _VARIABLES})
+    rows = rows.select(*by, "a", "b", *[(F.col(v) - F.col(f"mean_{v}")).alias(v) for v in _VARIABLES])
+    whole = rows.groupBy(*by).agg(F.count("*").alias("n"), F.sum(F.col("y") * F.col("y")).alias("tss"))
 
     # Second moments per row: six products of the numbers, plus each of them against the row's level.
     numbers = {"x": F.col("x"), "z": F.col("z"), "y": F.col("y")}
@@ -68,6 +152,12 @@ def factor_regression(
         *[F.sum(c).alias(f"s_{k}") for k, c in numbers.items()],
         *[F.sum(numbers[p] * numbers[q]).alias(f"s_{p}{q}") for p, q in pairs],
     )
+    if min(levels_a, levels_b) > dense_levels:
+        cells = stored_table(by_level.select(_segment(by).alias("g"), "*")).table
+        own = [F.col(f"g.{c}").alias(c) for c in by]
+        within = stored_table(_both_absorbed(cells).select(*own, "i", "j", "s")).table
+        level_count = _levels_less_parts(cells).select(*own, "levels")
+        return _finish(whole, level_count, within, by, df)
     cell = lambda i, j, s: F.struct(i.alias("i"), j.alias("j"), s.alias("s"))
     moments = by_level.select(
         *by,
@@ -98,7 +188,12 @@ def factor_regression(
     )
     ordered = moments.select(*by, F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "s")
     within = ordered.unionByName(between).groupBy(*by, "i", "j").agg(F.sum("s").alias("s"))
+    level_count = by_level.groupBy(*by).agg(F.count_distinct("a").alias("levels"))
+    return _finish(whole, level_count, within, by, df)
 
+
+def _finish(whole: DataFrame, level_count: DataFrame, within: DataFrame, by: list[str], df: DataFrame) -> DataFrame:
+    """The small matrix of each segment solved, and the statistics of the whole model."""
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in by] + ["inner_rank int", "inner_ess double"])
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -108,10 +203,9 @@ def factor_regression(
 
     fitted = within.groupBy(*by).applyInPandas(fit, schema)
     # Within-level total: the y,y cell; what the absorbed factor itself explains is the remainder.
-    level_count = by_level.groupBy(*by).agg(F.count_distinct("a").alias("levels"))
     inner_total = within.where((F.col("i") == "y") & (F.col("j") == "y")).select(*by, F.col("s").alias("inner_tss"))
     if by:
-        table = whole.join(level_count, by).join(inner_total, by).join(fitted, by)
+        table = join_by(join_by(join_by(whole, level_count, by), inner_total, by), fitted, by)
     else:
         table = fitted.withColumns(
             {

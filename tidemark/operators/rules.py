@@ -14,7 +14,7 @@ from tidemark.functions.coerce import to_number
 from tidemark.functions.dates import parse_date
 from tidemark.functions.text import category_key, is_token, name_key, row_digest, stripped
 from tidemark.operators.date_audit import reference_point
-from tidemark.operators.keyed import with_key_stats
+from tidemark.operators.keyed import with_key_counts
 
 # Rule, severity and column, in the order the rules run.
 RULES = [
@@ -45,19 +45,17 @@ def rule_hits_by_row(
         *[(stripped(c) if c in has else F.lit("")).alias(c) for c in _COLUMNS],
     ).withColumns(
         {
-            "id_key": F.when(F.col("case_id") != "", row_digest(["case_id"])),
+            "id_key": F.when(F.col("case_id") != "", F.concat(F.lit("id:"), row_digest(["case_id"]))),
             "case_key": F.when(
                 (F.col("client_name") != "") & (category_key("category", "") != "") & (F.col("intake_date") != ""),
-                row_digest([name_key("client_name"), category_key("category", ""), F.col("intake_date")]),
+                F.concat(F.lit("case:"), row_digest([name_key("client_name"), category_key("category", ""), F.col("intake_date")])),
             ),
             "intake_at": parse_date("intake_date"),
             "closure_at": parse_date("closure_date"),
             "contacts": to_number("contact_count"),
         }
     )
-    # Both aggregates come from the one projection, not from each other's joins.
-    keyed = with_key_stats(read, "id_key", {}).withColumnRenamed("key_rows", "same_id")
-    keyed = with_key_stats(keyed, "case_key", {}, source=read).withColumnRenamed("key_rows", "same_case")
+    keyed = with_key_counts(read, {"id_key": "same_id", "case_key": "same_case"})
 
     def filled_in(name: str) -> Column:
         return F.col(name) != ""
