@@ -517,6 +517,37 @@ oracle("triage_verdict", f"""{FULL}, urgent AS (SELECT duration_days, triaged FR
     round_even(a2 - a1, 2) AS mean_difference_days, round_even((a2 - a1) / a2 * 100, 2) AS percentage_reduction, u AS mann_whitney_u, round(up, 6) AS mann_whitney_p, up < 0.05 AS significant,
     round_even(t, 3) AS welch_t_stat, round(wp, 6) AS welch_t_p, CASE WHEN n1 + n2 < 10 THEN 'CANNOT ANSWER' WHEN up < 0.05 AND a1 < a2 THEN 'YES' ELSE 'MODERATE / INCONCLUSIVE EFFECT' END AS verdict,
     CASE WHEN n1 + n2 < 10 THEN 'CANNOT ANSWER' WHEN up < 0.01 AND a1 < a2 THEN 'HIGH' WHEN up < 0.05 AND a1 < a2 THEN 'MEDIUM' WHEN n2 >= 5 THEN 'MEDIUM' ELSE 'LOW' END AS confidence_level FROM p""")
+def _drivers(by: str) -> str:
+    """Q2 per segment: rank tests, and least squares by eliminating the moment matrix pivot by pivot."""
+    f_density = "2 * pow(@, d1 - 1) * exp(lgamma((d1 + d2) / 2.0) - lgamma(d1 / 2.0) - lgamma(d2 / 2.0) + d1 / 2.0 * ln(d1 / d2) - (d1 + d2) / 2.0 * ln(1 + d1 * @ * @ / d2))"
+    return f"""full_rows AS (SELECT {by} AS seg, duration_days AS value, category AS event_type, priority, CAST(contact_count AS DOUBLE) AS x, CAST(triaged AS DOUBLE) AS z FROM closed
+    WHERE duration_days IS NOT NULL AND category IS NOT NULL AND priority IS NOT NULL AND contact_count IS NOT NULL),
+  kw AS (WITH {_kruskal('full_rows', 'seg').replace(', 6) AS h_stat', ', 12) AS h_stat')}),
+  sa AS (SELECT seg, x, value, rk AS rx FROM ({_ranks('full_rows', 'x', 'seg')})), sb AS (SELECT seg, rx, rk AS ry FROM ({_ranks('sa', 'value', 'seg')})),
+  sp AS (SELECT *, rho * sqrt((n - 2) / ((1 - rho) * (1 + rho))) AS t, CAST(n - 2 AS DOUBLE) AS df FROM (SELECT seg, count(*) AS n, corr(rx, ry) AS rho FROM sb GROUP BY 1)),
+  ca AS (SELECT list(DISTINCT event_type ORDER BY event_type) AS cats FROM full_rows), pa AS (SELECT list(DISTINCT priority ORDER BY priority) AS pris FROM full_rows),
+  mean AS (SELECT seg, avg(value) AS my, avg(x) AS mx FROM full_rows GROUP BY 1),
+  vec AS (SELECT seg, list_concat([1.0], list_transform(cats, lambda c: CASE WHEN c = event_type THEN 1.0 ELSE 0.0 END), list_transform(pris, lambda c: CASE WHEN c = priority THEN 1.0 ELSE 0.0 END), [x - mx, z, value - my]) AS v
+    FROM full_rows JOIN mean USING (seg), ca, pa),
+  gram AS (SELECT seg, i, j, sum(v[i] * v[j]) AS s FROM vec, unnest(range(1, len(v) + 1)) AS a(i), unnest(range(1, len(v) + 1)) AS b(j) GROUP BY ALL),
+  mrow AS (SELECT seg, i, list(s ORDER BY j) AS line FROM gram GROUP BY seg, i), mat AS (SELECT seg, list(line ORDER BY i) AS m FROM mrow GROUP BY seg),
+  sweep AS (WITH RECURSIVE e AS (SELECT seg, m, list_transform(m, lambda r, i: r[i]) AS diag, 1 AS k, 0 AS rank, len(m) AS p FROM mat
+    UNION ALL SELECT seg, CASE WHEN m[k][k] > 1e-9 * greatest(diag[k], 1e-300) THEN list_transform(m, lambda r, i: CASE WHEN i > k THEN list_transform(r, lambda c, j: c - r[k] * m[k][j] / m[k][k]) ELSE r END) ELSE m END,
+      diag, k + 1, rank + CASE WHEN m[k][k] > 1e-9 * greatest(diag[k], 1e-300) THEN 1 ELSE 0 END, p FROM e WHERE k < p)
+    SELECT seg, m[p][p] AS rss, diag[p] AS tss, rank FROM e WHERE k = p),
+  fit AS (SELECT seg, CAST(rank - 1 AS DOUBLE) AS d1, CAST(n - rank AS DOUBLE) AS d2, n, CASE WHEN tss > 0 THEN 1 - rss / tss END AS r2 FROM sweep JOIN sp USING (seg)),
+  ff AS (SELECT *, CASE WHEN d2 > 0 THEN 1 - (1 - r2) * (n - 1) / d2 END AS adj, CASE WHEN d1 > 0 AND d2 > 0 AND r2 < 1 THEN r2 / d1 / ((1 - r2) / d2) END AS f FROM fit),
+  fp AS (SELECT *, CASE WHEN f IS NOT NULL THEN 1 - {_simpson(f_density, 'sqrt(f)')} END AS f_p FROM ff),
+  gm AS (SELECT seg, event_type, avg(value) AS m FROM full_rows GROUP BY ALL),
+  ends AS (SELECT seg, arg_min(event_type, (-m, event_type)) AS top, max(m) AS top_mean, arg_max(event_type, (-m, event_type)) AS low, min(m) AS low_mean FROM gm GROUP BY 1)
+  SELECT {'seg AS ' + by + ', ' if by != "'all'" else ''}'Q2' AS question_id, kw.n AS n, round_even(h_stat, 3) AS h_stat, round(kwp, 6) AS kw_p, kwp < 0.05 AS kw_significant, round_even(rho, 3) AS rho, round(spp, 6) AS spearman_p,
+    round_even(adj, 4) AS adj_r_squared, round(f_p, 6) AS f_pvalue, top AS top_category, round_even(top_mean, 2) AS top_category_mean, low AS bottom_category, round_even(low_mean, 2) AS bottom_category_mean,
+    CASE WHEN kw.n >= 20 THEN 'PRIMARY DRIVERS' ELSE 'CANNOT ANSWER' END AS verdict, CASE WHEN kw.n >= 20 THEN 'HIGH' ELSE 'CANNOT ANSWER' END AS confidence_level
+  FROM (SELECT *, CASE WHEN groups > 1 THEN {_chi2('greatest(h_stat, 0.0)', '(groups - 1)')} ELSE 1 END AS kwp FROM kw) AS kw JOIN (SELECT *, {_student('t', 'df')} AS spp FROM sp) AS sp USING (seg) JOIN fp USING (seg) JOIN ends USING (seg)"""
+
+
+oracle("driver_finding", f"""{FULL}, {_drivers("'all'")}""")
+oracle("driver_finding_by_agent", f"""{FULL}, {_drivers("assigned_agent")}""")
 oracle("triage_crosstab", f"""{FULL} SELECT category, count(*) FILTER (NOT triaged) AS untriaged, count(*) FILTER (triaged) AS triaged FROM closed
   WHERE priority IN ('High', 'Critical') GROUP BY 1""")
 oracle("triage_finding", f"""{FULL}, r AS ({_ranks("(SELECT * FROM closed WHERE priority IN ('High', 'Critical'))", 'duration_days')}),

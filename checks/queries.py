@@ -452,12 +452,12 @@ def trend_verdict(spark, folder):
 
 @register
 def driver_finding(spark, folder):
-    return _run(spark, folder).drivers
+    return _rounded(_run(spark, folder).drivers)
 
 
 @register
 def driver_finding_by_agent(spark, folder):
-    return findings.driver_finding(_closed(spark, folder), ["assigned_agent"])
+    return _rounded(findings.driver_finding(_closed(spark, folder), ["assigned_agent"]))
 
 
 @register
