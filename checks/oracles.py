@@ -560,6 +560,30 @@ oracle("triage_finding", f"""{FULL}, r AS ({_ranks("(SELECT * FROM closed WHERE
 oracle("data_health", f"""{RULED}, {CLEAN}, k AS (SELECT count(*) AS c FROM clean)
   SELECT round_even(quality_score / 100 * 21 + least(100.0, c * 100.0 / total_records) / 100 * 9, 2) AS data_health FROM score, k""")
 
+
+def _card(question: str, source: str, sample: str, power: str, penalty: str, high: str = "true", medium: str = "true") -> str:
+    return f"""SELECT '{question}' AS question_id, CASE WHEN dead THEN 'CANNOT ANSWER' WHEN total >= 80 AND {high} THEN 'HIGH' WHEN total >= 55 AND {medium} THEN 'MEDIUM' ELSE 'LOW' END AS overall_confidence,
+    CASE WHEN dead THEN 0 ELSE total END AS confidence_score, CASE WHEN dead THEN 0 ELSE round_even(sample, 1) END AS sample_size_score, CASE WHEN dead THEN 0 ELSE round_even(data_health, 1) END AS data_quality_score,
+    CASE WHEN dead THEN 0 ELSE round_even(power, 1) END AS statistical_power_score, CASE WHEN dead THEN 0 ELSE round_even(penalty, 1) END AS confounding_penalty
+  FROM (SELECT *, greatest(0, least(100, round_even(sample + data_health + power - penalty, 1))) AS total FROM (
+    SELECT *, confidence_level = 'CANNOT ANSWER' AS dead, CAST({sample} AS DOUBLE) AS sample, CAST({power} AS DOUBLE) AS power, CAST({penalty} AS DOUBLE) AS penalty FROM {source}, dh, ov))"""
+
+
+def _scorecard() -> str:
+    lost = "CASE WHEN 100 - final_records * 100.0 / raw_records > 10 THEN 5 ELSE 0 END"
+    steps = lambda p, a, b, c: f"CASE WHEN {p} < 0.001 THEN {a} WHEN {p} < 0.01 THEN {b} WHEN {p} < 0.05 THEN {c} ELSE 0 END"
+    parts = {"tf": "trend_finding", "tv": "trend_verdict", "dr": "driver_finding", "tr": "triage_verdict", "cx": "triage_crosstab", "dh": "data_health", "ov": "dataset_overview"}
+    held = ", ".join(f"{k} AS ({ORACLES[v]})" for k, v in parts.items())
+    trend = _card("Q1", "(SELECT * FROM tf JOIN tv USING (question_id))", "least(30, cohorts / 12.0 * 15 + final_records / 100.0 * 15)",
+                  f"{steps('p_value', 20, 15, 10)} + CASE WHEN r_squared >= 0.2 THEN 10 WHEN r_squared >= 0.1 THEN 6 WHEN r_squared >= 0.05 THEN 3 ELSE 0 END",
+                  f"CASE WHEN cohorts < 6 THEN 5 ELSE 0 END + {lost}", "p_value < 0.01", "p_value < 0.05")
+    drivers = _card("Q2", "dr", "least(30, final_records / 100.0 * 30)",
+                    "CASE WHEN kw_p < 0.001 AND spearman_p < 0.001 THEN 20 WHEN kw_p < 0.05 THEN 12 ELSE 0 END + CASE WHEN adj_r_squared >= 0.3 THEN 10 WHEN adj_r_squared >= 0.15 THEN 6 ELSE 0 END", "5")
+    triage = _card("Q3", "tr", "least(30, (triaged_n + untriaged_n) / 40.0 * 30)", steps("mann_whitney_p", 25, 20, 12),
+                   "CASE WHEN untriaged_n < 10 THEN 8 ELSE 0 END + CASE WHEN (SELECT max(category LIKE '%Hardware%') FROM cx) THEN 4 ELSE 0 END")
+    return f"WITH {held} {trend} UNION ALL {drivers} UNION ALL {triage}"
+
+
 # --- report tables ---------------------------------------------------------------------------
 _BAND = "round(std / sqrt(count), 6) AS std_err, round(mean - std / sqrt(count), 6) AS lower, round(mean + std / sqrt(count), 6) AS upper"
 oracle("monthly_trend", f"""{FULL}, m AS (SELECT intake_month, count(*) AS count, avg(duration_days) AS mean, median(duration_days) AS median, stddev_samp(duration_days) AS std FROM closed GROUP BY 1),
@@ -583,3 +607,4 @@ oracle("censoring_by_month", f"""{FULL} SELECT substr(intake_date, 1, 7) AS inta
 oracle("category_mix_by_month", f"""{FULL}, c AS (SELECT intake_month, category, count(*) AS cases FROM closed GROUP BY 1, 2)
   SELECT intake_month, category, cases, round(cases / sum(cases) OVER (PARTITION BY intake_month), 6) AS share FROM c""")
 oracle("sparse_cells", f"{FULL} SELECT category, priority, count(*) AS cases, count(*) < 30 AS too_small FROM closed GROUP BY 1, 2")
+oracle("confidence_scorecard", _scorecard())

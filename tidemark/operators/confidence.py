@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.findings import CANNOT_ANSWER
+from tidemark.operators.ranks import join_by
 
 
 def data_health(quality_score: Column, raw_n: Column, clean_n: Column) -> Column:
@@ -81,7 +82,7 @@ def triage_confidence(
 ) -> DataFrame:
     """The confounder costs points when its category occurs at all among the urgent cases."""
     seen = crosstab.groupBy(*by).agg(F.max(F.col("category").contains(confounder)).alias("confounded"))
-    rows = finding.join(seen, list(by), "left") if by else finding.withColumn("confounded", seen.scalar())
+    rows = join_by(finding, seen, by, how="left") if by else finding.withColumn("confounded", seen.scalar())
     n2 = F.col("untriaged_n")
     sample = F.least(F.lit(30.0), (F.col("triaged_n") + n2) / 40 * 30)
     power = _graded(F.col("mann_whitney_p"), [(0.001, 25.0), (0.01, 20.0), (0.05, 12.0)])
