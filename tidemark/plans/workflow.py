@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from tidemark import vocab
 from tidemark.operators import confidence, findings, rules
 from tidemark.operators.cleaning import CleaningResult, clean
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import stored_table
 
 
 ANALYSIS_COLUMNS = [
@@ -44,10 +44,15 @@ class Assessment:
 
     @cached_property
     def closed(self) -> DataFrame:
-        """Closed cases, model columns only, kept in the checkpoint folder: cleaned once, asked often."""
-        ensure_checkpoint_dir(self.raw.sparkSession)
-        closed = findings.closed_cases(self.cleaning.cleaned)
-        return closed.select(*[c for c in ANALYSIS_COLUMNS if c in closed.columns]).checkpoint()
+        """Closed cases, model columns only, from a stored narrow cleaned table: cleaned once, asked often.
+
+        The table is stored before the filter on status and duration: pushed down to the scan, that filter
+        would evaluate the date parsers and the status rules a second time.
+        """
+        cleaned = self.cleaning.cleaned
+        needed = [c for c in (*ANALYSIS_COLUMNS, "intake_date", "status") if c in cleaned.columns]
+        closed = findings.closed_cases(stored_table(cleaned.select(*needed)).table)
+        return closed.select(*[c for c in ANALYSIS_COLUMNS if c in closed.columns])
 
     @property
     def trend(self) -> DataFrame:
@@ -66,8 +71,7 @@ class Assessment:
         facts = self.cleaning.summary.select("initial_rows", "final_rows").withColumn(
             "quality_score", self.quality.select("quality_score").scalar()
         )
-        ensure_checkpoint_dir(self.raw.sparkSession)
-        facts = facts.checkpoint()  # one row that all three cards read
+        facts = stored_table(facts).table  # one row that all three cards read
         return confidence.scorecard(
             self.trend, self.drivers, self.triage, findings.triage_crosstab(self.closed),
             facts.select("quality_score").scalar(),
