@@ -15,13 +15,24 @@ from tidemark.session import stored_table
 #: A word is a run of anything but the six ASCII white-space characters. ``bytes.split()`` cuts the same words.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: Rows handed to a Python worker at a time; Spark also ends a batch at ``arrow.maxBytesPerBatch``.
-BATCH_ROWS = 2048
+BATCH_ROWS = 1024
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches to ``BATCH_ROWS`` rows.
+
+    At the default of 10,000 rows, texts of some kilobytes fill tens of megabytes in the buffers of the JVM and
+    of the worker, for each running task.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def map_rows(df: DataFrame, rows: Callable[[dict], Iterator[tuple]], schema: str | StructType) -> DataFrame:
     """Run ``rows`` over batches given as a dict of Python lists; it yields output tuples.
 
@@ -29,6 +40,7 @@ def map_rows(df: DataFrame, rows: Callable[[dict], Iterator[tuple]], schema: str
     """
     parsed = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(parsed)
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

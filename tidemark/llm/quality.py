@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from tidemark.llm.common import BATCH_ROWS, map_rows
+from tidemark.llm.common import BATCH_ROWS, map_rows, small_batches
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -146,6 +146,7 @@ def keep_documents(docs: DataFrame, text: str = "text", rules: list[Rule] | None
     """The rows of ``docs`` that no rule rejects, all columns as they were."""
     ordered = cascade_order(docs, rules, text, sample_rows)
     at = docs.columns.index(text)
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
