@@ -608,3 +608,10 @@ oracle("category_mix_by_month", f"""{FULL}, c AS (SELECT intake_month, category,
   SELECT intake_month, category, cases, round(cases / sum(cases) OVER (PARTITION BY intake_month), 6) AS share FROM c""")
 oracle("sparse_cells", f"{FULL} SELECT category, priority, count(*) AS cases, count(*) < 30 AS too_small FROM closed GROUP BY 1, 2")
 oracle("confidence_scorecard", _scorecard())
+oracle("duplicate_report", f"""WITH RECURSIVE fz AS ({ORACLES['fuzzy_duplicates']}),
+  ex AS (SELECT first AS index_a, p_partkey AS index_b FROM (SELECT p_partkey, min(p_partkey) OVER (PARTITION BY p_name, p_type, p_brand) AS first FROM part) WHERE p_partkey <> first),
+  e AS (SELECT index_a AS a, index_b AS b FROM fz UNION SELECT index_b, index_a FROM fz UNION SELECT index_a, index_b FROM ex UNION SELECT index_b, index_a FROM ex),
+  reach AS (SELECT DISTINCT a, a AS b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+  root AS (SELECT a, min(b) AS canonical FROM reach GROUP BY 1)
+  SELECT (SELECT count(*) FROM part) AS total_records, (SELECT count(*) FROM ex) AS exact_duplicate_count, CAST(0 AS BIGINT) AS normalized_duplicate_count,
+    (SELECT count(*) FROM fz) AS fuzzy_duplicate_count, (SELECT count(*) FROM root) AS total_unique_records_affected, (SELECT count(DISTINCT canonical) FROM root) AS clusters""")
