@@ -14,7 +14,7 @@ from checks.queries import QUERIES
 FOLDER = "/root/testdata/sf0.001"
 QUICK = [
     "text_forms", "parsed_dates", "normalization_records", "date_audit_rows", "rule_hits", "quality_score", "cleaned_cases",
-    "cleaning_audit", "column_profile", "exact_duplicates", "fuzzy_group_pairs", "mid_ranks", "kruskal_by_day",
+    "cleaning_audit", "merged_cases", "order_chain_clusters", "kruskal_by_unknown_segment", "column_profile", "exact_duplicates", "fuzzy_group_pairs", "mid_ranks", "kruskal_by_day",
     "spearman_lines", "two_arm_lines", "monthly_cohorts", "triage_finding", "lifecycle_funnel",
 ]
 needs_data = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables not present")

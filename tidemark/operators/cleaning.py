@@ -175,6 +175,11 @@ def with_duplicates(standardized: DataFrame) -> DataFrame:
     return marked.select(*standardized.columns, into.alias("merged_into"))
 
 
+def duplicate_rows(standardized: DataFrame) -> DataFrame:
+    """(row_index, merged_into): the rows that repeat an earlier row's cleaned keys."""
+    return with_duplicates(standardized).where(F.col("merged_into").isNotNull()).select("row_index", "merged_into")
+
+
 def clean(
     raw: DataFrame,
     reference_date: str = vocab.REFERENCE_DATE,
