@@ -30,11 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WORD_PATTERN, map_rows, stored, whole_row
+from tidemark.session import StoredTable, stored_table
 
 WINDOW = 35
 RUN = 4
 #: Super-k-mers of one minimiser beyond which its windows travel singly. Decides where work happens, not the result.
-HOT = 500
+HOT = 1000
 #: Words that one bucket holds on average.
 BUCKET_WORDS = 400_000
 #: Repeated digests of a hot minimiser that come back together.
@@ -80,7 +81,7 @@ def text_key(text: str):
     return F.md5(F.coalesce(F.col(text), F.lit("")))
 
 
-def light_rows(docs: DataFrame, text: str, k: int, m: int) -> DataFrame:
+def light_rows(docs: DataFrame, text: str, k: int, m: int) -> StoredTable:
     """(minimiser, text_key, first, windows, places) of every distinct text; stored."""
 
     def rows(batch: dict) -> Iterator[tuple]:
@@ -89,17 +90,19 @@ def light_rows(docs: DataFrame, text: str, k: int, m: int) -> DataFrame:
                 yield value, h, first, n, places
 
     texts = docs.where(F.length(text) >= 2 * k - 1).select(text_key(text).alias("h"), F.col(text).alias("t"))
-    return stored(map_rows(texts, rows, "minimiser long, text_key string, first int, windows int, places int").distinct())
+    return stored_table(map_rows(texts, rows, "minimiser long, text_key string, first int, windows int, places int").distinct())
 
 
 def repeated_windows(docs: DataFrame, text: str = "text", k: int = WINDOW, m: int = RUN, hot: int = HOT) -> DataFrame:
     """(text_key, first, last): word spans [first, last) covered by windows that start at several places of distinct texts."""
-    light = light_rows(docs, text, k, m)
+    rows = light_rows(docs, text, k, m)
+    light = rows.table
     often = light.groupBy(F.col("minimiser").alias("_m")).agg(F.sum("places").alias("_n")).where(F.col("_n") > 1)
     part = F.struct("first", "windows", "minimiser", (F.col("_n") > hot).alias("hot"))
     wanted = light.join(often, F.col("minimiser") == F.col("_m")).groupBy("text_key").agg(F.collect_list(part).alias("parts"))
     texts = docs.where(F.length(text) >= 2 * k - 1).groupBy(text_key(text).alias("text_key")).agg(F.first(text).alias("t"))
     chosen = stored(texts.join(wanted, "text_key"))
+    rows.delete()
     n_words = chosen.agg(F.sum(F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + p["windows"] + k))).first()[0] or 0
     buckets = max(32, -(-n_words // BUCKET_WORDS))
 
