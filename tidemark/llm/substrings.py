@@ -35,7 +35,7 @@ from tidemark.session import StoredTable, stored_table
 WINDOW = 35
 RUN = 4
 #: Super-k-mers of one minimiser beyond which its windows travel singly. Decides where work happens, not the result.
-HOT = 1000
+HOT = 500
 #: Words that one bucket holds on average.
 BUCKET_WORDS = 400_000
 #: Repeated digests of a hot minimiser that come back together.
