@@ -470,6 +470,15 @@ def test_repeated_windows_against_brute_force(spark, docs, k, m, hot):
     same_rows(substrings.report(df, k=k, m=m, hot=hot).collect(), plain_removal(rows, k))
 
 
+def test_control_characters_do_not_shift_windows(spark):
+    """\\x1c-\\x1f cut no words, though str.split() cuts at them: all-ASCII texts that hold them before a shared passage."""
+    shared = " ".join(f"w{j}" for j in range(50))
+    rows = [(i, f"x{c}{i} y{c}{c}z {shared} {i} end") for i, c in enumerate("\x1c\x1d\x1e\x1f" * 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for hot in (1, 2000):
+        same_rows(substrings.report(df, k=12, m=3, hot=hot).collect(), plain_removal(rows, 12))
+
+
 def test_removed_words_leave_the_text(docs):
     after = substrings.remove_repeats(docs, k=12, m=3)
     assert after.columns == docs.columns

@@ -108,7 +108,8 @@ def repeated_windows(docs: DataFrame, text: str = "text", k: int = WINDOW, m: in
 
     def packed(batch: dict) -> Iterator[tuple]:
         for h, t, parts in zip(batch["text_key"], batch["t"], batch["parts"]):
-            words = t.split() if t.isascii() else [w.decode() for w in t.encode().split()]
+            # str.split() also cuts at \x1c-\x1f, which are no white space here; bytes.split() is the one rule.
+            words = [w.decode() for w in t.encode().split()]
             for p in parts:
                 if not p["hot"]:
                     first = p["first"]
