@@ -422,6 +422,27 @@ def test_near_copies_go_and_unlike_texts_stay(spark):
     assert sum(3 * i + 1 in left for i in range(60)) <= 2
 
 
+def test_groups_equal_true_jaccard_around_the_bound(spark):
+    """Copies from well under to well over a similarity of 0.8: exactly those at 0.8 or more are joined."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    passage, texts = [word() for _ in range(40)], []
+    for i in range(240):
+        base = [word() for _ in range(rng.choice([30, 120, 260]))] + (passage if i % 3 == 0 else [])
+        copy, share = base[:], rng.uniform(0.01, 0.06)
+        for at in rng.sample(range(len(base)), max(1, round(share * len(base)))):
+            copy[at] = word()
+        texts += [" ".join(base), " ".join(copy)]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    prints = [plain_fingerprint(t) for t in texts]
+    near = lambda a, b: 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]) or (prints[a] ^ prints[b]).bit_count() <= 3
+    alike = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, 480, 2)]
+    assert sum(0.8 <= x < 0.87 for x in alike) > 20 and sum(0.7 < x < 0.8 for x in alike) > 20
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    left = {r.doc_id for r in simhash.keep_representatives(df).collect()}
+    assert left == set(closure(range(480), near).values())
+
+
 def test_wide_tiles_lose_nothing(spark):
     rng = random.Random(13)
     base, prints = rng.getrandbits(512), set()

@@ -26,7 +26,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from tidemark.llm.common import map_rows, stored, whole_row
 from tidemark.llm.graph import components
@@ -39,6 +39,9 @@ SEED = 42
 WIDE_SHINGLE = 5
 WIDE_PRINTS = 8
 SIMILARITY = 0.8
+#: Texts sampled at least to find the common shingles, and how many of these the workers hold. Decide work, not the result.
+SAMPLE = 5000
+COMMON = 200_000
 #: (64 bits of a fingerprint, block) meetings in memory at a time.
 MEETINGS = 1 << 17
 
@@ -262,6 +265,7 @@ def wide_radius(similarity: float, bits: int) -> int:
 def wide_links(prints: DataFrame, similarity: float = SIMILARITY, limit: int = LIMIT) -> DataFrame:
     """(u, v): spanning links among the distinct values of ``wide`` that estimate to ``similarity`` or more.
 
+    An estimate with a recall under one; ``keep_representatives`` joins by exact similarity instead.
     Candidates agree on one of the 16-bit bands. A band's bucket over ``limit`` is cut into tiles, and every
     pair of tiles is a bucket of its own, so that all its pairs are compared in groups of bounded size.
     """
@@ -298,30 +302,151 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return prints.join(ids, "fingerprint").select(key, "fingerprint", "component_id")
 
 
+def shingle_set(text: str | None, words: int = WIDE_SHINGLE) -> np.ndarray:
+    """The sorted distinct hashes of the word shingles; a text of fewer words is one shingle, one without words has none."""
+    w = (text or "").encode().lower().split()
+    if not w:
+        return np.zeros(0, dtype="<u8")
+    shingles = [b" ".join(w)] if len(w) < words else map(b" ".join, zip(*[w[i:] for i in range(words)]))
+    return np.unique(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], dtype="<u8"))
+
+
+def parity_bits(shingles: np.ndarray) -> bytes:
+    """512 bits, each the parity of the shingles that fall on it: two sets differ in at least as many shingles as bits."""
+    return np.packbits(np.bincount((shingles >> np.uint64(55)).astype(np.int64), minlength=512).astype(np.uint8) & 1).tobytes()
+
+
+def prefix(shingles: np.ndarray, similarity: float, common: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """The first shingles in one global order (common ones last, then by hash), so many that sets of ``similarity`` share one."""
+    if not len(shingles):
+        return shingles
+    at = np.minimum(np.searchsorted(common, shingles), max(0, len(common) - 1))
+    rank = np.where(common[at] == shingles, often[at], 0) if len(common) else np.zeros(len(shingles), np.int64)
+    n = len(shingles) - math.ceil(similarity * len(shingles) - 1e-9) + 1
+    return shingles[np.lexsort((shingles, rank))[:n]]
+
+
+def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether the Jaccard similarity of two sorted sets is ``similarity`` or more."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both + 1e-9 >= similarity * (len(a) + len(b) - both)
+
+
+def common_shingles(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles seen in three or more texts of a sample, with their counts. They set an order, so no result hangs on them."""
+    n = docs.count()
+    step = max(1, n // max(SAMPLE, n // 100))
+
+    def rows(batch: dict) -> Iterator[tuple]:
+        for t in batch["t"]:
+            yield (shingle_set(t).view("<i8").tolist(),)
+
+    texts = docs.select(F.col(text).alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(step)) == 0).distinct()
+    counted = map_rows(texts, rows, "shingles array<long>").select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"))
+    held = counted.where(F.col("n") >= 3).orderBy(F.col("n").desc(), "s").limit(COMMON).toPandas()
+    values, often = held["s"].to_numpy(dtype="<i8").view("<u8"), held["n"].to_numpy(dtype=np.int64)
+    order = np.argsort(values)
+    return values[order], often[order]
+
+
+def _bucket_pairs(members: list, similarity: float, every: bool) -> Iterator[tuple]:
+    """Pairs of a bucket that size and parity bits don't rule out.
+
+    ``every``: all pairs of different roots; otherwise each member's first such pair only.
+    """
+    ids = [m["set_id"] for m in members]
+    size = np.array([m["size"] for m in members], dtype=np.int64)
+    bits = np.frombuffer(b"".join(m["bits"] for m in members), dtype="<u8").reshape(len(members), -1)
+    roots = np.unique([m["root"].hex() for m in members], return_inverse=True)[1] if every else np.arange(len(members))
+    for s in range(0, len(members), 128):
+        mine = np.arange(s, min(s + 128, len(members)))
+        a, b = size[mine][:, None], size[None, : mine[-1] + 1]
+        apart = np.bitwise_count(bits[mine][:, None, :] ^ bits[None, : mine[-1] + 1, :]).sum(axis=2, dtype=np.int64)
+        open_ = (np.minimum(a, b) + 1e-9 >= similarity * np.maximum(a, b)) & (apart <= (1 - similarity) / (1 + similarity) * (a + b) + 1e-9)
+        open_ &= (roots[mine][:, None] != roots[None, : mine[-1] + 1]) & (np.arange(mine[-1] + 1)[None, :] < mine[:, None])
+        for i, j in zip(*(x.tolist() for x in np.nonzero(open_))) if every else ((i, int(open_[i].argmax())) for i in np.nonzero(open_.any(axis=1))[0].tolist()):
+            yield min(ids[s + i], ids[j]), max(ids[s + i], ids[j])
+
+
+def _candidates(members: DataFrame, similarity: float, every: bool, limit: int = LIMIT) -> DataFrame:
+    """(u, v) over the buckets of ``members`` (token, n, set_id, size, bits, root); buckets over ``limit`` go as pairs of tiles."""
+    tiles = F.ceil(F.col("n") / F.lit(limit)).cast("long")
+    tiled = members.withColumn("own", F.pmod(F.xxhash64("set_id"), tiles)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
+    held = tiled.groupBy("token", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")).agg(
+        F.collect_list(F.struct("set_id", "size", "bits", "root")).alias("members"), F.min("root").alias("a"), F.max("root").alias("b")
+    )
+    if every:
+        held = held.where(F.col("a") != F.col("b"))
+
+    def rows(batch: dict) -> Iterator[tuple]:
+        for bucket in batch["members"]:
+            if len(bucket) > 1:
+                yield from _bucket_pairs(bucket, similarity, every)
+
+    return stored(map_rows(held.select("members"), rows, "u binary, v binary").distinct())
+
+
+def _verified(docs: DataFrame, text: str, sets: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (u, v) whose shingle sets have the similarity; only texts of candidates are read again."""
+    ids = pairs.select(F.col("u").alias("set_id")).union(pairs.select("v")).distinct()
+    wanted = ids.join(sets.select("set_id", "digest"), "set_id")
+    texts = docs.select(F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest"), F.col(text).alias("t"))
+    once = texts.join(wanted, "digest").groupBy("set_id").agg(F.first("t").alias("t"))
+
+    def expand(batch: dict) -> Iterator[tuple]:
+        for i, t in zip(batch["set_id"], batch["t"]):
+            yield i, shingle_set(t).tobytes()
+
+    def check(batch: dict) -> Iterator[tuple]:
+        for u, v, a, b in zip(batch["u"], batch["v"], batch["a"], batch["b"]):
+            if similar(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"), similarity):
+                yield u, v
+
+    full = stored(map_rows(once, expand, "set_id binary, shingles binary"))
+    left = full.select(F.col("set_id").alias("u"), F.col("shingles").alias("a"))
+    right = full.select(F.col("set_id").alias("v"), F.col("shingles").alias("b"))
+    return stored(map_rows(pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b"), check, "u binary, v binary"))
+
+
 def keep_representatives(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE, radius: int = RADIUS, similarity: float = SIMILARITY
 ) -> DataFrame:
     """One row of each near-duplicate group: the one with the smallest (key, digest of its text), NULL keys last.
 
-    Groups are joined by fingerprints within ``radius`` and by wide fingerprints (over sets of five-word
-    shingles) that estimate to a Jaccard similarity of ``similarity`` or more. Rows equal in key and text are
+    Groups are joined by fingerprints within ``radius`` and by every pair of texts whose sets of five-word
+    shingles have a Jaccard similarity of ``similarity`` or more: candidates share a shingle of their prefixes, which
+    misses no such pair, and each is checked on the whole sets. First every set of a bucket is tied to one other;
+    then all pairs that those links leave in different groups are checked. Rows equal in key and text are
     one row. Only digests are shuffled to choose; the chosen come back by a semi join.
     """
     own = F.struct(F.col(key).isNull().alias("absent"), F.col(key).alias("id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest"))
+    common, often = common_shingles(docs, text)
 
     def rows(batch: dict) -> Iterator[tuple]:
         for row, t in zip(batch["own"], batch["t"]):
-            yield row, fingerprint(t, words), wide_fingerprint(t)
+            shingles = shingle_set(t)
+            first = prefix(shingles, similarity, common, often).view("<i8").tolist()
+            yield row, fingerprint(t, words), xxhash.xxh3_128_digest(shingles.tobytes()), len(shingles), parity_bits(shingles), first
 
-    schema = StructType([StructField("own", docs.select(own.alias("own")).schema["own"].dataType), StructField("fingerprint", LongType()), StructField("wide", BinaryType())])
+    kind = docs.select(own.alias("own")).schema["own"].dataType
+    schema = StructType([StructField("own", kind), StructField("fingerprint", LongType()), StructField("set_id", BinaryType()), StructField("size", LongType())])
+    schema = schema.add("bits", BinaryType()).add("prefix", ArrayType(LongType()))
     prints = stored(map_rows(docs.select(own.alias("own"), F.col(text).alias("t")), rows, schema))
-    # One graph over both kinds of fingerprint, which differ in length; a document ties its two together.
+    sets = stored(prints.groupBy("set_id").agg(*[F.first(c).alias(c) for c in ("size", "bits", "prefix")], F.min("own.digest").alias("digest")))
+    keyed = sets.select("set_id", F.explode("prefix").alias("token"))
+    shared = keyed.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    members = stored(keyed.join(shared, "token").join(sets.select("set_id", "size", "bits"), "set_id"))
+    # One graph over fingerprints and sets, whose ids differ in length; a document ties its two together.
     narrow = lambda c: F.unhex(F.lpad(F.hex(c), 16, "0"))
-    ties = prints.select(narrow("fingerprint").alias("u"), F.col("wide").alias("v")).distinct()
+    ties = prints.select(narrow("fingerprint").alias("u"), F.col("set_id").alias("v")).distinct()
     links = fingerprint_links(prints, radius).select(narrow("u").alias("u"), narrow("v").alias("v"))
-    found = components(ties.union(links).union(wide_links(prints, similarity)))
-    least = prints.groupBy("wide").agg(F.min("own").alias("least"))
-    chosen = stored(least.join(found, F.col("wide") == F.col("node")).groupBy("root").agg(F.min("least").alias("own")).select("own"))
+    ahead = _candidates(members.withColumn("root", F.col("set_id")), similarity, every=False)
+    found = stored(components(ties.union(links).union(_verified(docs, text, sets, ahead, similarity))))
+    rooted = members.join(found.select(F.col("node").alias("set_id"), "root"), "set_id")
+    rest = _verified(docs, text, sets, _candidates(rooted, similarity, every=True), similarity)
+    found = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")).union(rest))
+    least = prints.groupBy("set_id").agg(F.min("own").alias("least"))
+    chosen = stored(least.join(found, F.col("set_id") == F.col("node")).groupBy("root").agg(F.min("least").alias("own")).select("own"))
     kept = docs.select(whole_row(docs).alias("doc"), own.alias("mine")).join(chosen, F.col("mine") == F.col("own"), "left_semi")
     # Rows equal in key and text would all pass: of these one stays, found among the repeated keys alone.
     again = prints.groupBy("own").agg(F.count("*").alias("n")).where(F.col("n") > 1).join(chosen, "own", "left_semi").select(F.col("own").alias("again"))
