@@ -259,6 +259,20 @@ def test_disclosure_equals_the_formula(spark):
     assert got[pii._digest("email:ann@x.org"), pii._digest("zarvin")] == pytest.approx(value, rel=1e-12)
 
 
+def test_every_occurrence_of_a_disclosing_term_goes(spark):
+    """The term stands ten words off its entity, twice in a text, and in texts without the entity."""
+    far = "one two three four five six seven eight nine ten"
+    rows = [(i, f"common note {i} {far} filler text") for i in range(60)]
+    rows += [(100 + i, f"Zarvin {far} {i} ann@x.org {far} zarvin") for i in range(8)] + [(200, "zarvin? no")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    clean = {r.doc_id: r.text for r in pii.sanitise(df, everywhere=True).collect()}
+    assert clean[103] == f"[TERM] {far} 3 [EMAIL] {far} [TERM]" and clean[200] == "[TERM]? no" and clean[5] == rows[5][1]
+    spans = {r.doc_id: r.spans for r in pii.report(df, everywhere=True).collect()}
+    assert spans[200] == "term:0:6" and spans[5] == "" and spans[103].count("term") == 2
+    beside = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert beside[103] == clean[103] and beside[200] == "zarvin? no"
+
+
 # --- licences ---
 
 

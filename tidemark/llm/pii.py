@@ -4,17 +4,18 @@ Protected entities are the values that fixed patterns find: e-mail and IP addres
 numbers. A term can reveal an entity without naming it: it does so as far as meeting the term makes meeting
 the entity likelier. Counts over all documents,
 
-    n(e)     documents with entity e      n(t, e)  documents with term t within ``reach`` words of e
+    n(e)     documents with entity e      n(t, e)  documents with term t and entity e, wherever they stand
     n(t)     documents with term t        N        documents
 
 give the pointwise mutual information ``log(n(t,e) N / (n(t) n(e)))`` and the entity's information
 ``log(N / n(e))``. The term discloses the share PMI / information of the entity; at ``threshold`` or more,
-and with at least ``support`` different texts behind it (copies aren't evidence), its occurrences beside the entity are generalised (a number to
-``[NUMBER]``, a word to ``[TERM]``) along with the entity itself (``[EMAIL]`` ...). Terms beside one entity
-only are judged, at most ``2 * reach`` a mention, so the work grows with the mentions and never with pairs.
+and with at least ``support`` different texts behind it (copies aren't evidence), its occurrences are generalised (a
+number to ``[NUMBER]``, a word to ``[TERM]``) along with the entity itself (``[EMAIL]`` ...): with ``everywhere``, as in
+the registered query and the pipeline, in every document, otherwise in the documents that hold the entity. Only
+entities with ``support`` texts meet the terms of their documents, so the work grows with these documents.
 
-Digests stand for terms and entities (64 bits) and for texts (128 bits). Texts are read twice and, for a
-report, never shuffled.
+Digests stand for terms and entities (64 bits) and for texts (128 bits). Texts are read three times and never
+shuffled; the disclosing terms, 8 bytes each, go over the driver to the workers.
 
 Defined results: NULL and empty texts have no spans; spans of one kind don't overlap, spans of several kinds
 may, and rewriting merges them under the first kind; equal texts get equal spans; rows are kept as they are.
@@ -24,7 +25,6 @@ from __future__ import annotations
 
 import re
 import string
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -32,10 +32,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD_PATTERN, map_rows, stored, whole_row
+from tidemark.llm.common import WORD_PATTERN, map_rows, small_batches, stored
 
 KINDS = ("email", "ip", "card", "phone")
-REACH = 5
 SUPPORT = 3
 THRESHOLD = 0.8
 EMAIL, IP, CARD, PHONE = KINDS
@@ -115,44 +114,36 @@ def _entity(kind: str, value: str) -> str:
     return kind + ":" + (value.lower() if kind == EMAIL else value if kind == IP else re.sub("[^0-9]", "", value))
 
 
-def contexts(text: str, spans: list, reach: int) -> list[tuple[int, int, int, int]]:
-    """(entity, term, start, end) for the terms within ``reach`` words of each mention, outside all mentions."""
-    out, last = [], 0
-    taken = sorted((s, e) for s, e, _ in spans)
-    words: list[tuple[int, int]] = []
+def _names(kind: str, value: str) -> list[str]:
+    """What a mention stands for in the counts."""
+    return [_entity(kind, value)]
+
+
+def entity_digests(text: str, spans: list) -> set[int]:
+    return {_digest(name) for s, e, kind in spans for name in _names(kind, text[s:e])}
+
+
+def outside(text: str, spans: list) -> Iterator[tuple[int, int]]:
+    """The words that touch no mention."""
+    last, taken = 0, sorted((s, e) for s, e, _ in spans)
     for m in _WORD.finditer(text):
         while last < len(taken) and taken[last][1] <= m.start():
             last += 1
-        if last < len(taken) and taken[last][0] < m.end():
-            continue
-        words.append(m.span())
-    starts = [w[0] for w in words]
-    for s, e, kind in spans:
-        name, at = _digest(_entity(kind, text[s:e])), bisect_left(starts, s)
-        for ws, we in words[max(0, at - reach) : at + reach]:
-            raw = text[ws:we]
-            term = _term(raw)
-            if term:
-                left = len(raw) - len(raw.lstrip(_EDGES))
-                out.append((name, _digest(term), ws + left, ws + left + len(raw.strip(_EDGES))))
-    return out
+        if last == len(taken) or taken[last][0] >= m.end():
+            yield m.span()
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
-    """One stored row per document: key, text_key, the four counts, base spans, its entities and their contexts."""
+def scan(docs: DataFrame, text: str = "text") -> DataFrame:
+    """One stored row per document with entities: text_key, its entities and its terms outside all mentions, each once."""
 
     def rows(batch: dict) -> Iterator[tuple]:
-        for k, h, t in zip(batch["k"], batch["h"], batch["t"]):
-            spans = base_spans(t)
-            counts = [sum(kind == x for _, _, kind in spans) for x in KINDS]
-            entities = sorted({_digest(_entity(kind, t[s:e])) for s, e, kind in spans})
-            yield (k, h, *counts, spans, entities, contexts(t, spans, reach) if spans else [])
+        for h, t in zip(batch["h"], batch["t"]):
+            if spans := base_spans(t):
+                terms = {_term(t[s:e]) for s, e in outside(t, spans)} - {""}
+                yield h, sorted(entity_digests(t, spans)), sorted(map(_digest, terms))
 
-    narrow = docs.select(F.col(key).alias("k"), F.md5(text).alias("h"), F.col(text).alias("t"))
-    counts = ", ".join(f"n_{k} long" for k in KINDS)
-    span, context = "struct<start:int,end:int,kind:string>", "struct<entity:long,term:long,start:int,end:int>"
-    kind = docs.schema[key].dataType.simpleString()
-    return stored(map_rows(narrow, rows, f"{key} {kind}, text_key string, {counts}, base array<{span}>, entities array<long>, contexts array<{context}>"))
+    narrow = docs.select(F.md5(text).alias("h"), F.col(text).alias("t"))
+    return stored(map_rows(narrow, rows, "text_key string, entities array<long>, terms array<long>"))
 
 
 def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -165,21 +156,47 @@ def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 def disclosing_terms(docs: DataFrame, found: DataFrame, text: str = "text", support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
     """(entity, term, disclosure) at the threshold or over it."""
     n_docs = docs.where(F.col(text).isNotNull()).count()
-    beside = F.array_distinct(F.transform("contexts", lambda c: F.struct(c["entity"].alias("entity"), c["term"].alias("term"))))
-    each = found.select("text_key", F.explode(beside).alias("c")).groupBy("c.entity", "c.term", "text_key").agg(F.count("*").alias("copies"))
+    texts = found.groupBy("text_key").agg(F.count("*").alias("copies"), F.first("entities").alias("entities"), F.first("terms").alias("terms"))
+    held = texts.select("copies", "terms", F.explode("entities").alias("entity"))
+    entities = held.groupBy("entity").agg(F.sum("copies").alias("n_entity"), F.count("*").alias("held_by")).where(F.col("held_by") >= support)
+    entities = stored(entities.select("entity", "n_entity"))
+    each = held.join(entities.select("entity"), "entity").select("entity", "copies", F.explode("terms").alias("term"))
     pairs = each.groupBy("entity", "term").agg(F.sum("copies").alias("both"), F.count("*").alias("texts")).where(F.col("texts") >= support)
-    entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
     known = pairs.join(entities, "entity").join(term_counts(docs, text), "term")
     mutual = F.log(F.col("both") * float(n_docs) / (F.col("n_term") * F.col("n_entity")).cast("double"))
     scored = known.withColumn("disclosure", F.try_divide(mutual, F.log(float(n_docs) / F.col("n_entity").cast("double"))))
     return stored(scored.where(F.col("disclosure") >= threshold).select("entity", "term", "disclosure"))
 
 
-def term_spans(found: DataFrame, disclosing: DataFrame) -> DataFrame:
-    """(key_, terms): per distinct text with disclosing terms, their spans; stored."""
-    spread = found.where(F.size("contexts") > 0).select("text_key", F.explode("contexts").alias("c")).select("text_key", "c.*").distinct()
-    hit = spread.join(disclosing.select("entity", "term"), ["entity", "term"]).select("text_key", "start", "end").distinct()
-    return stored(hit.groupBy(F.col("text_key").alias("key_")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("terms")))
+def _marker(disclosing: DataFrame, everywhere: bool):
+    """A function (text, base spans) -> [(start, end)] of the disclosing terms."""
+    if everywhere:
+        by_term = dict.fromkeys(disclosing.select("term").distinct().toPandas()["term"].tolist())
+    else:
+        by_term = {}
+        for entity, term in disclosing.select("entity", "term").toPandas().itertuples(index=False):
+            by_term.setdefault(int(term), set()).add(int(entity))
+
+    def mark(text: str | None, spans: list, seen: dict[str, int]) -> list[tuple[int, int]]:
+        """``seen`` keeps the digests of words met before."""
+        if not text or not by_term or not (spans or everywhere):
+            return []
+        here = None if everywhere else entity_digests(text, spans)
+        out = []
+        for s, e in outside(text, spans):
+            raw = text[s:e]
+            digest = seen.get(raw)
+            if digest is None:
+                if len(seen) > 200_000:
+                    seen.clear()
+                term = _term(raw)
+                digest = seen[raw] = _digest(term) if term else 0
+            if digest in by_term and (everywhere or not here.isdisjoint(by_term[digest])):
+                left = len(raw) - len(raw.lstrip(_EDGES))
+                out.append((s + left, s + left + len(raw.strip(_EDGES))))
+        return out
+
+    return mark
 
 
 def rewrite(text: str | None, terms: list | None) -> str | None:
@@ -195,34 +212,32 @@ def rewrite(text: str | None, terms: list | None) -> str | None:
     return "".join([*out, text[at:]])
 
 
-def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", reach: int = REACH, **settings) -> DataFrame:
+def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", everywhere: bool = False, **settings) -> DataFrame:
     """All rows and columns of ``docs``, entities and disclosing terms of ``text`` generalised."""
-    found = scan(docs, key, text, reach)
-    terms = term_spans(found, disclosing_terms(docs, found, text, **settings))
-    rows = docs.select(whole_row(docs).alias("doc"), F.md5(text).alias("text_key"))
-    joined = rows.join(terms, F.col("text_key") == F.col("key_"), "left")
+    mark = _marker(disclosing_terms(docs, scan(docs, text), text, **settings), everywhere)
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("string")
-    def rewritten(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        pairs = zip(texts.tolist(), spans.tolist())
-        return pd.Series([rewrite(t, None if s is None else [(x["start"], x["end"]) for x in s]) if isinstance(t, str) else None for t, s in pairs], dtype=object)
+    def rewritten(texts: pd.Series) -> pd.Series:
+        seen: dict[str, int] = {}
+        return pd.Series([rewrite(t, mark(t, base_spans(t), seen)) if isinstance(t, str) else None for t in texts.tolist()], dtype=object)
 
-    own = {c: F.col("doc").getField(c) for c in docs.columns}
-    return joined.select(*[(rewritten(v, F.col("terms")) if c == text else v).alias(c) for c, v in own.items()])
+    return docs.select(*[(rewritten(F.col(f"`{c}`")) if c == text else F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
-def report(docs: DataFrame, key: str = "doc_id", text: str = "text", reach: int = REACH, **settings) -> DataFrame:
+def report(docs: DataFrame, key: str = "doc_id", text: str = "text", everywhere: bool = False, **settings) -> DataFrame:
     """(key, the four counts, base, spans) of every row; spans as ``kind:start:end`` lists, ``term`` among them."""
-    found = scan(docs, key, text, reach)
-    terms = term_spans(found, disclosing_terms(docs, found, text, **settings))
-
-    def listed(spans):
-        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
-
-    rank = F.create_map(*[x for i, k in enumerate((*KINDS, "term")) for x in (F.lit(k), F.lit(i))])
-    more = F.transform("terms", lambda x: F.struct(x["start"], F.lit(len(KINDS)).alias("rank"), x["end"], F.lit("term").alias("kind")))
-    base = F.transform("base", lambda x: F.struct(x["start"], rank[x["kind"]].alias("rank"), x["end"], x["kind"]))
-    joined = found.join(terms, F.col("text_key") == F.col("key_"), "left")
-    every = F.when(F.col("terms").isNull(), F.col("base_")).otherwise(F.sort_array(F.concat("base_", more)))
-    joined = joined.withColumn("base_", base)
-    return joined.select(key, *[f"n_{k}" for k in KINDS], listed("base").alias("base"), listed(every).alias("spans"))
+    mark = _marker(disclosing_terms(docs, scan(docs, text), text, **settings), everywhere)
+    order = {k: i for i, k in enumerate((*KINDS, "term"))}
+
+    def rows(batch: dict) -> Iterator[tuple]:
+        seen: dict[str, int] = {}
+        for k, t in zip(batch["k"], batch["t"]):
+            base = base_spans(t)
+            every = sorted([*base, *((s, e, "term") for s, e in mark(t, base, seen))], key=lambda x: (x[0], order[x[2]], x[1]))
+            listed = [",".join(f"{kind}:{s}:{e}" for s, e, kind in spans) for spans in (base, every)]
+            yield (k, *[sum(kind == x for _, _, kind in base) for x in KINDS], *listed)
+
+    kind = docs.schema[key].dataType.simpleString()
+    counts = ", ".join(f"n_{k} long" for k in KINDS)
+    return map_rows(docs.select(F.col(key).alias("k"), F.col(text).alias("t")), rows, f"{key} {kind}, {counts}, base string, spans string")

@@ -44,7 +44,7 @@ def op4_water_filling_mix(spark, sf_dir):
 
 @register
 def op5_disclosure_sanitiser(spark, sf_dir):
-    rows = pii.report(read_table(spark, sf_dir, "documents"))
+    rows = pii.report(read_table(spark, sf_dir, "documents"), everywhere=True)
     return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
