@@ -273,6 +273,19 @@ def test_every_occurrence_of_a_disclosing_term_goes(spark):
     assert beside[103] == clean[103] and beside[200] == "zarvin? no"
 
 
+def test_unique_values_are_protected_by_their_classes(spark):
+    """Every address and number stands in one text only; 'quellmark' comes with its domain, 'dialix' with phone numbers."""
+    rows = [(i, f"common note {i} about filler text") for i in range(60)]
+    rows += [(100 + i, f"common quellmark wrote, u{i}@corp.example {i}") for i in range(5)]
+    rows += [(200 + i, f"common dialix +49 {30 + i} 12345{i}7 about") for i in range(5)]
+    rows += [(300 + i, f"common other v{i}@site{i}.example {i}") for i in range(5)] + [(400, "quellmark and dialix alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    clean = {r.doc_id: r.text for r in pii.sanitise(df, everywhere=True).collect()}
+    assert clean[102] == "common [TERM] [TERM], [EMAIL] 2"
+    assert clean[203] == "common [TERM] [PHONE] about" and clean[400] == "[TERM] and [TERM] alone"
+    assert clean[301].startswith("common [TERM] [EMAIL]") and clean[7] == rows[7][1]
+
+
 # --- licences ---
 
 

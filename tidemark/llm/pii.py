@@ -14,6 +14,10 @@ number to ``[NUMBER]``, a word to ``[TERM]``) along with the entity itself (``[E
 the registered query and the pipeline, in every document, otherwise in the documents that hold the entity. Only
 entities with ``support`` texts meet the terms of their documents, so the work grows with these documents.
 
+Most values stand in one or two texts and never reach the support. So classes are entities too, with counts pooled over
+all documents: the kind, and an e-mail's domain, an address's network (three numbers), a card's first six and a
+phone number's first five digits. A term that gives such a class away is generalised like any other.
+
 Digests stand for terms and entities (64 bits) and for texts (128 bits). Texts are read three times and never
 shuffled; the disclosing terms, 8 bytes each, go over the driver to the workers.
 
@@ -115,8 +119,11 @@ def _entity(kind: str, value: str) -> str:
 
 
 def _names(kind: str, value: str) -> list[str]:
-    """What a mention stands for in the counts."""
-    return [_entity(kind, value)]
+    """What a mention stands for in the counts: its value, and its classes (its kind; e-mail domain, network, issuer or dialling prefix)."""
+    own = _entity(kind, value)
+    bare = own[len(kind) + 1 :]
+    part = "@" + bare.rsplit("@", 1)[1] if kind == EMAIL else bare.rsplit(".", 1)[0] + "." if kind == IP else bare[: 6 if kind == CARD else 5]
+    return [own, f"{kind}:*", f"{kind}:{part}*"]
 
 
 def entity_digests(text: str, spans: list) -> set[int]:
