@@ -346,6 +346,28 @@ def test_templates_start_with_words():
         licenses.compile_template("t", "{{3}} license")
 
 
+def test_whole_wording_is_asked_for():
+    """A whole text fits its own template; cut short or with one word altered near its end it fits none of the texts."""
+    automata = [licenses.compile_template(label, t) for label, t in licenses.TEMPLATES.items() if label.endswith("-text")]
+    assert all(label.endswith(("-text", "-notice")) for label in licenses.TEMPLATES) and len(automata) == 13
+    fit = lambda words: {a.label for a in automata if licenses.accept(a, words)}
+    for a in automata:
+        plain = re.sub(r"\[\[.*?\]\]", " ", licenses.TEMPLATES[a.label]).replace("{{1}}", "1")
+        words = re.sub(r"\{\{\d+\}\}", "the authors", plain).encode().split()
+        assert fit([b"intro", *words, b"more"]) == {a.label}
+        assert fit(words[:-1]) == set() and fit([*words[:-9], b"altered", *words[-8:]]) == set()
+
+
+def test_licence_files_get_their_label(spark):
+    from pathlib import Path
+
+    files = {"Apache-2.0": "apache-2.0-text", "GPL-2": "gpl-2.0-text", "GPL-3": "gpl-3.0-text", "LGPL-2.1": "lgpl-2.1-text", "LGPL-3": "lgpl-3.0-text", "MPL-2.0": "mpl-2.0-text", "CC0-1.0": "cc0-1.0-text"}
+    texts = [(f"{Path(licenses.__file__).parent}/licence_texts/{f}.txt", label) for f, label in files.items()]
+    df = spark.createDataFrame([(i, Path(p).read_text()) for i, (p, _) in enumerate(texts)], "doc_id long, text string")
+    for r in licenses.scan_documents(df).collect():
+        assert [x for x in r.labels.split(",") if x.endswith("-text")] == [texts[r.doc_id][1]] and r.score > 0.7
+
+
 # --- SimHash ---
 
 

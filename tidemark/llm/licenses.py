@@ -3,7 +3,7 @@
 A template is licence wording with mark-up: ``[[ ... ]]`` may be left out, ``{{n}}`` stands for up to ``n`` words
 of any wording (names, years). It is compiled once into a token automaton: states are positions in the
 template, a word moves along its mandatory wording, an optional region adds a jump over itself, a replaceable
-region a counted loop. A document is accepted where a run of its words leads from start to end, so every
+region a counted loop. A ``-text`` template is the whole mandatory wording, a ``-notice`` one line. A document is accepted where a run of its words leads from start to end, so every
 mandatory word must match exactly. Runs start only at words a template can start with, and the states alive
 at a word are a set bounded by the template's size, so a document is read once, whatever it holds.
 
@@ -16,6 +16,7 @@ words that matched wording covers (at most 1): a licence file scores near 1, a m
 
 from __future__ import annotations
 
+import pkgutil
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -32,26 +33,56 @@ PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-# Public licence notices as templates, by SPDX-style label.
+_WORDLIKE = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 32 for c in range(256))
+
+
+def tokens(text: str | None) -> list[bytes]:
+    return (text or "").encode().translate(_WORDLIKE).split()
+
+
+# Whole licence wordings (``-text``), which must match to their last word, and single notice lines
+# (``-notice``), by SPDX-style label. Names, list numbers, addresses and titles may differ.
+_LIABLE = "claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"
+_AS_IS = "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall"
+_BSD = "redistribution and use in source and binary forms with or without modification are permitted [[ {{8}} ]] provided that the following conditions are met {{1}} redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer {{1}} redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"
+_BSD_ADVERTISING = "{{1}} all advertising materials mentioning features or use of this software must display the following acknowledgement this product includes software developed by {{20}}"
+_BSD_NAMES = "{{1}} neither the name of {{12}} nor the names of {{4}} contributors may be used to endorse or promote products derived from this software without specific prior written permission"
+_BSD_END = "this software is provided by {{12}} as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall {{12}} be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"
+
+
+def whole_text(name: str, end: str = "") -> str:
+    """A licence of ``licence_texts`` as a template, up to the last ``end`` (its appendices aren't terms). The scheme
+    of links and the FSF's postal address may differ."""
+    words = " ".join(w.decode() for w in tokens(pkgutil.get_data("tidemark.llm", f"licence_texts/{name}.txt").decode()))
+    if end:
+        words = words[: words.rindex(end)].strip()
+    words = re.sub(r"\b51 franklin street fifth floor boston ma 02110 1301 usa\b", "{{14}}", words)
+    return re.sub(r"\bhttps?\b", "{{1}}", words)
+
+
 TEMPLATES = {
-    "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the [[ {{4}} ]] software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
-    "bsd-text": "redistribution and use in source and binary forms with or without modification are permitted [[ {{8}} ]] provided that the following conditions are met",
-    "isc-text": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "mit-text": f"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the [[ {{{{4}}}} ]] software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice [[ including the next paragraph ]] shall be included in all copies or substantial portions of the software {_AS_IS} {{{{12}}}} be liable for any {_LIABLE}",
+    "bsd-2-clause-text": f"{_BSD} {_BSD_END}",
+    "bsd-3-clause-text": f"{_BSD} {_BSD_NAMES} {_BSD_END}",
+    "bsd-4-clause-text": f"{_BSD} {_BSD_ADVERTISING} {_BSD_NAMES} {_BSD_END}",
+    "isc-text": "permission to use copy modify and [[ or ]] distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and {{12}} disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall {{12}} be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    "unlicense-text": f"this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means in jurisdictions that recognize copyright laws the author or authors of this software dedicate any and all copyright interest in the software to the public domain we make this dedication for the benefit of the public at large and to the detriment of our heirs and successors we intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law {_AS_IS} the authors be liable for any {_LIABLE}",
+    "apache-2.0-text": whole_text("Apache-2.0", "end of terms and conditions"),
+    "gpl-2.0-text": whole_text("GPL-2", "end of terms and conditions"),
+    "gpl-3.0-text": whole_text("GPL-3", "end of terms and conditions"),
+    "lgpl-2.1-text": whole_text("LGPL-2.1", "end of terms and conditions"),
+    "lgpl-3.0-text": whole_text("LGPL-3"),
+    "mpl-2.0-text": whole_text("MPL-2.0", "exhibit a source code form license notice"),
+    "cc0-1.0-text": whole_text("CC0-1.0"),
     "apache-2.0-notice": "licensed under the apache license version 2 0 [[ the license ]]",
     "gpl-notice": "this [[ {{4}} ]] is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version {{3}} of the license or [[ at your option ]] any later version",
-    "gpl-3.0-work": "this {{4}} is licensed under the gnu general public license [[ gpl ]] version 3",
+    "gpl-3.0-work-notice": "this {{4}} is licensed under the gnu general public license [[ gpl ]] version 3",
     "cc-by-nc-notice": "licensed under [[ a ]] [[ the ]] cc by nc [[ {{3}} ]] 4 0",
     "mit-notice": "released under the [[ terms of the ]] mit license",
     "copyright-notice": "copyright [[ c ]] {{12}} all rights reserved",
 }
 LABELS_OF_BASE = tuple(sorted(set(PHRASES.values())))
 
-_WORDLIKE = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 32 for c in range(256))
-
-
-def tokens(text: str | None) -> list[bytes]:
-    return (text or "").encode().translate(_WORDLIKE).split()
-
 
 @dataclass
 class Automaton:
@@ -64,6 +95,7 @@ class Automaton:
     skip: list[list[int]] = field(default_factory=list)
     final: int = 0
     starts: frozenset[bytes] = frozenset()
+    reached: list[set[int]] = field(default_factory=list)
 
     def state(self) -> int:
         self.step.append({})
@@ -109,7 +141,8 @@ def compile_template(label: str, template: str) -> Automaton:
     if opened:
         raise ValueError(f"{label}: an optional region isn't closed")
     out.final = at
-    first = out.closed({0})
+    out.reached = [out.closed({s}) for s in range(len(out.step))]
+    first = out.reached[0]
     if any(out.loop[s] is not None for s in first) or out.final in first:
         raise ValueError(f"{label}: a template starts with mandatory or optional words, not with a replaceable region")
     out.starts = frozenset(w for s in first for w in out.step[s])
@@ -123,8 +156,8 @@ def accept(automaton: Automaton, words: list[bytes]) -> list[tuple[int, int]]:
     """
     out: list[tuple[int, int]] = []
     alive: dict[int, int] = {}
-    initial = automaton.closed({0})
-    closed = {s: automaton.closed({s}) for s in range(len(automaton.step))}
+    closed = automaton.reached
+    initial = closed[0]
     for i, word in enumerate(words):
         if word in automaton.starts:
             for s in initial:
@@ -165,8 +198,11 @@ def scan_documents(
 ) -> DataFrame:
     """(key, n_words, n_base, first_word, last_word, base_labels, labels, matches, score) of every row."""
 
+    automata: list[Automaton] = []  # compiled once in each worker
+
     def rows(batch: dict) -> Iterator[tuple]:
-        automata = [compile_template(label, t) for label, t in templates.items()]
+        if not automata:
+            automata.extend(compile_template(label, t) for label, t in templates.items())
         for k, t in zip(batch["k"], batch["t"]):
             words = tokens(t)
             places = phrase_places(words, phrases)
