@@ -415,7 +415,7 @@ def keep_representatives(
 
     Groups are joined by fingerprints within ``radius`` and by every pair of texts whose sets of five-word
     shingles have a Jaccard similarity of ``similarity`` or more: candidates share a shingle of their prefixes, which
-    misses no such pair, and each is checked on the whole sets. First every set of a bucket is tied to one other;
+    misses no such pair, and each is checked on the whole sets. First every set is tied to one other at most, so few whole sets travel;
     then all pairs that those links leave in different groups are checked. Rows equal in key and text are
     one row. Only digests are shuffled to choose; the chosen come back by a semi join.
     """
@@ -441,6 +441,7 @@ def keep_representatives(
     ties = prints.select(narrow("fingerprint").alias("u"), F.col("set_id").alias("v")).distinct()
     links = fingerprint_links(prints, radius).select(narrow("u").alias("u"), narrow("v").alias("v"))
     ahead = _candidates(members.withColumn("root", F.col("set_id")), similarity, every=False)
+    ahead = stored(ahead.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"))
     found = stored(components(ties.union(links).union(_verified(docs, text, sets, ahead, similarity))))
     rooted = members.join(found.select(F.col("node").alias("set_id"), "root"), "set_id")
     rest = _verified(docs, text, sets, _candidates(rooted, similarity, every=True), similarity)
