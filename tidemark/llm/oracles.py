@@ -76,3 +76,42 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * C
 p AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
 SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 5"""
+
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+_WHOLE = "list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))"
+
+
+def _clusters_sql(k: int = 40, rounds: int = 5, dim: int = 64, seed: int = 2) -> str:
+    """The rounds one after the other: a(i) assigns to the centroids c(i), which are the means of a(i - 1)."""
+    square = "CAST(list_sum(list_transform(list_zip(v.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT)"
+    steps = [
+        f"v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, {_WHOLE} AS e FROM embeddings WHERE len(embedding) = {dim} AND {_FINITE})",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h NULLS LAST, e) - 1 AS cluster, e FROM (SELECT sha256('{seed}:' || CAST(vec_id AS VARCHAR)) AS h, e FROM v ORDER BY h NULLS LAST, e LIMIT {k}))",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT rid, min((d, cluster)) AS near FROM (SELECT rid, cluster, {square} AS d FROM v, c{i} AS c) GROUP BY rid)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.e, c.e) AS e FROM c{i} AS c LEFT JOIN (
+  SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY p) AS e FROM (
+    SELECT near[2] AS cluster, p, CAST(sum(v.e[p]) AS BIGINT) AS s, count(*) AS n FROM a{i} JOIN v ON a{i}.rid = v.rid, unnest(range(1, {dim + 1})) AS k(p) GROUP BY near[2], p) GROUP BY cluster) AS m ON c.cluster = m.cluster)""")
+    steps.append(f"t AS (SELECT near[2] AS cluster, CAST(sum(near[1]) AS BIGINT) AS inertia FROM a{rounds} GROUP BY 1)")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, CAST(t.cluster AS INT) AS cluster, near[1] AS distance, t.inertia AS cluster_inertia, CAST((SELECT sum(inertia) FROM t) AS BIGINT) AS inertia,
+  sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM v JOIN a{rounds} AS a ON v.rid = a.rid JOIN t ON t.cluster = near[2] JOIN c{rounds} AS c ON c.cluster = near[2]"""
+
+
+LLM_ORACLES["op11_centroid_expressions"] = _clusters_sql()
+
+LLM_ORACLES["op13_slot_negatives"] = f"""
+WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_WHOLE} AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {_FINITE}),
+q AS (SELECT DISTINCT * FROM v WHERE vec_id % 50 = 0),
+n AS (SELECT *, row_number() OVER () AS a FROM q),
+s AS MATERIALIZED (SELECT a, n.vec_id AS anchor_id, r.vec_id, n.label = r.label AS same, CAST(list_sum(list_transform(list_zip(n.e, r.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM n JOIN v AS r ON n.vec_id <> r.vec_id AND len(n.e) = len(r.e)),
+p AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS place FROM s WHERE same QUALIFY place <= 5),
+m AS (SELECT p.anchor_id, p.vec_id AS positive_id, p.place, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.a, p.place ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON p.a = s.a AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM m WHERE rank <= 3"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, licenses, mixing, packing, pii, quality, sharding, simhash, substrings, topk
+from tidemark.llm import chat, clustering, licenses, mixing, negatives, packing, pii, quality, sharding, simhash, substrings, topk
 from tidemark.llm.common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,16 @@ def op9_rule_cascade(spark, sf_dir):
 @register
 def op10_threshold_top_k(spark, sf_dir):
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@register
+def op11_centroid_expressions(spark, sf_dir):
+    rows = clustering.clusters(read_table(spark, sf_dir, "embeddings"))
+    digits = F.concat_ws(",", F.transform("centroid", lambda x: x.cast("string")))
+    return rows.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(digits, 256).alias("centroid_sha256"))
+
+
+@register
+def op13_slot_negatives(spark, sf_dir):
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=shifted)
