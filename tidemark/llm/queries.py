@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, clustering, licenses, mixing, negatives, packing, pii, quality, sharding, simhash, substrings, topk
+from tidemark.llm import chat, clustering, licenses, lm, mixing, negatives, packing, pii, quality, sharding, simhash, substrings, topk
 from tidemark.llm.common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,11 @@ def op11_centroid_expressions(spark, sf_dir):
     return rows.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(digits, 256).alias("centroid_sha256"))
 
 
+@register
+def op12_log_bilinear(spark, sf_dir):
+    return lm.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 @register
 def op13_slot_negatives(spark, sf_dir):
     shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
