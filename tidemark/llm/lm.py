@@ -42,10 +42,10 @@ from tidemark.session import stored_table
 #: Symbols: words of their own and classes of endings, the end token aside.
 HEAD, CLASSES = 447, 64
 #: Words before a place that the model sees, length of a symbol's vector, noise symbols a batch, places a batch.
-CONTEXT, WIDTH, NOISE, BATCH = 3, 16, 32, 1024
-RATE, SEED = 0.2, 12
+CONTEXT, WIDTH, NOISE, BATCH = 3, 16, 32, 512
+RATE, SEED = 0.1, 12
 #: Places that a task gathers and mixes before it trains on them.
-GATHERED = 64 * BATCH
+GATHERED = 128 * BATCH
 #: Of 64 parts of the training texts, where each round ends.
 ROUNDS = (2, 12, 64)
 #: Words whose counts go to every task, and how long a word stands as it is.
