@@ -6,7 +6,8 @@ the rest). A word's probability is that of its symbol, times, in a class, its sm
 (c + 0.5) / (C + 0.5 (V + 1)), where one share is kept for unseen words. So all probabilities of a place add up to 1.
 
 Model. The vectors of the symbols before a place, weighted by position, add up to a prediction; its products with the
-output vectors, plus biases, are logits. Training by noise-contrastive estimation tells each true symbol from noise
+output vectors, plus biases, are logits. With two symbols before a place there are few different ones, so the sum that
+normalises is taken once for each pair a task meets. Training by noise-contrastive estimation tells each true symbol from noise
 drawn from the unigram distribution, and never needs the sum over all symbols; scoring takes that sum, by batched matrix
 products, so its log-probabilities are normalised.
 
@@ -42,7 +43,7 @@ from tidemark.session import stored_table
 #: Symbols: words of their own and classes of endings, the end token aside.
 HEAD, CLASSES = 447, 64
 #: Words before a place that the model sees, length of a symbol's vector, noise symbols a batch, places a batch.
-CONTEXT, WIDTH, NOISE, BATCH = 3, 16, 32, 512
+CONTEXT, WIDTH, NOISE, BATCH = 2, 16, 32, 512
 RATE, SEED = 0.1, 12
 #: Places that a task gathers and mixes before it trains on them.
 GATHERED = 128 * BATCH
@@ -67,7 +68,9 @@ def ending(key: bytes) -> bytes:
 
 def words_of(text: str | None) -> list[bytes]:
     """Words with A-Z lower-cased, then the end token."""
-    return [*map(word_key, (text or "").encode().lower().split()), END]
+    words = (text or "").encode().lower().split()
+    words.append(END)
+    return words if max(map(len, words)) <= LONGEST else [*map(word_key, words)]
 
 
 def held_out(key: str, folds: int = 5, fold: int = 1) -> Column:
@@ -117,10 +120,25 @@ class Vocabulary:
     counts: np.ndarray  # training tokens of each symbol
     share: np.ndarray  # log10 of a class's C + 0.5 (V + 1), 0 for the other symbols
 
+    def __post_init__(self) -> None:
+        self.place = {w: i for i, w in enumerate(self.frequent)}
+        train = np.fromiter(self.frequent.values(), dtype=np.float64, count=len(self.frequent))
+        self.train, self.log_train = train.astype(np.int64), np.log10(train + 0.5)
+        self.symbol_at = np.fromiter(map(self.symbol, self.frequent), dtype=np.int64, count=len(self.frequent))
+
     def symbol(self, word: bytes) -> int:
         found = self.symbols.get(word)
         return self.classes.get(ending(word), self.last) if found is None else found
 
+    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(symbols, places in ``frequent`` or -1, which words are rare)."""
+        get = self.place.get
+        at = np.array([get(w, -1) for w in words], dtype=np.int64)
+        symbols = self.symbol_at[at] if len(self.symbol_at) else np.zeros(len(at), dtype=np.int64)
+        rare = np.flatnonzero(at < 0)
+        symbols[rare] = [self.symbol(words[i]) for i in rare.tolist()]
+        return symbols, at, rare
+
 
 def learn_vocabulary(counted: DataFrame, head: int = HEAD, classes: int = CLASSES, frequent: int = FREQUENT) -> Vocabulary:
     """Totals, frequent words and classes from the stored counts. The driver sees bounded tables only."""
@@ -189,16 +207,34 @@ class LogBilinear:
     def predicted(self, before: np.ndarray) -> np.ndarray:
         return sum(self.seen[before[:, i]] * self.place[i] for i in range(self.context))
 
-    def log_probabilities(self, before: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """log10 of each target's normalised probability: one matrix product over all symbols."""
-        guess = self.predicted(before)
-        logits = guess @ self.out.T
-        # No logit is above this bound; taking it off keeps exp() in range where it must, without a search for the largest.
-        most = float(np.linalg.norm(guess, axis=1).max()) * float(np.linalg.norm(self.out, axis=1).max()) + float(np.abs(self.bias).max())
-        logits += self.bias if most < 80 else self.bias - logits.max(axis=1, keepdims=True)
-        hit = logits[np.arange(len(target)), target].astype(np.float64)
-        np.exp(logits, out=logits)
-        return (hit - np.log((logits @ np.ones(self.n, dtype=np.float32)).astype(np.float64))) / math.log(10)
+    def log_sums(self, before: np.ndarray, places: int = 256) -> np.ndarray:
+        """The logarithm of what the exponentials of all symbols' logits add up to, by batched matrix products."""
+        out = np.empty(len(before))
+        for s in range(0, len(before), places):
+            logits = self.predicted(before[s : s + places]) @ self.out.T
+            logits += self.bias
+            top = logits.max(axis=1)
+            logits -= top[:, None]
+            np.exp(logits, out=logits)
+            out[s : s + places] = top + np.log(logits.sum(axis=1, dtype=np.float64))
+        return out
+
+    def log_probabilities(self, before: np.ndarray, target: np.ndarray, known: np.ndarray | None = None) -> np.ndarray:
+        """log10 of each target's normalised probability.
+
+        Places with the same symbols before them have the same sum over all symbols, so it is taken once for each;
+        ``known`` (``memory``) keeps the sums from one call to the next.
+        """
+        known = self.memory() if known is None else known
+        codes = before @ (self.n + 1) ** np.arange(self.context)
+        fresh = np.unique(codes[np.isnan(known[codes])])
+        known[fresh] = self.log_sums(np.stack([fresh // (self.n + 1) ** i % (self.n + 1) for i in range(self.context)], axis=1))
+        hit = (self.predicted(before) * self.out[target]).sum(axis=1) + self.bias[target]
+        return (hit - known[codes]) / math.log(10)
+
+    def memory(self) -> np.ndarray:
+        """Room for the sum after any symbols: (n + 1) ** context numbers, whatever the corpus."""
+        return np.full((self.n + 1) ** self.context, np.nan)
 
 
 def unigram(counts: np.ndarray) -> np.ndarray:
@@ -279,7 +315,7 @@ def train_round(docs: DataFrame, words: Vocabulary, model: LogBilinear, low: int
 
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                symbols = np.array([words.symbol(w) for w in words_of(t)], dtype=np.int64)
+                symbols = words.look_up(words_of(t))[0]
                 for s in range(0, len(symbols), GATHERED):  # a long text goes in pieces
                     held.append(symbols[s : s + GATHERED])
                     n += len(held[-1])
@@ -313,7 +349,7 @@ def train_round(docs: DataFrame, words: Vocabulary, model: LogBilinear, low: int
 # --- scores ---
 
 
-def score_parts(docs: DataFrame, words: Vocabulary, model: LogBilinear, places: int = 256, entries: int = 65_536) -> DataFrame:
+def score_parts(docs: DataFrame, words: Vocabulary, model: LogBilinear, places: int = 16_384, entries: int = 65_536) -> DataFrame:
     """Sums over each text but for the rare words' counts, which stand beside them: (row, main, id, held, n_tokens, known, base, score, rare, times).
 
     ``row`` numbers a row of ``docs``; a text of many rare words takes several lines, of which one is ``main``.
@@ -323,30 +359,26 @@ def score_parts(docs: DataFrame, words: Vocabulary, model: LogBilinear, places:
 
     def rows(batch: dict) -> Iterator[tuple]:
         task = TaskContext.get().partitionId() << 33
+        if not memory:
+            memory.append(model.memory())
         for key, held, t in zip(batch["id"], batch["held"], batch["t"]):
             number, numbering[0] = task + numbering[0], numbering[0] + 1
             tokens = words_of(t)
-            symbols = np.array([words.symbol(w) for w in tokens], dtype=np.int64)
+            symbols, at, rare = words.look_up(tokens)
             before, target = contexts(symbols, model.n, model.context)
-            score = sum(float(model.log_probabilities(before[s : s + places], target[s : s + places]).sum()) for s in range(0, len(target), places))
-            rare, known, base = Counter(), 0, 0.0
-            for w, n in Counter(tokens).items():
-                c = words.frequent.get(w)
-                in_class = words.symbol(w) >= first_class
-                if in_class:
-                    score -= n * words.share[words.symbol(w)]
-                if c is None:
-                    rare[w] = n
-                else:
-                    known += n * (c > 0)
-                    base += n * math.log10(c + 0.5)
-                    score += n * math.log10(c + 0.5) if in_class else 0.0
-            left = list(rare.items())
+            score = sum(float(model.log_probabilities(before[s : s + places], target[s : s + places], memory[0]).sum()) for s in range(0, len(target), places))
+            found = at[at >= 0]
+            known = int((words.train[found] > 0).sum())
+            base = float(words.log_train[found].sum())
+            # In a class, a word has its share: its count goes to both scores, the class's total to the model's.
+            score += float(words.log_train[at[(at >= 0) & (symbols >= first_class)]].sum()) - float(words.share[symbols].sum())
+            left = list(Counter([tokens[i] for i in rare.tolist()]).items())
             for s in range(0, len(left), entries) if left else [0]:
                 part, main = left[s : s + entries], s == 0
                 sums = (len(tokens), known, base - len(tokens) * base_total, score) if main else (0, 0, 0.0, 0.0)
                 yield (number, main, key, held, *sums, [w for w, _ in part], [n for _, n in part])
 
+    memory: list[np.ndarray] = []
     numbering = [0]
     kind = docs.schema["id"].dataType.simpleString()
     schema = f"row long, main boolean, id {kind}, held boolean, n_tokens long, known long, base double, score double, rare array<binary>, times array<long>"
