@@ -30,6 +30,7 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, Stru
 
 from tidemark.llm.common import map_rows, stored, whole_row
 from tidemark.llm.graph import components
+from tidemark.session import stored_table
 
 RADIUS = 3
 LIMIT = 1024
@@ -302,6 +303,39 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return prints.join(ids, "fingerprint").select(key, "fingerprint", "component_id")
 
 
+def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row of each group that ``near_duplicates`` finds: the one with the smallest (key, digest of its text), NULL keys last.
+
+    Rows equal in key and text are one row. Only digests are shuffled to choose; the chosen rows come back by a semi join.
+    """
+    own = _own(key, text)
+
+    def rows(batch: dict) -> Iterator[tuple]:
+        for row, t in zip(batch["own"], batch["t"]):
+            yield row, fingerprint(t, words)
+
+    schema = StructType([StructField("own", docs.select(own.alias("own")).schema["own"].dataType), StructField("fingerprint", LongType())])
+    prints = stored_table(map_rows(docs.select(own.alias("own"), F.col(text).alias("t")), rows, schema)).table
+    rooted = classes(prints, prints.groupBy("fingerprint").agg(F.min("own").alias("least")), radius)
+    chosen = stored_table(rooted.groupBy("root").agg(F.min("least").alias("own")).select("own")).table
+    return _rows_of(docs, own, prints, chosen)
+
+
+def _own(key: str, text: str):
+    """What tells a row from others: its key, NULL last, then the digest of its text."""
+    return F.struct(F.col(key).isNull().alias("absent"), F.col(key).alias("id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest"))
+
+
+def _rows_of(docs: DataFrame, own, prints: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``chosen`` names, one of each; ``prints`` has ``own`` for every row of ``docs``."""
+    kept = docs.select(whole_row(docs).alias("doc"), own.alias("mine")).join(chosen, F.col("mine") == F.col("own"), "left_semi")
+    # Rows equal in key and text would all pass: of these one stays, found among the repeated keys alone.
+    again = prints.groupBy("own").agg(F.count("*").alias("n")).where(F.col("n") > 1).join(chosen, "own", "left_semi").select(F.col("own").alias("again"))
+    once = kept.join(again, F.col("mine") == F.col("again"), "left_anti")
+    twice = kept.join(again, F.col("mine") == F.col("again"), "left_semi").dropDuplicates(["mine"])
+    return once.union(twice).select("doc.*")
+
+
 def shingle_set(text: str | None, words: int = WIDE_SHINGLE) -> np.ndarray:
     """The sorted distinct hashes of the word shingles; a text of fewer words is one shingle, one without words has none."""
     w = (text or "").encode().lower().split()
@@ -419,7 +453,7 @@ def keep_representatives(
     then all pairs that those links leave in different groups are checked. Rows equal in key and text are
     one row. Only digests are shuffled to choose; the chosen come back by a semi join.
     """
-    own = F.struct(F.col(key).isNull().alias("absent"), F.col(key).alias("id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest"))
+    own = _own(key, text)
     common, often = common_shingles(docs, text)
 
     def rows(batch: dict) -> Iterator[tuple]:
@@ -448,12 +482,7 @@ def keep_representatives(
     found = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")).union(rest))
     least = prints.groupBy("set_id").agg(F.min("own").alias("least"))
     chosen = stored(least.join(found, F.col("set_id") == F.col("node")).groupBy("root").agg(F.min("least").alias("own")).select("own"))
-    kept = docs.select(whole_row(docs).alias("doc"), own.alias("mine")).join(chosen, F.col("mine") == F.col("own"), "left_semi")
-    # Rows equal in key and text would all pass: of these one stays, found among the repeated keys alone.
-    again = prints.groupBy("own").agg(F.count("*").alias("n")).where(F.col("n") > 1).join(chosen, "own", "left_semi").select(F.col("own").alias("again"))
-    once = kept.join(again, F.col("mine") == F.col("again"), "left_anti")
-    twice = kept.join(again, F.col("mine") == F.col("again"), "left_semi").dropDuplicates(["mine"])
-    return once.union(twice).select("doc.*")
+    return _rows_of(docs, own, prints, chosen)
 
 
 def hex_fingerprint(column: str = "fingerprint"):
