@@ -15,6 +15,7 @@ which of several pieces of one length takes which slot follows (hash, key, piece
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -30,6 +31,10 @@ CAPACITY = 1024
 END_ID = 2
 #: The vocabulary as ranks: the ids of ``byte_bpe_50k.json``, several times faster to look up (tests compare the two).
 RANKS = "byte_bpe_50k.tiktoken"
+JSON = "byte_bpe_50k.json"
+#: White space in a row from which on a text goes to the JSON tokenizer.
+LONG_RUN = 100_000
+_RUN = re.compile(r"\s{%d}" % LONG_RUN)
 SPECIAL = {"<|endoftext|>": 50256}
 
 
@@ -43,6 +48,14 @@ def tokenizer(path: str | None = None):
     return tiktoken.Encoding("corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
+def json_tokenizer(path: str | None = None):
+    """The tokenizer of the JSON vocabulary, which the ranks are taken from."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path or public_tokenizers.path(JSON))
+
+
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: the remainder first, then full pieces."""
     first = (n - 1) % capacity + 1
@@ -68,10 +81,22 @@ _ENCODERS: dict = {}
 
 
 def _encoder(path: str | None):
-    """One tokenizer per task (loading the ranks takes a tenth of a second)."""
+    """One tokenizer per task (loading the ranks takes a tenth of a second).
+
+    The rank tokenizer's pattern backtracks over white space and fails on runs of about a million, so a text with a
+    run of ``LONG_RUN`` goes to the JSON tokenizer, slower and with equal ids.
+    """
     if path not in _ENCODERS:
-        encoding = tokenizer(path)
-        _ENCODERS[path] = lambda t: encoding.encode(t, allowed_special="all")
+        encoding, plain = tokenizer(path), []
+
+        def encode(t: str) -> list[int]:
+            if len(t) < LONG_RUN or not _RUN.search(t):
+                return encoding.encode(t, allowed_special="all")
+            if not plain:
+                plain.append(json_tokenizer())
+            return plain[0].encode(t, add_special_tokens=False).ids
+
+        _ENCODERS[path] = encode
     return _ENCODERS[path]
 
 
