@@ -10,7 +10,9 @@ Each pair gives ``k`` rows a query, and a ranked window keeps the best.
 
 Defined results: vectors that are NULL or hold a NULL or non-finite component take no part, neither do they
 query; vectors of different lengths aren't compared; vectors of no dimension score 0; scores beyond 64 bits are
-held at the limits before they are ranked; equal ids are distinct rows but for the query's own id; ties go to the smaller id.
+held at the limits before they are ranked; equal rows that
+ask are one query, rows of one id with different vectors are queries of their own, and no row of the query's id is its
+neighbour; all other repeated rows are rows of their own; ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -109,18 +111,20 @@ def top_k(
 
     # A candidate goes to every block of queries, a query to every block of candidates; all tasks are alike in size.
     candidates = rows.select("id", "vec", "dim", F.pmod(mixed, F.lit(blocks)).alias("b"), every(query_blocks).alias("q"))
-    queries = rows.where("asks").select("id", "vec", "dim", every(blocks).alias("b"), F.pmod(mixed, F.lit(query_blocks)).alias("q"))
+    # Equal rows that ask are one query; ``a`` tells apart different vectors of one id.
+    asking = rows.where("asks").select("id", "vec", "dim").distinct().withColumn("a", F.md5(F.to_json(F.struct("id", "vec"))))
+    queries = asking.select("a", "id", "vec", "dim", every(blocks).alias("b"), F.pmod(mixed, F.lit(query_blocks)).alias("q"))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
             a, b = _matrix(left["vec"], scale), _matrix(right["vec"], scale)
-            ids, mine = right["id"].to_numpy(), left["id"].to_numpy()
-            out = [(mine[q], ids[r], score) for q, r, score in block_top_k(a, mine, b, ids, k)]
-        return pd.DataFrame(out, columns=["query_id", key, "score"])
+            ids, mine, asks = right["id"].to_numpy(), left["id"].to_numpy(), left["a"].to_numpy()
+            out = [(asks[q], mine[q], ids[r], score) for q, r, score in block_top_k(a, mine, b, ids, k)]
+        return pd.DataFrame(out, columns=["a", "query_id", key, "score"])
 
     kind = vectors.schema[key].dataType.simpleString()
-    near = queries.groupBy("dim", "b", "q").cogroup(candidates.groupBy("dim", "b", "q")).applyInPandas(meet, f"query_id {kind}, {key} {kind}, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
+    near = queries.groupBy("dim", "b", "q").cogroup(candidates.groupBy("dim", "b", "q")).applyInPandas(meet, f"a string, query_id {kind}, {key} {kind}, score long")
+    best = Window.partitionBy("a").orderBy(F.desc("score"), key)
     ranked = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", key, "score")
