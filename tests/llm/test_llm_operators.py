@@ -79,9 +79,25 @@ def test_perspectives_against_plain_python(spark):
     assert got == want
 
 
+def test_roles_that_look_alike_are_participants_of_their_own(spark):
+    turns = [(1, 0, "a b", "one"), (1, 1, "a_b", "two"), (1, 2, None, "three"), (1, 3, "unknown", "four"), (1, 4, "a b", "five"), (1, 5, "a_b~2", "six"), (2, 0, "a_b", "seven")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(3)
+    got = {(r.conv_id, r.speaker): [r.text[int(a) : int(b)] for a, b in (m.split("-") for m in r.masks.split(","))] for r in chat.rotate(df).collect()}
+    said = {("a_b"): ["one", "five"], "a_b~2": ["two"], "unknown": ["four"], "unknown~2": ["three"], "a_b_2": ["six"]}
+    assert got == {**{(1, n): [f"{t}<|end|>" for t in x] for n, x in said.items()}, (2, "a_b"): ["seven<|end|>"]}
+
+
 # --- packing ---
 
 
+def test_very_long_runs_have_the_ids_of_the_named_tokenizer(spark):
+    plain = packing.json_tokenizer()
+    texts = [c * 2_000_000 for c in " \n\t"] + ["a\n" + " " * 150_000 + "b <|endoftext|>", "x" * 300_000, " \n" * 600_000]
+    rows = packing.pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), capacity=1 << 30).collect()
+    want = {i: np.array([*plain.encode(t, add_special_tokens=False).ids, 2], dtype="<u4") for i, t in enumerate(texts)}
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in rows} == {i: (len(x), zlib.crc32(x.tobytes())) for i, x in want.items()}
+
+
 @pytest.mark.parametrize("capacity,seed", [(10, 1), (64, 2), (1024, 3)])
 def test_plan_equals_best_fit_decreasing(capacity, seed):
     rng = random.Random(seed)
@@ -455,6 +471,16 @@ def test_one_document_of_each_group_stays(docs):
     assert len(found) == len(set(found)) and set(found) == set(groups.values())
 
 
+def test_one_row_of_each_simhash_group_stays(docs, spark):
+    kept = simhash.one_per_group(docs)
+    assert kept.columns == docs.columns
+    order = sorted({(d, t or "") for d, t, *_ in corpus()}, key=lambda x: (x[0] is None, x[0] or 0, hashlib.md5(x[1].encode()).hexdigest()))
+    prints = [plain_fingerprint(t) for _, t in order]
+    groups = closure(set(range(len(order))), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 3)
+    assert sorted(order.index((r.doc_id, r.text or "")) for r in kept.collect()) == sorted(set(groups.values()))
+    assert simhash.one_per_group(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
 def test_near_copies_go_and_unlike_texts_stay(spark):
     rng = random.Random(12)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
@@ -614,6 +640,16 @@ def test_top_k_against_all_pairs(spark):
     same_rows(topk.top_k(df, F.col("vec_id") % 5 == 0, block=40, query_block=9).collect(), want)
 
 
+def test_repeated_rows_ask_once(spark):
+    rows = [(50, [0.5, 0.25]), (50, [0.5, 0.25]), (50, [0.0, 1.0]), *[(i, [i / 64, 1 - i / 64]) for i in range(1, 9)], (8, [8 / 64, 1 - 8 / 64])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0).collect()
+    want = []
+    for q in ([0.5, 0.25], [0.0, 1.0]):
+        others = sorted((-sum(math.floor(256 * x) * math.floor(256 * y) for x, y in zip(q, v)), i) for i, v in rows if i != 50)
+        want += [(50, r, i, -s) for r, (s, i) in enumerate(others[:5], 1)]
+    same_rows(got, want)
+
+
 # --- empty tables, clashing columns ---
 
 

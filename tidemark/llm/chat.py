@@ -13,14 +13,16 @@ A conversation may be of any length, so a rendering comes in parts: part ``p`` h
 Ranks are counted in buckets of turn numbers, so a long conversation is spread over many tasks; only rows that
 share conversation and turn number (ties, which a dialogue has few of) are always ordered together.
 
+Participants are told apart by their role as it stands. In headers a role's white space and ``<|>~`` become ``_``; where
+several roles of a conversation come out alike, the second of them in order of the role (NULL last) is ``name~2``, and so on.
+
 Defined results: turns go by turn number (NULL last), then role (NULL last), then text (NULL first); equal rows
-are turns of their own; a NULL role speaks as ``unknown``; a NULL text is empty; a role's white space and ``<|>``
-become ``_``; a NULL conv_id is a conversation of its own; an empty table gives an empty table.
+are turns of their own; a NULL role is a participant that speaks as ``unknown``; a NULL text is empty; a NULL conv_id is a conversation of its own; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ranked, stored
@@ -32,7 +34,15 @@ TURNS_PER_BUCKET = 1024
 
 def speaker_name(role: str) -> Column:
     """The role as it stands in a header."""
-    return F.regexp_replace(F.coalesce(F.col(role), F.lit("unknown")), r"[\s<|>]", "_")
+    return F.regexp_replace(F.coalesce(F.col(role), F.lit("unknown")), r"[\s<|>~]", "_")
+
+
+def speakers_of(rows: DataFrame) -> DataFrame:
+    """(_conv, _role, speaker): the participants, under names that are theirs alone in a conversation."""
+    each = rows.select("conv", "role").distinct().withColumn("clean", speaker_name("role")).withColumn("among", F.struct("conv", "clean"))
+    number = F.row_number().over(Window.partitionBy("among").orderBy(F.col("role").asc_nulls_last()))
+    named = F.when(number == 1, F.col("clean")).otherwise(F.concat("clean", F.lit("~"), number))
+    return each.select(F.col("conv").alias("_conv"), F.col("role").alias("_role"), named.alias("speaker"))
 
 
 def rotate(
@@ -44,14 +54,15 @@ def rotate(
         F.col(turn).alias("turn"),
         F.col(role).alias("role"),
         F.coalesce(F.col(text), F.lit("")).alias("body"),
-        speaker_name(role).alias("name"),
     )
     late = F.coalesce(F.floor(F.col("turn") / TURNS_PER_BUCKET).cast("long"), F.lit(2**62))
     order = [F.col("turn").asc_nulls_last(), F.col("role").asc_nulls_last(), "body"]
     placed = stored(ranked(rows, ["conv"], late, order, "place").withColumn("part", F.floor(F.col("place") / part_turns).cast("long")))
-    speakers = placed.select(F.col("conv").alias("_conv"), F.col("name").alias("speaker")).distinct()
+    speakers = stored(speakers_of(placed))
+    own = speakers.select(F.col("_conv").alias("_c"), F.col("_role").alias("_r"), F.col("speaker").alias("name"))
+    named = placed.join(own, F.col("conv").eqNullSafe(F.col("_c")) & F.col("role").eqNullSafe(F.col("_r"))).select(*placed.columns, "name")
     mine = F.col("name") == F.col("speaker")
-    seen = placed.join(speakers, F.col("conv").eqNullSafe(F.col("_conv")))
+    seen = named.join(speakers.select("_conv", "speaker"), F.col("conv").eqNullSafe(F.col("_conv")))
     header = F.when(mine, F.lit("<|assistant|>\n")).otherwise(F.concat(F.lit("<|user name="), "name", F.lit("|>\n")))
     trained = F.concat("body", F.lit("<|end|>"))
     line = F.struct("place", header.alias("header"), trained.alias("said"), mine.alias("mine"))

@@ -13,9 +13,10 @@ _DOCS = f"""d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(t
   regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents)"""
 
 LLM_ORACLES["op1_perspective_rotation"] = r"""
-WITH r AS (SELECT conv_id, turn, role, coalesce(text, '') AS body, regexp_replace(coalesce(role, 'unknown'), '[\s<|>]', '_', 'g') AS name FROM conversations),
+WITH c AS (SELECT DISTINCT conv_id, role, regexp_replace(coalesce(role, 'unknown'), '[\s<|>~]', '_', 'g') AS clean FROM conversations),
+s AS (SELECT conv_id AS c, role AS speaks, clean || CASE WHEN n = 1 THEN '' ELSE '~' || n END AS speaker FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, clean ORDER BY role NULLS LAST) AS n FROM c)),
+r AS (SELECT conv_id, turn, role, coalesce(text, '') AS body, speaker AS name FROM conversations JOIN s ON conv_id IS NOT DISTINCT FROM s.c AND role IS NOT DISTINCT FROM speaks),
 p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS LAST, body) - 1 AS place FROM r),
-s AS (SELECT DISTINCT conv_id AS c, name AS speaker FROM r),
 x AS (SELECT conv_id, speaker, place // 64 AS part, place, name = speaker AS mine,
     CASE WHEN name = speaker THEN '<|assistant|>' ELSE '<|user name=' || name || '|>' END || chr(10) AS header, body || '<|end|>' AS said
   FROM p JOIN s ON p.conv_id IS NOT DISTINCT FROM s.c),
@@ -73,9 +74,10 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 LLM_ORACLES["op10_threshold_top_k"] = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-p AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
-SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 5"""
+u AS (SELECT DISTINCT vec_id, e FROM v WHERE vec_id % 50 = 0), q AS (SELECT *, row_number() OVER () AS a FROM u),
+p AS (SELECT a, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 5"""
 
 _FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
 _WHOLE = "list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))"
