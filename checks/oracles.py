@@ -166,6 +166,18 @@ oracle("document_name_keys", f"""SELECT doc_id, md5({collapse('text')}) AS colla
 oracle("parsed_dates", f"""{DATED} SELECT row_index, strftime(ia, '%Y-%m-%d %H:%M:%S') AS intake_at, strftime(ca, '%Y-%m-%d %H:%M:%S') AS closure_at,
   strftime(ta, '%Y-%m-%d %H:%M:%S') AS triage_at, dur AS duration_days, strftime(ia, '%Y-%m') AS intake_month,
   CAST(coalesce(datediff('day', DATE '0001-01-01', CAST(ia AS DATE)) + 1, 0) AS BIGINT) AS intake_ordinal FROM timed""")
+# The days are known here, so nothing is parsed: what each way of writing keeps of a day is stated.
+oracle("parsed_date_shapes", """
+WITH o AS (SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS d, o_orderkey % 20 AS way FROM orders),
+r AS (SELECT o_orderkey, CASE
+    WHEN way IN (0, 2, 3, 6, 7, 8, 12, 13, 14) THEN d
+    WHEN way = 1 THEN d + INTERVAL '12 hours 5 minutes 6 seconds'
+    WHEN way IN (4, 5) THEN date_trunc('month', d)
+    WHEN way = 9 THEN date_trunc('week', d)
+    WHEN way = 10 THEN d
+    WHEN way = 11 THEN d + INTERVAL '14 hours 5 minutes 6.25 seconds'
+    WHEN way = 15 THEN d + INTERVAL '14 hours 5 minutes 6 seconds' END AS moment FROM o)
+SELECT o_orderkey, strftime(CAST(moment AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%g') AS read_at FROM r""")
 oracle("coerced_cells", f"""{BASE} SELECT row_index, {number('contact_count')} AS contacts, {_FLAG} AS triaged FROM cases""")
 
 # --- normalization ---------------------------------------------------------------------------

@@ -86,6 +86,40 @@ def parsed_dates(spark, folder):
     )
 
 
+#: How ``parsed_date_shapes`` writes an order's day, by its key. Dates come as text by Spark's own formatter.
+_WRITTEN = [
+    "date_format(d, 'EEEE, MMMM d, yyyy')",
+    "concat(date_format(d, 'EEE, dd MMM yyyy'), ' 14:05:06 +0200')",
+    "concat(date_format(d, 'MMMM d'), CASE WHEN day(d) IN (1, 21, 31) THEN 'st' WHEN day(d) IN (2, 22) THEN 'nd' WHEN day(d) IN (3, 23) THEN 'rd' ELSE 'th' END, date_format(d, ', yyyy'))",
+    "concat(day(d), 'th of ', upper(date_format(d, 'MMMM yyyy')))",
+    "date_format(d, 'MMMM yyyy')",
+    "date_format(d, 'yyyy-MM')",
+    "date_format(d, 'dd-MMM-yy')",
+    "date_format(d, \"MMM. d, ''yy\")",
+    "concat(extract(YEAROFWEEK FROM d), '-W', lpad(weekofyear(d), 2, '0'), '-', weekday(d) + 1)",
+    "concat(extract(YEAROFWEEK FROM d), 'W', lpad(weekofyear(d), 2, '0'))",
+    "date_format(d, 'yyyy/M/d HH:mm')",
+    "concat(date_format(d, 'M/d/yyyy'), ' 2:05:06.25 pm')",
+    "CASE WHEN day(d) > 12 THEN date_format(d, 'dd.MM.yyyy') ELSE date_format(d, 'MM-dd-yyyy') END",
+    "date_format(d, 'yyyyMMdd')",
+    "date_format(d, 'yyyy MMM dd')",
+    "concat(date_format(d, 'EEE MMM d'), ' 14:05:06 UTC ', year(d))",
+    "concat('February 30, ', year(d))",
+    "concat('week ', weekofyear(d), ' of ', year(d))",
+    "concat(year(d), '-W60-1')",
+    "concat(date_format(d, 'yyyy-MM-dd'), ' 24:61')",
+]
+
+
+@register
+def parsed_date_shapes(spark, folder):
+    """Every order's day, written in twenty ways and read back."""
+    days = table(spark, folder, "orders").selectExpr("o_orderkey", "CAST(o_orderdate AS DATE) AS d")
+    way = " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(_WRITTEN))
+    written = days.selectExpr("o_orderkey", f"CASE o_orderkey % {len(_WRITTEN)} {way} END AS cell")
+    return written.select("o_orderkey", F.date_format(dates.parse_date("cell"), "yyyy-MM-dd HH:mm:ss.SSS").alias("read_at"))
+
+
 @register
 def coerced_cells(spark, folder):
     raw = _raw(spark, folder)

@@ -162,6 +162,29 @@ def test_hot_and_null_keys(spark):
         ("20240515", "2024-05-15 00:00:00"),
         ("03-05-24", "2024-03-05 00:00:00"),
         ("3/5/24", "2024-03-05 00:00:00"),
+        ("Tue, 05 Mar 2024 14:05:06 +0200", "2024-03-05 12:05:06"),
+        ("Tue Mar 5 14:05:06 GMT 2024", "2024-03-05 14:05:06"),
+        ("TUESDAY, March 5th, 2024", "2024-03-05 00:00:00"),
+        ("2nd of March 2024", "2024-03-02 00:00:00"),
+        ("Mar-2024", "2024-03-01 00:00:00"),
+        ("03/2024", "2024-03-01 00:00:00"),
+        ("05-Mar-24", "2024-03-05 00:00:00"),
+        ("Mar 5, '70", "1970-03-05 00:00:00"),
+        ("2024-W10-2", "2024-03-05 00:00:00"),
+        ("2020W53", "2020-12-28 00:00:00"),
+        ("2021-W53-1", None),
+        ("2024-W00-1", None),
+        ("15.03.2024", "2024-03-15 00:00:00"),
+        ("2024-03-05 12:00 am", "2024-03-05 00:00:00"),
+        ("2024-03-05 13:00 pm", None),
+        ("2024-03-05 10:00:60", None),
+        ("2024-03-05 10:00:59.9999999", "2024-03-05 10:00:59.999999"),
+        ("February 30th, 2024", None),
+        ("Marchx 5 2024", None),
+        ("5 6 7 2024", None),
+        ("3/5", None),
+        ("Sunday", None),
+        ("2024", None),
         ("2024-02-30T08:30", None),
         ("soon", None),
         ("15 Foo 2024", None),
