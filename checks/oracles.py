@@ -265,6 +265,8 @@ oracle("cleaned_cases", f"{FULL} SELECT * FROM clean")
 oracle("quarantined_cases", f"{FULL} SELECT row_index, case_id, client_name, quarantine_reason FROM std WHERE quarantine_reason <> ''")
 oracle("merged_cases", f"{FULL} SELECT row_index, first_row AS merged_into FROM ranked WHERE first_row <> row_index")
 oracle("contact_median", f"{FULL} SELECT CAST(m AS BIGINT) AS median FROM middle")
+oracle("contact_median_by_agent", f"""{BASE}, c AS (SELECT assigned_agent, priority, {number('contact_count')} AS k FROM cases)
+  SELECT assigned_agent, priority, CAST(coalesce(trunc(median(k) FILTER (k BETWEEN 0 AND {vocab.MAX_CONTACTS_CLEANING})), {vocab.DEFAULT_CONTACTS}) AS BIGINT) AS median FROM c GROUP BY 1, 2""")
 
 _CELLS = " UNION ALL ".join(
     f"SELECT row_index, case_id, '{c}' AS column_name, {c} AS old_value, {collapse(c)} AS new_value, 'WHITESPACE_TRIMMING' AS transformation_rule, "
@@ -314,9 +316,10 @@ def _unpivot(source: str, columns: list[str], row: str) -> str:
     return " UNION ALL ".join(f"SELECT {row} AS row_index, {i} AS ordinal, '{c}' AS column_name, coalesce(CAST({c} AS VARCHAR), '') AS value FROM {source}" for i, c in enumerate(columns))
 
 
-def _column_profile(source: str, columns: list[str], row: str, date: str) -> str:
+def _column_profile(source: str, columns: list[str], row: str, date: str, first: int | None = 20) -> str:
+    limit = f" QUALIFY row_number() OVER (PARTITION BY column_name ORDER BY row_index) <= {first}" if first else ""
     return f"""cells AS (SELECT *, {strip('value')} AS s, {_missing('value')} AS gone FROM ({_unpivot(source, columns, row)})),
-  firsts AS (SELECT * FROM cells WHERE NOT gone QUALIFY row_number() OVER (PARTITION BY column_name ORDER BY row_index) <= 20),
+  firsts AS (SELECT * FROM cells WHERE NOT gone{limit}),
   dated AS (SELECT column_name, bool_and(({date}) IS NOT NULL) AS all_dates FROM firsts GROUP BY 1),
   m AS (SELECT column_name, min(ordinal) AS ordinal, count(*) AS total, count(*) FILTER (gone) AS missing, count(*) FILTER (s <> '') AS written,
     count(*) FILTER (s <> '' AND NOT regexp_full_match(lower(s), '[+-]?((\\d+\\.?\\d*|\\.\\d+)(e[+-]?\\d+)?|inf|infinity|nan)')) AS not_number,
@@ -336,6 +339,7 @@ oracle("repeated_whole_lines", """SELECT count(*) AS row_count, 11 AS column_cou
   round_even((count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem))) * 100.0 / count(*), 2) AS exact_duplicate_percentage FROM lineitem""")
 oracle("order_row_index", "SELECT row_number() OVER () - 1 AS row_index, o_orderkey FROM orders")
 oracle("column_profile", f"{BASE}, {_column_profile('cases', COLUMNS, 'row_index', parse('value'))}")
+oracle("column_profile_all_values", f"{BASE}, {_column_profile('cases', COLUMNS, 'row_index', parse('value'), None)}")
 oracle("profile_customers", f"WITH {_column_profile('customer', ['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment'], 'c_custkey', parse('value'))}")
 oracle("top_values", f"""{BASE}, cells AS ({_unpivot('cases', COLUMNS, 'row_index')}), c AS (SELECT column_name, value, count(*) AS n FROM cells WHERE NOT {_missing('value')} GROUP BY 1, 2)
   SELECT column_name, value, n, CAST(row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS INT) AS position FROM c
@@ -431,6 +435,31 @@ def _boxes(source: str, value: str, by: str) -> str:
     count(*) FILTER ({value} < q1 - 1.5 * (q3 - q1) OR {value} > q3 + 1.5 * (q3 - q1)) AS outliers FROM q JOIN {source} s ON s.{by} = q.{by} GROUP BY 1"""
 
 
+oracle("event_outliers", """WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1),
+  s AS (SELECT e.event_type, CASE WHEN value < q1 - 1.5 * (q3 - q1) THEN 'low' WHEN value > q3 + 1.5 * (q3 - q1) THEN 'high' END AS side, value, count(*) AS rows FROM events e JOIN q ON e.event_type = q.event_type GROUP BY ALL)
+  SELECT event_type, side, CAST(row_number() OVER (PARTITION BY event_type, side ORDER BY CASE WHEN side = 'low' THEN value ELSE -value END) AS INT) AS place, round(value, 6) AS value, rows
+  FROM s WHERE side IS NOT NULL QUALIFY place <= 5""")
+oracle("line_price_medians", """SELECT l_suppkey, count(l_extendedprice) AS count, round(avg(CAST(l_extendedprice AS DOUBLE)), 4) AS mean,
+  round(median(CAST(l_extendedprice AS DOUBLE)), 4) AS median, round(stddev_samp(CAST(l_extendedprice AS DOUBLE)), 4) AS std FROM lineitem GROUP BY 1""")
+
+
+def _two_factors(sweeps: int = 40) -> str:
+    """Both factors are taken out by turns, until nothing is left of them; then two numbers remain to be fitted."""
+    steps = ["""v0 AS MATERIALIZED (SELECT l_partkey AS a, l_suppkey AS b, CAST(l_extendedprice AS DOUBLE) AS y, CAST(l_quantity AS DOUBLE) AS x, CAST(l_returnflag = 'R' AS DOUBLE) AS z FROM lineitem
+  WHERE l_extendedprice IS NOT NULL AND l_partkey IS NOT NULL AND l_suppkey IS NOT NULL AND l_quantity IS NOT NULL AND l_returnflag IS NOT NULL)"""]
+    for i in range(sweeps):
+        by = "ab"[i % 2]
+        steps.append(f"v{i + 1} AS MATERIALIZED (SELECT a, b, " + ", ".join(f"{c} - avg({c}) OVER (PARTITION BY {by}) AS {c}" for c in "yxz") + f" FROM v{i})")
+    return "WITH " + ",\n".join(steps) + f""",
+  m AS (SELECT sum(y * y) AS yy, sum(x * y) AS xy, sum(z * y) AS zy, sum(x * x) AS xx, sum(z * z) AS zz, sum(x * z) AS xz FROM v{sweeps}),
+  w AS (SELECT count(*) AS n, var_pop(y) * count(*) AS tss FROM v0),
+  l AS (SELECT count(DISTINCT a) + count(DISTINCT b) AS levels FROM v0),
+  f AS (SELECT n, levels - 2 + 2 AS df, 1 - (yy - (xy * xy * zz - 2 * xy * zy * xz + zy * zy * xx) / (xx * zz - xz * xz)) / tss AS r2 FROM m, w, l)
+  SELECT n, df AS model_df, n - 1 - df AS resid_df, round(r2, 8) AS r2, round(1 - (1 - r2) * (n - 1) / (n - 1 - df), 8) AS adj_r2,
+    round(r2 / df / ((1 - r2) / (n - 1 - df)), 4) AS f_stat, true AS solved FROM f"""
+
+
+oracle("line_price_factors", _two_factors())
 oracle("event_quartiles", f"WITH {_boxes('events', 'value', 'event_type')}")
 oracle("trend_by_event_type", """WITH s AS (SELECT event_type, datediff('day', DATE '0001-01-01', CAST(ts AS DATE)) + 1 AS x, value AS y FROM events),
   f AS (SELECT event_type, regr_count(y, x) AS n, regr_slope(y, x) AS slope, regr_r2(y, x) AS r2, regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy FROM s GROUP BY 1)

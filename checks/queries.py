@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import session, vocab
 from tidemark.functions import coerce, dates, text
-from tidemark.operators import audit, cleaning, confidence, date_audit, duplicates, findings, normalize, profile, ranks, rules, stats
+from tidemark.operators import audit, cleaning, confidence, date_audit, duplicates, findings, normalize, profile, ranks, regression, rules, stats
 from tidemark.plans import reports
 from tidemark.plans.cases_view import cases as cases_view
 from tidemark.plans.cases_view import table
@@ -231,6 +231,11 @@ def contact_median(spark, folder):
     return cleaning.contact_median(_raw(spark, folder)).select(F.col("median").cast("long").alias("median"))
 
 
+@register
+def contact_median_by_agent(spark, folder):
+    return cleaning.contact_median(_raw(spark, folder), by=["assigned_agent", "priority"]).select("assigned_agent", "priority", F.col("median").cast("long").alias("median"))
+
+
 # --- profile ---------------------------------------------------------------------------------
 
 
@@ -264,6 +269,11 @@ def missingness_sample(spark, folder):
     return profile.missingness_sample(_raw(spark, folder))
 
 
+@register
+def column_profile_all_values(spark, folder):
+    return profile.column_profile(_raw(spark, folder))
+
+
 @register
 def profile_customers(spark, folder):
     return profile.column_profile(table(spark, folder, "customer").withColumn("row_index", F.col("c_custkey")), type_sample=20)
@@ -404,6 +414,27 @@ def mid_ranks(spark, folder):
     return ranked.select("event_type", "value", "n", "mid_rank")
 
 
+@register
+def line_price_medians(spark, folder):
+    session.tune(spark)
+    lines = table(spark, folder, "lineitem")
+    return _rounded(ranks.segment_stats(ranks.ranked_values(lines, "l_extendedprice", ["l_suppkey"]), ["l_suppkey"]), 4)
+
+
+@register
+def line_price_factors(spark, folder):
+    """Price by part, supplier, quantity and return flag: both factors have more levels than one task solves."""
+    session.tune(spark)
+    lines = table(spark, folder, "lineitem").withColumn("returned", F.col("l_returnflag") == "R")
+    fit = regression.factor_regression(lines, "l_extendedprice", "l_partkey", "l_suppkey", "l_quantity", "returned", dense_levels=16)
+    return fit.select("n", "model_df", "resid_df", F.round("r2", 8).alias("r2"), F.round("adj_r2", 8).alias("adj_r2"), F.round("f_stat", 4).alias("f_stat"), (F.col("residual") < 1e-9).alias("solved"))
+
+
+@register
+def event_outliers(spark, folder):
+    return _rounded(stats.box_outliers(_events(spark, folder), "value", ["event_type"]))
+
+
 @register
 def event_quartiles(spark, folder):
     return _rounded(stats.box_stats(_events(spark, folder), "value", ["event_type"], width=None))

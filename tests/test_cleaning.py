@@ -195,3 +195,23 @@ def test_date_families(spark, text, want):
 
     got = spark.createDataFrame([(text,)], "t string").select(parse_date("t").cast("string").alias("d")).first().d
     assert got == want
+
+
+def test_median_by_segment(spark):
+    from tidemark.operators.cleaning import contact_median
+
+    raw = spark.createDataFrame([("a", "1"), ("a", "4"), ("a", "999"), ("b", "x"), (None, "7"), (None, "8"), (None, "9.0")], "g string, contact_count string")
+    assert {r.g: r.median for r in contact_median(raw, by=["g"]).collect()} == {"a": 2, "b": 3, None: 8}
+    assert contact_median(raw).first().median == 7
+
+
+def test_confounder_by_share(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.confidence import triage_confidence
+
+    finding = spark.createDataFrame([("Q3", 30, 20, 0.0001, "HIGH")], "question_id string, triaged_n long, untriaged_n long, mann_whitney_p double, confidence_level string")
+    crosstab = spark.createDataFrame([("Hardware", 1, 9), ("Billing", 19, 21)], "category string, untriaged long, triaged long")
+    turned = crosstab.select("category", F.col("triaged").alias("untriaged"), F.col("untriaged").alias("triaged"))
+    cards = [triage_confidence(finding, c, F.lit(90.0), F.lit(100), F.lit(95), by_share=s).first().confounding_penalty for c, s in ((crosstab, False), (crosstab, True), (turned, True))]
+    assert cards == [4.0, 0.0, 4.0]

@@ -60,6 +60,42 @@ def test_ranks_do_not_depend_on_buckets(spark, monkeypatch):
         assert (whole["mean"], whole["std"]) == (pytest.approx(np.mean(values)), pytest.approx(np.std(values, ddof=1)))
 
 
+def test_full_buckets_are_cut_until_none_is_over_the_limit(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "ONE_BUCKET_LIMIT", 20)
+    monkeypatch.setattr(ranks, "_EDGES", 3)
+    rng = random.Random(9)
+    values = [rng.choice([rng.uniform(-1e9, 1e9), rng.uniform(0, 1e-9), rng.randint(0, 40) / 8]) for _ in range(1500)]
+    df = spark.createDataFrame([(v, "big" if i % 10 else None) for i, v in enumerate(values)], "v double, g string").repartition(5)
+    placed = ranks._bucketed(ranks.count_values(df, "v", ["g"]), ["g"], None)
+    sizes = placed.groupBy("g", "bucket").count().collect()
+    assert max(r["count"] for r in sizes) <= 20 and max(len(r.bucket) for r in sizes) > 3
+    for g in ("big", None):
+        mine = sorted((r.bucket, r.value) for r in placed.collect() if r.g == g)
+        assert [v for _, v in mine] == sorted(v for _, v in mine)
+    got = {(r.g, r.value): r.mid_rank for r in ranks.ranked_values(df, "v", ["g"]).collect()}
+    for g, keep in (("big", [v for i, v in enumerate(values) if i % 10]), (None, values[::10])):
+        keep.sort()
+        assert all(got[g, v] == (2 * keep.index(v) + keep.count(v) + 1) / 2 for v in set(keep))
+    assert ranks._bucketed(ranks.count_values(df.limit(0), "v"), [], None).count() == 0
+
+
+def test_outliers_are_listed_from_the_far_end(spark):
+    data = [("a", float(v)) for v in [*range(20), 100, 100, 300, -90]] + [("b", 1.0), ("b", 2.0), (None, 1.0)]
+    got = stats.box_outliers(spark.createDataFrame(data, "g string, v double"), "v", ["g"], limit=2).collect()
+    assert sorted(tuple(r) for r in got) == [("a", "high", 1, 300.0, 1), ("a", "high", 2, 100.0, 2), ("a", "low", 1, -90.0, 1)]
+
+
+def test_solver_ends_on_a_path_of_levels_and_says_how_well(spark):
+    """Each level of one factor meets two neighbours of the other, which is as badly connected as levels can be."""
+    rng = random.Random(4)
+    data = [(f"a{i}", f"b{i + j}", rng.randrange(9), rng.random() < 0.5, rng.gauss(i, 1)) for i in range(14) for j in (0, 1) for _ in range(3)]
+    df = spark.createDataFrame(data, "a string, b string, x int, z boolean, y double")
+    fit = lambda **k: factor_regression(df, "y", "a", "b", "x", "z", **k).first()
+    exact, solved, cut = fit(), fit(dense_levels=2), fit(dense_levels=2, max_steps=2)
+    assert exact.residual == 0.0 and solved.residual < 1e-10 and cut.residual > 1e-6
+    assert (solved.n, solved.model_df) == (exact.n, exact.model_df) and solved.r2 == pytest.approx(exact.r2, rel=1e-8)
+
+
 def test_regression_equals_least_squares(spark):
     random.seed(2)
     data = [(random.choice("xyz"), random.choice(["lo", "hi"]), random.randint(0, 9), random.random() < 0.5, random.gauss(5, 2)) for _ in range(80)]

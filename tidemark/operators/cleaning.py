@@ -7,6 +7,7 @@ unique, so no key can pile rows up in a task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -20,7 +21,7 @@ from tidemark.operators.audit import audit_log, entry
 from tidemark.operators.date_audit import date_flags
 from tidemark.operators.keyed import with_key_stats
 from tidemark.operators.normalize import lookup, normalize_category
-from tidemark.operators.ranks import ranked_values, segment_stats
+from tidemark.operators.ranks import join_by, ranked_values, segment_stats
 
 _PARENT_ONLY = ["merged_into", "raw_case_id", "audit_entries", "disposition"]
 
@@ -60,12 +61,16 @@ class CleaningResult:
         )
 
 
-def contact_median(raw: DataFrame, column: str = "contact_count", limit: int = vocab.MAX_CONTACTS_CLEANING) -> DataFrame:
-    """One row: the median of the usable counts of the whole table, truncated; 3 if there is none."""
+def contact_median(
+    raw: DataFrame, column: str = "contact_count", limit: int = vocab.MAX_CONTACTS_CLEANING, by: Sequence[str] = ()
+) -> DataFrame:
+    """The median of the usable counts, truncated, of the whole table or of every segment ``by``; 3 where there is none."""
     number = to_number(column)
-    usable = raw.select(number.alias("number")).where(F.col("number").between(0, limit))
-    middle = segment_stats(ranked_values(usable, "number", width=1000.0))
-    return middle.select(F.coalesce(F.col("median").cast("int"), F.lit(vocab.DEFAULT_CONTACTS)).alias("median"))
+    usable = raw.select(*by, number.alias("number")).where(F.col("number").between(0, limit))
+    middle = segment_stats(ranked_values(usable, "number", by, width=1000.0), by)
+    if by:  # a segment without a usable count is a segment all the same
+        middle = join_by(raw.select(*by).distinct(), middle, by, how="left")
+    return middle.select(*by, F.coalesce(F.col("median").cast("int"), F.lit(vocab.DEFAULT_CONTACTS)).alias("median"))
 
 
 def standardize(

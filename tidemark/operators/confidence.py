@@ -78,10 +78,14 @@ def driver_confidence(
 
 def triage_confidence(
     finding: DataFrame, crosstab: DataFrame, quality_score: Column, raw_n: Column, clean_n: Column,
-    by: Sequence[str] = (), confounder: str = "Hardware",
+    by: Sequence[str] = (), confounder: str = "Hardware", by_share: bool = False,
 ) -> DataFrame:
-    """The confounder costs points when its category occurs at all among the urgent cases."""
-    seen = crosstab.groupBy(*by).agg(F.max(F.col("category").contains(confounder)).alias("confounded"))
+    """The confounder costs points when its category occurs at all among the urgent cases, or, ``by_share``, only when
+    it is a larger share of the untriaged than of the triaged cases."""
+    named = F.col("category").contains(confounder)
+    share = lambda c: F.coalesce(F.try_divide(F.sum(F.when(named, F.col(c)).otherwise(0)), F.sum(c)), F.lit(0.0))
+    confounded = share("untriaged") > share("triaged") if by_share else F.max(named)
+    seen = crosstab.groupBy(*by).agg(confounded.alias("confounded"))
     rows = join_by(finding, seen, by, how="left") if by else finding.withColumn("confounded", seen.scalar())
     n2 = F.col("untriaged_n")
     sample = F.least(F.lit(30.0), (F.col("triaged_n") + n2) / 40 * 30)

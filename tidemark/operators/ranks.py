@@ -1,8 +1,8 @@
 """Exact ranks, medians and quantiles without ever holding one group in one task.
 
 Rows are first reduced to (segment, value, count); everything after works on that table. The running
-count over sorted values is split into value buckets: a window runs inside each bucket, and the
-buckets' totals, a table of a few hundred rows per segment, are accumulated separately.
+count over sorted values is split into value buckets of a stated size: a window runs inside each bucket, and the
+buckets' totals are accumulated separately.
 
 Buckets only decide where work happens, never the result, as long as they grow with the value. They
 are functions of the data alone (no sampling by partition), so a recomputed task after an executor
@@ -16,9 +16,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A segment with fewer distinct values than this is ranked in one bucket.
+from tidemark.session import stored_table
+
+# No bucket holds more distinct values than this: a bucket over it is cut at some ``_EDGES`` of its own values.
 ONE_BUCKET_LIMIT = 100_000
 _EDGES = 256
+# Buckets to cut in one go up to which their edges (2 KB each) are broadcast.
+_SENT = 2_000
 
 
 def join_by(left: DataFrame, right: DataFrame, by: Sequence[str], on: Sequence[str] = (), how: str = "inner") -> DataFrame:
@@ -43,20 +47,35 @@ def count_values(df: DataFrame, value: Column | str, by: Sequence[str] = ()) ->
     )
 
 
+def _edges_below(edges: Column, value: Column) -> Column:
+    """How many of the sorted edges are no larger than the value, by bisection."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(_EDGES.bit_length() + 2))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(edges, at + step - 1) <= value, at + step).otherwise(at))
+
+
 def _bucketed(counts: DataFrame, by: list[str], width: float | None) -> DataFrame:
+    """Adds ``bucket``, which grows with the value and holds at most ``ONE_BUCKET_LIMIT`` values, unless ``width`` is given.
+
+    A bucket is the path of its places, level by level: only buckets over the limit are cut again, so the depth
+    follows the data, and a level costs one pass over the stored (segment, value) table and one number on the driver.
+    """
     if width is not None:
         return counts.withColumn("bucket", F.floor(F.col("value") / F.lit(width)))
-    # Edges are the values whose hash falls in one residue class: a sample fixed by the data.
-    sizes = counts.groupBy(*by).agg(F.count("*").alias("d")).where(F.col("d") > ONE_BUCKET_LIMIT)
-    chosen = F.pmod(F.xxhash64("value"), F.ceil(F.col("d") / _EDGES)) == 0
-    if by:
-        edges = join_by(counts, sizes, by).where(chosen).groupBy(*by).agg(F.array_sort(F.collect_list("value")).alias("edges"))
-        placed = join_by(counts, edges, by, how="left")
-    else:
-        edges = counts.withColumn("d", sizes.scalar()).where(chosen).agg(F.array_sort(F.collect_list("value")))
-        placed = counts.withColumn("edges", edges.scalar())
-    below = F.size(F.filter("edges", lambda e: e <= F.col("value")))
-    return placed.withColumn("bucket", F.when(F.col("edges").isNull(), F.lit(0)).otherwise(below).cast("long")).drop("edges")
+    placed, level = stored_table(counts.withColumn("bucket", F.array().cast("array<int>"))), 0
+    while True:
+        full = placed.table.groupBy(*by, "bucket").agg(F.count("*").alias("d")).where(F.col("d") > ONE_BUCKET_LIMIT)
+        wide = full.count()
+        if not wide:
+            return placed.table
+        # Edges are the values whose hash falls in one residue class: a sample fixed by the data, some ``_EDGES`` a bucket.
+        chosen = F.pmod(F.xxhash64("value", F.lit(level)), F.ceil(F.col("d") / _EDGES)) == 0
+        among = F.broadcast(full) if wide <= _SENT else full
+        edges = join_by(placed.table, among, by, ["bucket"]).where(chosen).groupBy(*by, "bucket").agg(F.array_sort(F.collect_list("value")).alias("edges"))
+        cut = join_by(placed.table, F.broadcast(edges) if wide <= _SENT else edges, by, ["bucket"], "left")
+        path = F.concat("bucket", F.array(_edges_below(F.col("edges"), F.col("value"))))
+        after = stored_table(cut.withColumn("bucket", F.when(F.col("edges").isNull(), F.col("bucket")).otherwise(path)).drop("edges"))
+        placed.delete()
+        placed, level = after, level + 1
 
 
 def rank_counts(counts: DataFrame, by: Sequence[str] = (), width: float | None = None) -> DataFrame:

@@ -5,8 +5,10 @@ levels (the Frisch-Waugh-Lovell theorem), so any number of levels costs one aggr
 matrix over the other factor's levels and the two numbers, a few dozen cells per segment, solved in one call.
 
 Where the other factor has more than ``dense_levels`` levels as well, both are absorbed: conjugate gradients on
-the level sums take them out of y and the numbers, each step being two joins and two aggregations, until the
-residual is down to rounding. The two ways agree; the number only decides where the work happens.
+the level sums, scaled by their diagonal, take them out of y and the numbers, each step being two joins and two
+aggregations. The steps end when the residual is down to rounding, when it has not fallen for ``patience`` steps, or after
+``max_steps``; what is left of it stands beside the result as ``residual``, relative to the start, so a reader sees
+whether a badly connected table of levels was solved. The number of levels only decides where the work happens.
 """
 
 from __future__ import annotations
@@ -21,9 +23,12 @@ from pyspark.sql import functions as F
 from tidemark.functions.tails import f_p
 from tidemark.operators.components import connected_components
 from tidemark.operators.ranks import join_by
-from tidemark.session import stored_table
+from tidemark.session import StoredTable, stored_table
 
-DENSE_LEVELS = 4096
+#: Levels of the smaller factor up to which its matrix is solved in one task.
+DENSE_LEVELS = 256
+#: Squared residual, relative to the first, that counts as rounding; steps without a fall by a hundredth; steps at most.
+ROUNDING, PATIENCE, MAX_STEPS = 1e-24, 40, 500
 _VARIABLES = ("y", "x", "z")
 
 
@@ -68,35 +73,48 @@ def _squares(table: DataFrame, left: str, right: str, name: str) -> DataFrame:
     return table.groupBy("g").agg(*[F.sum(F.col(f"{left}_{v}") * F.col(f"{right}_{v}")).alias(f"{name}_{v}") for v in _VARIABLES])
 
 
-def _both_absorbed(cells: DataFrame) -> DataFrame:
-    """(g, i, j, s): second moments of y and the numbers after both factors are taken out, by conjugate gradients."""
-    means = cells.groupBy("g", "a").agg(*[(F.sum(f"s_{v}") / F.sum("one")).alias(f"m_{v}") for v in _VARIABLES])
+def _both_absorbed(cells: DataFrame, rounding: float, patience: int, max_steps: int) -> tuple[DataFrame, DataFrame]:
+    """((g, i, j, s), (g, residual)): second moments of y and the numbers after both factors are taken out, by
+    conjugate gradients preconditioned with the diagonal, and the largest relative residual left."""
+    means = cells.groupBy("g", "a").agg(F.sum("one").alias("of_a"), *[(F.sum(f"s_{v}") / F.sum("one")).alias(f"m_{v}") for v in _VARIABLES])
     rhs = cells.join(means, ["g", "a"]).groupBy("g", "b").agg(
-        *[F.sum(F.col(f"s_{v}") - F.col("one") * F.col(f"m_{v}")).alias(f"r_{v}") for v in _VARIABLES]
+        # A level that shares no level of the other factor has nothing to solve, and no scale.
+        F.sum(F.col("one") - F.col("one") * F.col("one") / F.col("of_a")).alias("own"), F.sum("one").alias("n"),
+        *[F.sum(F.col(f"s_{v}") - F.col("one") * F.col(f"m_{v}")).alias(f"r_{v}") for v in _VARIABLES],
     )
-    state = stored_table(rhs.select("g", "b", *[x for v in _VARIABLES for x in (F.lit(0.0).alias(f"beta_{v}"), F.col(f"r_{v}"), F.col(f"r_{v}").alias(f"p_{v}"))]))
-    size = stored_table(_squares(state.table, "r", "r", "rr"))
+    scale = F.when(F.col("own") > 1e-12 * F.col("n"), 1 / F.col("own")).otherwise(0.0)
+    state = stored_table(rhs.withColumn("scale", scale).select("g", "b", "scale", *[x for v in _VARIABLES for x in (
+        F.lit(0.0).alias(f"beta_{v}"), F.col(f"r_{v}"), (F.col("scale") * F.col(f"r_{v}")).alias(f"p_{v}"))]))
+
+    def sizes(table: DataFrame) -> StoredTable:
+        return stored_table(table.groupBy("g").agg(*[x for v in _VARIABLES for x in (
+            F.sum(F.col(f"r_{v}") * F.col(f"r_{v}")).alias(f"rr_{v}"), F.sum(F.col("scale") * F.col(f"r_{v}") * F.col(f"r_{v}")).alias(f"rz_{v}"))]))
+
+    size = sizes(state.table)
     start = stored_table(size.table.select("g", *[F.col(f"rr_{v}").alias(f"first_{v}") for v in _VARIABLES]))
-    while True:
-        left = start.table.join(size.table, "g").agg(
-            F.max(F.greatest(*[F.coalesce(F.try_divide(f"rr_{v}", f"first_{v}"), F.lit(0.0)) for v in _VARIABLES]))
-        ).first()[0]
-        if left is None or left < 1e-24:
+    share = F.greatest(*[F.coalesce(F.try_divide(f"rr_{v}", f"first_{v}"), F.lit(0.0)) for v in _VARIABLES])
+    best, waited = float("inf"), 0
+    for _ in range(max_steps):
+        left = start.table.join(size.table, "g").agg(F.max(share)).first()[0]
+        waited = 0 if left is not None and left < 0.99 * best else waited + 1
+        if left is None or left < rounding or waited >= patience:
             break
+        best = min(best, left)
         q = stored_table(_level_sums(cells, state.table.select("g", "b", *[f"p_{v}" for v in _VARIABLES])).join(state.table, ["g", "b"]))
         pq = _squares(q.table, "p", "q", "pq")
         step = q.table.join(size.table, "g").join(pq, "g")
-        rate = {v: F.coalesce(F.try_divide(f"rr_{v}", f"pq_{v}"), F.lit(0.0)) for v in _VARIABLES}
-        moved = stored_table(step.select("g", "b", *[x for v in _VARIABLES for x in (
+        rate = {v: F.coalesce(F.try_divide(f"rz_{v}", f"pq_{v}"), F.lit(0.0)) for v in _VARIABLES}
+        moved = stored_table(step.select("g", "b", "scale", *[x for v in _VARIABLES for x in (
             (F.col(f"beta_{v}") + rate[v] * F.col(f"p_{v}")).alias(f"beta_{v}"), (F.col(f"r_{v}") - rate[v] * F.col(f"q_{v}")).alias(f"r_{v}"), F.col(f"p_{v}"))]))
-        after = stored_table(_squares(moved.table, "r", "r", "rr"))
-        before = size.table.select("g", *[F.col(f"rr_{v}").alias(f"old_{v}") for v in _VARIABLES])
-        turned = moved.table.join(after.table, "g").join(before, "g").select("g", "b", *[x for v in _VARIABLES for x in (
-            F.col(f"beta_{v}"), F.col(f"r_{v}"), (F.col(f"r_{v}") + F.coalesce(F.try_divide(f"rr_{v}", f"old_{v}"), F.lit(0.0)) * F.col(f"p_{v}")).alias(f"p_{v}"))])
+        after = sizes(moved.table)
+        before = size.table.select("g", *[F.col(f"rz_{v}").alias(f"old_{v}") for v in _VARIABLES])
+        turned = moved.table.join(after.table.select("g", *[f"rz_{v}" for v in _VARIABLES]), "g").join(before, "g").select("g", "b", "scale", *[x for v in _VARIABLES for x in (
+            F.col(f"beta_{v}"), F.col(f"r_{v}"), (F.col("scale") * F.col(f"r_{v}") + F.coalesce(F.try_divide(f"rz_{v}", f"old_{v}"), F.lit(0.0)) * F.col(f"p_{v}")).alias(f"p_{v}"))])
         following = stored_table(turned)
         for old in (state, size, q, moved):
             old.delete()
         state, size = following, after
+    residual = start.table.join(size.table, "g").select("g", F.sqrt(share).alias("residual"))
     fitted = cells.join(state.table, ["g", "b"])
     alpha = fitted.groupBy("g", "a").agg(*[(F.sum(F.col(f"s_{v}") - F.col("one") * F.col(f"beta_{v}")) / F.sum("one")).alias(f"alpha_{v}") for v in _VARIABLES])
     whole = fitted.join(alpha, ["g", "a"])
@@ -105,7 +123,7 @@ def _both_absorbed(cells: DataFrame) -> DataFrame:
     for p, q in [("x", "x"), ("x", "y"), ("x", "z"), ("y", "y"), ("y", "z"), ("z", "z")]:
         s = F.col(f"s_{p}{q}") - F.col(f"s_{p}") * f[q] - F.col(f"s_{q}") * f[p] + F.col("one") * f[p] * f[q]
         moments.append(F.struct(F.lit(p).alias("i"), F.lit(q).alias("j"), F.sum(s).alias("s")))
-    return whole.groupBy("g").agg(F.array(*moments).alias("m")).select("g", F.explode("m").alias("c")).select("g", "c.*")
+    return whole.groupBy("g").agg(F.array(*moments).alias("m")).select("g", F.explode("m").alias("c")).select("g", "c.*"), residual
 
 
 def _levels_less_parts(cells: DataFrame) -> DataFrame:
@@ -118,9 +136,10 @@ def _levels_less_parts(cells: DataFrame) -> DataFrame:
 
 
 def factor_regression(
-    df: DataFrame, y: str, absorbed: str, factor: str, number: str, flag: str, by: Sequence[str] = (), dense_levels: int = DENSE_LEVELS
+    df: DataFrame, y: str, absorbed: str, factor: str, number: str, flag: str, by: Sequence[str] = (), dense_levels: int = DENSE_LEVELS,
+    rounding: float = ROUNDING, patience: int = PATIENCE, max_steps: int = MAX_STEPS,
 ) -> DataFrame:
-    """n, rank, R², adjusted R², F and its p-value of the full model per segment."""
+    """n, rank, R², adjusted R², F, its p-value and the solver's residual (0 where it is solved at once) per segment."""
     by = list(by)
     filled = df.na.drop(subset=[y, absorbed, factor, number, flag])
     counted = filled.groupBy(*by).agg(F.count_distinct(absorbed).alias("a"), F.count_distinct(factor).alias("b")).agg(F.max("a"), F.max("b")).first()
@@ -155,8 +174,9 @@ def factor_regression(
     if min(levels_a, levels_b) > dense_levels:
         cells = stored_table(by_level.select(_segment(by).alias("g"), "*")).table
         own = [F.col(f"g.{c}").alias(c) for c in by]
-        within = stored_table(_both_absorbed(cells).select(*own, "i", "j", "s")).table
-        level_count = _levels_less_parts(cells).select(*own, "levels")
+        moments, residual = _both_absorbed(cells, rounding, patience, max_steps)
+        within = stored_table(moments.select(*own, "i", "j", "s")).table
+        level_count = _levels_less_parts(cells).join(residual, "g").select(*own, "levels", "residual")
         return _finish(whole, level_count, within, by, df)
     cell = lambda i, j, s: F.struct(i.alias("i"), j.alias("j"), s.alias("s"))
     moments = by_level.select(
@@ -188,7 +208,7 @@ def factor_regression(
     )
     ordered = moments.select(*by, F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "s")
     within = ordered.unionByName(between).groupBy(*by, "i", "j").agg(F.sum("s").alias("s"))
-    level_count = by_level.groupBy(*by).agg(F.count_distinct("a").alias("levels"))
+    level_count = by_level.groupBy(*by).agg(F.count_distinct("a").alias("levels"), F.lit(0.0).alias("residual"))
     return _finish(whole, level_count, within, by, df)
 
 
@@ -210,10 +230,10 @@ def _finish(whole: DataFrame, level_count: DataFrame, within: DataFrame, by: lis
         table = fitted.withColumns(
             {
                 "whole": whole.select(F.struct("n", "tss")).scalar(),
-                "levels": level_count.scalar(),
+                "found": level_count.select(F.struct("levels", "residual")).scalar(),
                 "inner_tss": inner_total.scalar(),
             }
-        ).select("inner_rank", "inner_ess", "whole.*", "levels", "inner_tss")
+        ).select("inner_rank", "inner_ess", "whole.*", "found.*", "inner_tss")
     model_df = F.col("levels") - 1 + F.col("inner_rank")
     resid_df = F.col("n") - 1 - model_df
     rss = F.greatest(F.col("inner_tss") - F.col("inner_ess"), F.lit(0.0))
@@ -224,6 +244,6 @@ def _finish(whole: DataFrame, level_count: DataFrame, within: DataFrame, by: lis
         .withColumn("adj_r2", 1 - (1 - F.col("r2")) * F.try_divide(F.col("n") - 1, F.col("resid_df")))
         .withColumn("f_stat", F.try_divide(F.try_divide("r2", "model_df"), F.try_divide(1 - F.col("r2"), F.col("resid_df"))))
         .withColumn("f_p", f_p(F.col("f_stat"), F.col("model_df").cast("double"), F.col("resid_df").cast("double")))
-        .select(*by, "n", "model_df", "resid_df", "r2", "adj_r2", "f_stat", "f_p")
+        .select(*by, "n", "model_df", "resid_df", "r2", "adj_r2", "f_stat", "f_p", "residual")
     )
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.tails import chi2_p, f_p, rank_sum_p, student_p
@@ -170,6 +170,21 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str], width: float | None
     return join_by(boxes, spread, by)
 
 
+def box_outliers(df: DataFrame, value: str, by: Sequence[str], width: float | None = None, limit: int = 5) -> DataFrame:
+    """The values beyond the whiskers' reach: per group and side the ``limit`` most extreme, with how many rows hold each."""
+    from tidemark.operators.ranks import quantile
+
+    ranked = ranked_values(df, value, by, width)
+    quartiles = ranked.groupBy(*by).agg(quantile(0.25).alias("q1"), quantile(0.75).alias("q3"))
+    reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
+    side = F.when(F.col("value") < F.col("q1") - reach, "low").when(F.col("value") > F.col("q3") + reach, "high")
+    far = join_by(ranked.select(*by, "value", "n"), quartiles, by).withColumn("side", side).where(F.col("side").isNotNull())
+    beyond = F.when(F.col("side") == "low", -F.col("value")).otherwise(F.col("value"))
+    # A task hands on at most ``limit`` values a group and side.
+    place = Window.partitionBy(*by, "side").orderBy(beyond.desc())
+    return far.withColumn("place", F.row_number().over(place)).where(F.col("place") <= limit).select(*by, "side", "place", "value", F.col("n").alias("rows"))
+
+
 __all__ = [
-    "box_stats", "f_p", "group_breakdown", "kruskal_wallis", "linear_trend", "sample_std", "spearman", "two_arm_tests",
+    "box_outliers", "box_stats", "f_p", "group_breakdown", "kruskal_wallis", "linear_trend", "sample_std", "spearman", "two_arm_tests",
 ]
