@@ -47,6 +47,11 @@ def count_values(df: DataFrame, value: Column | str, by: Sequence[str] = ()) ->
     )
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    """The planner's estimate. It only decides whether buckets are looked at, which no result depends on."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def _edges_below(edges: Column, value: Column) -> Column:
     """How many of the sorted edges are no larger than the value, by bisection."""
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(_EDGES.bit_length() + 2))])
@@ -54,13 +59,16 @@ def _edges_below(edges: Column, value: Column) -> Column:
 
 
 def _bucketed(counts: DataFrame, by: list[str], width: float | None) -> DataFrame:
-    """Adds ``bucket``, which grows with the value and holds at most ``ONE_BUCKET_LIMIT`` values, unless ``width`` is given.
+    """Adds ``bucket``, which grows with the value and holds at most ``ONE_BUCKET_LIMIT`` values, unless ``width`` is given
+    or the planner takes the whole table for smaller than that.
 
     A bucket is the path of its places, level by level: only buckets over the limit are cut again, so the depth
     follows the data, and a level costs one pass over the stored (segment, value) table and one number on the driver.
     """
     if width is not None:
         return counts.withColumn("bucket", F.floor(F.col("value") / F.lit(width)))
+    if _estimated_bytes(counts) <= 16 * ONE_BUCKET_LIMIT:  # a value and its count: nothing to cut, so nothing is computed ahead
+        return counts.withColumn("bucket", F.lit(0))
     placed, level = stored_table(counts.withColumn("bucket", F.array().cast("array<int>"))), 0
     while True:
         full = placed.table.groupBy(*by, "bucket").agg(F.count("*").alias("d")).where(F.col("d") > ONE_BUCKET_LIMIT)
