@@ -31,7 +31,7 @@ d AS (SELECT doc_id, source, coalesce(text, '') AS t, md5('23|' || coalesce(CAST
 b AS (SELECT doc_id, source, digest, octet_length(encode(t)) + 8 AS size,
   xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: CAST('0x' || h AS BIGINT))), lambda c, v: xor(crcs[(xor(c, v) & 255) + 1], c >> 8)), 4294967295) AS crc FROM d, tab),
 r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY digest, doc_id NULLS FIRST) - 1 AS rank, count(*) OVER (PARTITION BY source) AS n FROM b),
-p AS (SELECT *, row_number() OVER (ORDER BY CAST(2 * rank + 1 AS DOUBLE) / (2 * n), source NULLS FIRST, digest, doc_id NULLS FIRST) - 1 AS place, count(*) OVER () AS total FROM r)
+p AS (SELECT *, row_number() OVER (ORDER BY (rank + CAST('0x' || substr(md5(coalesce('23|=' || source, '23|-')), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE) / n, source NULLS FIRST, digest, doc_id NULLS FIRST) - 1 AS place, count(*) OVER () AS total FROM r)
 SELECT doc_id, CAST(size AS BIGINT) AS size, crc AS text_crc32, 'rows' AS law, CAST(place * 24 // total AS INT) AS shard,
   CAST(place - (place * 24 // total * total + 23) // 24 AS BIGINT) AS slot, CAST(NULL AS INT) AS grown_shard FROM p"""
 
