@@ -151,6 +151,15 @@ def test_packing_round_trip(docs):
 # --- sharding ---
 
 
+def test_sources_of_one_row_lie_evenly(spark):
+    """A source for each of 50,000 rows beside one large source: no bucket of the order is hot, shards stay level and mixed."""
+    rows = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.when(F.col("id") < 50_000, F.concat(F.lit("host"), F.col("id"))).otherwise("large").alias("source"))
+    starts = rows.where("doc_id < 50000").select(F.floor(sharding.source_start(23, "source") * 64).alias("b")).groupBy("b").count().collect()
+    assert len(starts) == 64 and max(r["count"] for r in starts) < 2 * 50_000 / 64
+    per = sharding.shard_documents(rows).groupBy("shard").agg(F.count("*").alias("n"), F.count_if(F.col("source") == "large").alias("large")).collect()
+    assert len(per) == 24 and all(r.n == 2500 and abs(r.large - 10_000 / 24) < 40 for r in per)
+
+
 def test_shards_are_level_and_match_the_mixture(docs):
     rows = sharding.shard_documents(docs, shards=7).collect()
     want = Counter((d, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t, *_ in corpus())
@@ -289,6 +298,20 @@ def test_every_occurrence_of_a_disclosing_term_goes(spark):
     assert beside[103] == clean[103] and beside[200] == "zarvin? no"
 
 
+def test_terms_that_are_joined_give_the_same_spans(spark):
+    """With ``limit=0`` no term travels with the function; copies, NULL and empty texts and clashing columns among the rows."""
+    rows = [*pii_rows(), (303, "ZARVIN, (zarvin) and xzarvin"), (304, "lonely zarvin"), (304, "lonely zarvin")]
+    df = spark.createDataFrame([(*r, "kept", 7) for r in rows], "doc_id long, text string, terms string, h long").repartition(4)
+    for everywhere in (True, False):
+        sent = sorted(pii.report(df, everywhere=everywhere, threshold=0.7).collect(), key=str)
+        assert sorted(pii.report(df, everywhere=everywhere, threshold=0.7, limit=0).collect(), key=str) == sent
+        clean = pii.sanitise(df, everywhere=everywhere, threshold=0.7, limit=0)
+        assert clean.columns == df.columns
+        assert sorted(clean.collect(), key=str) == sorted(pii.sanitise(df, everywhere=everywhere, threshold=0.7).collect(), key=str)
+    joined = {r.doc_id: r.text for r in pii.sanitise(df, everywhere=True, limit=0, threshold=0.7).collect()}
+    assert joined[303] == "[TERM], ([TERM]) and xzarvin" and joined[304] == "lonely [TERM]" and joined[300] is None
+
+
 def test_unique_values_are_protected_by_their_classes(spark):
     """Every address and number stands in one text only; 'quellmark' comes with its domain, 'dialix' with phone numbers."""
     rows = [(i, f"common note {i} about filler text") for i in range(60)]

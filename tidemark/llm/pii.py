@@ -18,8 +18,9 @@ Most values stand in one or two texts and never reach the support. So classes ar
 all documents: the kind, and an e-mail's domain, an address's network (three numbers), a card's first six and a
 phone number's first five digits. A term that gives such a class away is generalised like any other.
 
-Digests stand for terms and entities (64 bits) and for texts (128 bits). Texts are read three times and never
-shuffled; the disclosing terms, 8 bytes each, go over the driver to the workers.
+Digests stand for terms and entities (64 bits) and for texts (128 bits). Texts are read three times. Up to
+``SENT_TERMS`` disclosing terms, 8 bytes each, travel with the function that rewrites; more of them are joined to the
+digests of the texts that hold them, as are terms that go only beside their entity. Both ways give the same spans.
 
 Defined results: NULL and empty texts have no spans; spans of one kind don't overlap, spans of several kinds
 may, and rewriting merges them under the first kind; equal texts get equal spans; rows are kept as they are.
@@ -33,14 +34,16 @@ from collections.abc import Iterator
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD_PATTERN, map_rows, small_batches, stored
+from tidemark.llm.common import WORD_PATTERN, map_rows, small_batches, stored, whole_row
 
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT = 3
 THRESHOLD = 0.8
+#: Disclosing terms that are sent with the function; beyond it they are joined.
+SENT_TERMS = 100_000
 EMAIL, IP, CARD, PHONE = KINDS
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -153,10 +156,15 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     return stored(map_rows(narrow, rows, "text_key string, entities array<long>, terms array<long>"))
 
 
+def _term_digests(text: str) -> Column:
+    """The digests of a text's words without their edges, as :func:`_digest` gives them."""
+    plain = F.translate(F.col(text), string.ascii_uppercase, string.ascii_lowercase)
+    return F.transform(F.regexp_extract_all(plain, F.lit(WORD_PATTERN), F.lit(0)), lambda w: F.xxhash64(F.btrim(w, F.lit(_EDGES))))
+
+
 def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(term, n_term): documents with each term, folded on the map side."""
-    plain = F.translate(F.col(text), string.ascii_uppercase, string.ascii_lowercase)
-    words = F.transform(F.regexp_extract_all(plain, F.lit(WORD_PATTERN), F.lit(0)), lambda w: F.xxhash64(F.btrim(w, F.lit(_EDGES))))
+    words = _term_digests(text)
     return docs.select(F.explode(F.array_distinct(words)).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
 
 
@@ -175,35 +183,52 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, text: str = "text", supp
     return stored(scored.where(F.col("disclosure") >= threshold).select("entity", "term", "disclosure"))
 
 
-def _marker(disclosing: DataFrame, everywhere: bool):
-    """A function (text, base spans) -> [(start, end)] of the disclosing terms."""
+def _few(terms: DataFrame, limit: int) -> frozenset[int] | None:
+    """The terms, if there are at most ``limit`` of them: what the driver fetches is bounded by it."""
+    held = terms.limit(limit + 1).toPandas()["term"].tolist()
+    return frozenset(map(int, held)) if len(held) <= limit else None
+
+
+def _marked(docs: DataFrame, text: str, everywhere: bool, limit: int, support: int, threshold: float) -> tuple[DataFrame, frozenset[int]]:
+    """``docs`` as (row, t, terms), and the terms that hold for every row.
+
+    Up to ``limit`` disclosing terms travel with the function. More of them, and terms that go only beside the
+    entity they give away, are joined to the texts that hold them: (text's digest, its terms), one row a text.
+    """
+    found = scan(docs, text)
+    disclosing = disclosing_terms(docs, found, text, support, threshold)
+    row = docs.select(whole_row(docs).alias("row"), F.col(f"`{text}`").alias("t"))
     if everywhere:
-        by_term = dict.fromkeys(disclosing.select("term").distinct().toPandas()["term"].tolist())
+        terms = disclosing.select("term").distinct()
+        few = _few(terms, limit)
+        if few is not None:
+            return row.withColumn("terms", F.lit(None).cast("array<long>")), few
+        held = docs.select(F.md5(text).alias("h"), F.explode(F.array_distinct(_term_digests(text))).alias("term")).distinct()
+        pairs = held.join(terms, "term", "left_semi")
     else:
-        by_term = {}
-        for entity, term in disclosing.select("entity", "term").toPandas().itertuples(index=False):
-            by_term.setdefault(int(term), set()).add(int(entity))
-
-    def mark(text: str | None, spans: list, seen: dict[str, int]) -> list[tuple[int, int]]:
-        """``seen`` keeps the digests of words met before."""
-        if not text or not by_term or not (spans or everywhere):
-            return []
-        here = None if everywhere else entity_digests(text, spans)
-        out = []
-        for s, e in outside(text, spans):
-            raw = text[s:e]
-            digest = seen.get(raw)
-            if digest is None:
-                if len(seen) > 200_000:
-                    seen.clear()
-                term = _term(raw)
-                digest = seen[raw] = _digest(term) if term else 0
-            if digest in by_term and (everywhere or not here.isdisjoint(by_term[digest])):
-                left = len(raw) - len(raw.lstrip(_EDGES))
-                out.append((s + left, s + left + len(raw.strip(_EDGES))))
-        return out
-
-    return mark
+        held = found.dropDuplicates(["text_key"]).select(F.col("text_key").alias("h"), "entities", F.explode("terms").alias("term"))
+        pairs = held.join(disclosing, "term").where(F.array_contains("entities", F.col("entity"))).select("h", "term").distinct()
+    marks = pairs.groupBy("h").agg(F.collect_list("term").alias("terms"))
+    return row.withColumn("h", F.md5("t")).join(marks, "h", "left").drop("h"), frozenset()
+
+
+def _mark(text: str | None, spans: list, terms: frozenset[int] | set[int], seen: dict[str, int]) -> list[tuple[int, int]]:
+    """[(start, end)] of the words of ``text`` whose digest is among ``terms``; ``seen`` keeps the digests of words met before."""
+    if not text or not terms:
+        return []
+    out = []
+    for s, e in outside(text, spans):
+        raw = text[s:e]
+        digest = seen.get(raw)
+        if digest is None:
+            if len(seen) > 200_000:
+                seen.clear()
+            term = _term(raw)
+            digest = seen[raw] = _digest(term) if term else 0
+        if digest in terms:
+            left = len(raw) - len(raw.lstrip(_EDGES))
+            out.append((s + left, s + left + len(raw.strip(_EDGES))))
+    return out
 
 
 def rewrite(text: str | None, terms: list | None) -> str | None:
@@ -219,32 +244,42 @@ def rewrite(text: str | None, terms: list | None) -> str | None:
     return "".join([*out, text[at:]])
 
 
-def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", everywhere: bool = False, **settings) -> DataFrame:
+def sanitise(
+    docs: DataFrame, text: str = "text", everywhere: bool = False, limit: int = SENT_TERMS, support: int = SUPPORT, threshold: float = THRESHOLD
+) -> DataFrame:
     """All rows and columns of ``docs``, entities and disclosing terms of ``text`` generalised."""
-    mark = _marker(disclosing_terms(docs, scan(docs, text), text, **settings), everywhere)
+    rows, common = _marked(docs, text, everywhere, limit, support, threshold)
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("string")
-    def rewritten(texts: pd.Series) -> pd.Series:
+    def rewritten(texts: pd.Series, terms: pd.Series) -> pd.Series:
         seen: dict[str, int] = {}
-        return pd.Series([rewrite(t, mark(t, base_spans(t), seen)) if isinstance(t, str) else None for t in texts.tolist()], dtype=object)
+        out = []
+        for t, own in zip(texts.tolist(), terms.tolist()):
+            out.append(rewrite(t, _mark(t, base_spans(t), common if own is None else set(own), seen)) if isinstance(t, str) else None)
+        return pd.Series(out, dtype=object)
 
-    return docs.select(*[(rewritten(F.col(f"`{c}`")) if c == text else F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    changed = rewritten("t", "terms")
+    return rows.select(*[(changed if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
-def report(docs: DataFrame, key: str = "doc_id", text: str = "text", everywhere: bool = False, **settings) -> DataFrame:
+def report(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", everywhere: bool = False, limit: int = SENT_TERMS, support: int = SUPPORT,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
     """(key, the four counts, base, spans) of every row; spans as ``kind:start:end`` lists, ``term`` among them."""
-    mark = _marker(disclosing_terms(docs, scan(docs, text), text, **settings), everywhere)
+    marked, common = _marked(docs.select(F.col(key).alias("k"), F.col(text).alias("t")), "t", everywhere, limit, support, threshold)
     order = {k: i for i, k in enumerate((*KINDS, "term"))}
 
     def rows(batch: dict) -> Iterator[tuple]:
         seen: dict[str, int] = {}
-        for k, t in zip(batch["k"], batch["t"]):
+        for k, t, own in zip(batch["k"], batch["t"], batch["terms"]):
             base = base_spans(t)
-            every = sorted([*base, *((s, e, "term") for s, e in mark(t, base, seen))], key=lambda x: (x[0], order[x[2]], x[1]))
+            terms = common if own is None else set(own)
+            every = sorted([*base, *((s, e, "term") for s, e in _mark(t, base, terms, seen))], key=lambda x: (x[0], order[x[2]], x[1]))
             listed = [",".join(f"{kind}:{s}:{e}" for s, e, kind in spans) for spans in (base, every)]
             yield (k, *[sum(kind == x for _, _, kind in base) for x in KINDS], *listed)
 
     kind = docs.schema[key].dataType.simpleString()
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return map_rows(docs.select(F.col(key).alias("k"), F.col(text).alias("t")), rows, f"{key} {kind}, {counts}, base string, spans string")
+    return map_rows(marked.select(F.col("row.k").alias("k"), "t", "terms"), rows, f"{key} {kind}, {counts}, base string, spans string")
