@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark import vocab
+from tidemark.sources.quoted import OpenQuote, parse_records, read_records
 from tidemark.sources.row_index import with_row_index
 
 # Candidate separators, in order of preference.
@@ -117,6 +118,12 @@ def check_columns(columns: Sequence[str], required: Sequence[str]) -> None:
 REJECT = "_rejected_record"
 
 
+def _fields(record: str, separator: str) -> Column:
+    """How many fields a record's text has."""
+    cells = F.regexp_replace(record, '"[^"]*"', "")
+    return F.length(cells) - F.length(F.replace(cells, F.lit(separator), F.lit(""))) + 1
+
+
 def _groups(spark: SparkSession, paths: list[str], encoding: str | None, separator: str | None, multiline: bool | None, strict: bool) -> list[tuple]:
     """(encoding, separator, multiline, files) of the files that are read together."""
     if encoding and separator:
@@ -147,15 +154,23 @@ def _load(spark: SparkSession, paths: str | Sequence[str], required, validate, e
             check_columns(names, vocab.REQUIRED_COLUMNS if required is None else required)
         if len(set(names)) != len(names):
             raise LoadError(f"repeated column names {names} in {members[0]}")
+        if multi:
+            # The files are split and their records put together again, where no carriage return alone ends a line.
+            try:
+                records = read_records(spark, members, enc, sep)
+            except OpenQuote as error:
+                raise LoadError(str(error)) from error
+            if records is not None:
+                cut = parse_records(records, names, sep)
+                parts.append(cut.select("row_index", *[F.col(f"`{n}`") for n in names], F.when(_fields("record", sep) > len(names), F.col("record")).alias(REJECT)))
+                continue
         schema = StructType([StructField(n, StringType()) for n in [*names, REJECT]])
         # Without column pruning a record is parsed whole, whatever columns are asked for.
         reader = _reader(spark, enc, sep, multi).option("header", True).option("columnNameOfCorruptRecord", REJECT).option("columnPruning", False)
         read = with_row_index(reader.schema(schema).csv(members))
         # A record is set aside for extra fields only; one with fewer has empty cells, as usual.
-        cells = F.regexp_replace(REJECT, '"[^"]*"', "")
-        fields = F.length(cells) - F.length(F.replace(cells, F.lit(sep), F.lit(""))) + 1
         # The reader refuses to give the record's text alone, so a data column takes part in the test.
-        extra = (fields > len(names)) & (F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0)
+        extra = (_fields(REJECT, sep) > len(names)) & (F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0)
         parts.append(read.withColumn(REJECT, F.when(extra, F.col(REJECT))))
     if len(parts) > 1:
         # Groups follow each other: each group's rows start after the largest index before it.
@@ -185,8 +200,9 @@ def load_raw(
     read. With ``strict=False`` they are left out here and are to be had from :func:`load_rejects`.
 
     Giving both ``encoding`` and ``separator`` skips the scan; all files must then share one header. A file
-    with an odd quote in a line is taken to hold line ends in quoted fields, which reads it in one task;
-    ``multiline=False`` says that there are none.
+    with an odd quote in a line is taken to hold line ends in quoted fields; its records are put together from
+    lines (:mod:`tidemark.sources.quoted`), so it is read by many tasks, unless a carriage return alone ends its
+    lines. A quoted field that is never closed raises. ``multiline=False`` says that there are no such line ends.
     """
     table = _load(spark, paths, required, validate, encoding, separator, multiline, strict)
     if not strict:
