@@ -195,6 +195,15 @@ def _enum_records(column: str, aliases: dict[str, str]) -> str:
       FROM cases"""
 
 
+oracle("client_segments_by_rule_table", f"""{BASE}, rules AS (SELECT {tok('c_name')} AS t, min({strip('c_mktsegment')}) AS m FROM customer GROUP BY 1)
+  SELECT row_index, 'client_name' AS column_name, client_name AS raw_value, {tok('client_name')} AS cleaned_token, coalesce(m, client_name) AS normalized_value,
+    m IS NOT NULL AS is_canonical, m IS NULL AS is_unresolved, m IS NOT NULL AND client_name <> m AS was_modified,
+    CASE WHEN m IS NOT NULL THEN format('Normalized client_name ''{{}}'' -> ''{{}}''', client_name, m) ELSE format('Retained unrecognized client_name ''{{}}''', client_name) END AS transformation_reason
+  FROM cases LEFT JOIN rules ON t = {tok('client_name')} AND t <> ''""")
+oracle("part_types_by_shuffled_rules", f"SELECT p_partkey, p_name, min({strip('p_type')}) OVER (PARTITION BY {tok('p_name')}) AS p_type FROM part")
+oracle("rule_conflicts", f"""SELECT {tok('p_name')} AS token, min({strip('p_brand')}) AS chosen, count(DISTINCT {strip('p_brand')}) AS "values"
+  FROM part GROUP BY 1 HAVING count(DISTINCT {strip('p_brand')}) > 1""")
+
 _C, _CM = strip("category"), _map(tok("category"), vocab.CATEGORY_ALIASES)
 _CK = f"{_C} IN ({_list(vocab.CANONICAL_CATEGORIES)})"
 _RECORDS = f"""SELECT row_index, 'category' AS column_name, category AS raw_value, {tok('category')} AS cleaned_token, {_category('category')} AS normalized_value,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import session, vocab
 from tidemark.functions import coerce, dates, text
-from tidemark.operators import audit, cleaning, confidence, date_audit, duplicates, findings, normalize, profile, ranks, regression, rules, stats
+from tidemark.operators import alias_rules, audit, cleaning, confidence, date_audit, duplicates, findings, normalize, profile, ranks, regression, rules, stats
 from tidemark.plans import reports
 from tidemark.plans.cases_view import cases as cases_view
 from tidemark.plans.cases_view import table
@@ -143,6 +143,26 @@ def normalization_records(spark, folder):
     return normalize.normalization_records(_raw(spark, folder))
 
 
+@register
+def client_segments_by_rule_table(spark, folder):
+    """Clients by a table of rules, one rule a customer; the rules' size chooses the way."""
+    rules = alias_rules.alias_rules(table(spark, folder, "customer"), "c_name", "c_mktsegment")
+    return alias_rules.enum_records(_raw(spark, folder), "client_name", rules)
+
+
+@register
+def part_types_by_shuffled_rules(spark, folder):
+    """The same by a shuffle on both sides, hot names answered first; names with several types take the smallest."""
+    parts = table(spark, folder, "part")
+    rules = alias_rules.alias_rules(parts, "p_name", "p_type", strategy="shuffled")
+    return rules.mapped(parts.select("p_partkey", "p_name"), "p_name", "p_type")
+
+
+@register
+def rule_conflicts(spark, folder):
+    return alias_rules.conflicts(table(spark, folder, "part"), "p_name", "p_brand")
+
+
 @register
 def normalization_summary(spark, folder):
     return normalize.normalization_summary(normalize.normalization_records(_raw(spark, folder)))

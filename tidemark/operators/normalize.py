@@ -52,12 +52,16 @@ def normalize_category(
     value: Column | str,
     aliases: dict[str, str] | None = None,
     canonical: list[str] | None = None,
+    mapped: Column | None = None,
 ) -> Normalized:
-    """Blank → ``Uncategorized``; canonical kept; known alias mapped; anything else kept as it is."""
+    """Blank → ``Uncategorized``; canonical kept; known alias mapped; anything else kept as it is.
+
+    ``mapped`` is the token's canonical value where it was looked up before (:mod:`tidemark.operators.alias_rules`).
+    """
     aliases = vocab.CATEGORY_ALIASES if aliases is None else aliases
     canonical = vocab.CANONICAL_CATEGORIES if canonical is None else canonical
     text, key = stripped(value), token(value)
-    mapped = lookup(key, aliases)
+    mapped = lookup(key, aliases) if mapped is None else mapped
     blank, known, has_alias = text == "", text.isin(*canonical), mapped.isNotNull()
     resolved = ~blank & (known | has_alias)
     return Normalized(
@@ -76,12 +80,13 @@ def normalize_category(
 def normalize_enum(
     value: Column | str,
     column: str,
-    aliases: dict[str, str],
+    aliases: dict[str, str] | None = None,
     default: str | None = None,
+    mapped: Column | None = None,
 ) -> Normalized:
-    """Known alias mapped, otherwise ``default`` if given, otherwise the raw value kept."""
+    """Known alias mapped, otherwise ``default`` if given, otherwise the raw value kept; ``mapped`` as for categories."""
     raw, key = filled(value), token(value)
-    mapped = lookup(key, aliases)
+    mapped = lookup(key, aliases or {}) if mapped is None else mapped
     has_alias = mapped.isNotNull()
     if default:
         fallback, changed = F.lit(default), F.lit(True)
