@@ -353,6 +353,14 @@ oracle("profile_customers", f"WITH {_column_profile('customer', ['c_custkey', 'c
 oracle("top_values", f"""{BASE}, cells AS ({_unpivot('cases', COLUMNS, 'row_index')}), c AS (SELECT column_name, value, count(*) AS n FROM cells WHERE NOT {_missing('value')} GROUP BY 1, 2)
   SELECT column_name, value, n, CAST(row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS INT) AS position FROM c
   QUALIFY row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) <= 5""")
+oracle("frequent_cells", ORACLES["top_values"])
+oracle("frequent_document_words", """WITH w AS (SELECT lang, unnest(string_split_regex(text, '[\\x20\\x09-\\x0D]+')) AS word FROM documents),
+  c AS (SELECT lang, word, count(*) AS n FROM w WHERE word <> '' GROUP BY 1, 2)
+  SELECT lang, word, n, CAST(row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS INT) AS position FROM c
+  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= 10""")
+oracle("distinct_by_merged_sketches", f"""WITH cells AS ({_unpivot('events', ['event_id', 'ts', 'user_id', 'event_type', 'value', 'props'], '0')}), m AS (SELECT column_name, count(*) AS total_count,
+    count(*) FILTER ({_missing('value')}) AS missing_count, count(DISTINCT value) FILTER (NOT {_missing('value')}) AS unique_count FROM cells GROUP BY 1)
+  SELECT column_name, total_count, missing_count, round_even(missing_count * 100.0 / total_count, 2) AS missing_percentage, unique_count, true AS within_error FROM m WHERE unique_count > 0""")
 oracle("first_values", f"""{BASE}, cells AS ({_unpivot('cases', COLUMNS, 'row_index')}) SELECT row_index, column_name, value FROM cells WHERE NOT {_missing('value')}
   QUALIFY row_number() OVER (PARTITION BY column_name ORDER BY row_index) <= 5""")
 
@@ -658,6 +666,11 @@ oracle("category_mix_by_month", f"""{FULL}, c AS (SELECT intake_month, category,
   SELECT intake_month, category, cases, round(cases / sum(cases) OVER (PARTITION BY intake_month), 6) AS share FROM c""")
 oracle("sparse_cells", f"{FULL} SELECT category, priority, count(*) AS cases, count(*) < 30 AS too_small FROM closed GROUP BY 1, 2")
 oracle("confidence_scorecard", _scorecard())
+_PUBLISHED = [
+    "quality_score", "anomaly_listing", "column_profile", "cleaning_summary", "audit_summary", "dataset_overview", "lifecycle_funnel", "dispositions", "censoring_by_month", "monthly_trend",
+    "category_spread", "triage_boxes", "category_triage_means", "category_mix_by_month", "sparse_cells", "trend_finding", "driver_finding", "triage_finding", "confidence_scorecard",
+]
+oracle("published_reports", " UNION ALL ".join(f"SELECT '{t}' AS table_name, (SELECT count(*) FROM ({ORACLES[t]})) AS rows" for t in _PUBLISHED))
 oracle("duplicate_report", f"""WITH RECURSIVE fz AS ({ORACLES['fuzzy_duplicates']}),
   ex AS (SELECT first AS index_a, p_partkey AS index_b FROM (SELECT p_partkey, min(p_partkey) OVER (PARTITION BY p_name, p_type, p_brand) AS first FROM part) WHERE p_partkey <> first),
   e AS (SELECT index_a AS a, index_b AS b FROM fz UNION SELECT index_b, index_a FROM fz UNION SELECT index_a, index_b FROM ex UNION SELECT index_b, index_a FROM ex),

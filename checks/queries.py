@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -9,10 +11,11 @@ from pyspark.sql import functions as F
 
 from tidemark import session, vocab
 from tidemark.functions import coerce, dates, text
-from tidemark.operators import alias_rules, audit, cleaning, confidence, date_audit, duplicates, findings, normalize, profile, ranks, regression, rules, stats
+from tidemark.operators import alias_rules, audit, cleaning, confidence, date_audit, duplicates, findings, frequent, normalize, profile, ranks, regression, rules, sketches, stats
 from tidemark.plans import reports
 from tidemark.plans.cases_view import cases as cases_view
 from tidemark.plans.cases_view import table
+from tidemark.sources import bundle
 from tidemark.sources.row_index import with_row_index
 from tidemark.plans.workflow import Assessment, assess
 
@@ -274,6 +277,30 @@ def top_values(spark, folder):
     return profile.top_values(_raw(spark, folder))
 
 
+@register
+def frequent_cells(spark, folder):
+    return frequent.frequent_cells(session.stored_table(_raw(spark, folder)).table)
+
+
+@register
+def frequent_document_words(spark, folder):
+    """The ten words most often found in each language's texts."""
+    docs = table(spark, folder, "documents")
+    words = docs.select("lang", F.explode(F.split("text", "[ \\t-\\r]+")).alias("word")).where(F.col("word") != "")
+    return frequent.frequent_values(words, "word", ["lang"], 10).withColumnRenamed("value", "word")
+
+
+@register
+def distinct_by_merged_sketches(spark, folder):
+    """Events sketched day by day, the days merged; the estimates are held against exact counts."""
+    events = _events(spark, folder)
+    days = session.stored_table(sketches.sketch_profile(events, ["day"])).table
+    found = sketches.estimated_profile(sketches.merge_sketches(days))
+    exact = profile.value_counts(events.drop("day")).groupBy("column_name").agg(F.count("*").alias("unique_count"))
+    near = F.abs(F.col("unique_estimate") - F.col("unique_count")) <= 1 + F.col("unique_count") * 4 * sketches.standard_error()
+    return found.join(exact, "column_name").select("column_name", "total_count", "missing_count", "missing_percentage", "unique_count", near.alias("within_error"))
+
+
 @register
 def first_values(spark, folder):
     return profile.first_values(_raw(spark, folder))
@@ -633,4 +660,15 @@ def sparse_cells(spark, folder):
     return reports.sparse_cells(_closed(spark, folder))
 
 
+@register
+def published_reports(spark, folder):
+    """All report tables staged and published as one run; the rows of the tables read back through its manifest."""
+    session.ensure_checkpoint_dir(spark)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    place = f"{root.rstrip('/')}/reports-{uuid.uuid4().hex}"
+    bundle.publish(spark, _run(spark, folder).stored().tables(), place, "run")
+    counts = [df.agg(F.lit(name).alias("table_name"), F.count("*").alias("rows")) for name, df in bundle.read_bundle(spark, place).items()]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
 __all__ = ["QUERIES", "vocab"]

@@ -6,6 +6,8 @@ counts, top values and cardinality all come from that reduced table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,16 +41,20 @@ def dataset_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def all_cells(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, column_name, value, gone) for each cell of the other columns."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), filled(c).alias("value"), is_missing(c).alias("gone")) for c in _names(df) if c not in by])
+    return df.select(*by, F.explode(cells).alias("c")).select(*by, "c.*")
+
+
+def written_cells(df: DataFrame) -> DataFrame:
+    """(column_name, value) for each cell that is not missing."""
+    return all_cells(df).where(~F.col("gone")).select("column_name", "value")
+
+
 def value_counts(df: DataFrame) -> DataFrame:
     """(column_name, value, n) over the non-missing cells of all columns."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), filled(c).alias("value"), is_missing(c).alias("gone")) for c in _names(df)])
-    return (
-        df.select(F.explode(cells).alias("c"))
-        .select("c.*")
-        .where(~F.col("gone"))
-        .groupBy("column_name", "value")
-        .agg(F.count("*").alias("n"))
-    )
+    return written_cells(df).groupBy("column_name", "value").agg(F.count("*").alias("n"))
 
 
 def top_values(df: DataFrame, limit: int = 5) -> DataFrame:

@@ -8,8 +8,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from tidemark import vocab
-from tidemark.operators import confidence, findings, rules
+from tidemark.operators import confidence, findings, profile, rules
+from tidemark.operators.audit import audit_summary
 from tidemark.operators.cleaning import CleaningResult, clean
+from tidemark.plans import reports
 from tidemark.session import stored_table
 
 
@@ -54,15 +56,15 @@ class Assessment:
         closed = findings.closed_cases(stored_table(cleaned.select(*needed)).table)
         return closed.select(*[c for c in ANALYSIS_COLUMNS if c in closed.columns])
 
-    @property
+    @cached_property
     def trend(self) -> DataFrame:
         return findings.trend_finding(self.closed)
 
-    @property
+    @cached_property
     def drivers(self) -> DataFrame:
         return findings.driver_finding(self.closed)
 
-    @property
+    @cached_property
     def triage(self) -> DataFrame:
         return findings.triage_finding(self.closed)
 
@@ -79,6 +81,38 @@ class Assessment:
             facts.select("final_rows").scalar(),
         )
 
+    def stored(self) -> Assessment:
+        """The same run with its raw rows, rule hits, cleaning and findings stored: many tables read them, none computes them again."""
+        run = Assessment(stored_table(self.raw).table, self.reference_date)
+        run.cleaning = CleaningResult(stored_table(run.cleaning.flagged).table)
+        run.hits = stored_table(run.hits).table
+        run.trend, run.drivers, run.triage = (stored_table(found).table for found in (run.trend, run.drivers, run.triage))
+        return run
+
+    def tables(self) -> dict[str, DataFrame]:
+        """Every report table by name, for ``sources.bundle.publish``; a ``stored`` run is the one to ask."""
+        return {
+            "quality_score": self.quality,
+            "anomaly_listing": rules.anomaly_listing(self.hits),
+            "column_profile": profile.column_profile(self.raw),
+            "cleaning_summary": self.cleaning.summary,
+            "audit_summary": audit_summary(self.cleaning.audit()),
+            "dataset_overview": reports.dataset_overview(self.cleaning, len(self.raw.columns) - 1),
+            "lifecycle_funnel": reports.lifecycle_funnel(self.cleaning),
+            "dispositions": reports.dispositions(self.cleaning),
+            "censoring_by_month": reports.censoring_by_month(self.cleaning.cleaned),
+            "monthly_trend": reports.monthly_trend(self.closed),
+            "category_spread": reports.category_spread(self.closed),
+            "triage_boxes": reports.triage_boxes(self.closed),
+            "category_triage_means": reports.category_triage_means(self.closed),
+            "category_mix_by_month": reports.category_mix_by_month(self.closed),
+            "sparse_cells": reports.sparse_cells(self.closed),
+            "trend_finding": self.trend,
+            "driver_finding": self.drivers,
+            "triage_finding": self.triage,
+            "confidence_scorecard": self.scorecard,
+        }
+
 
 def assess(raw: DataFrame, reference_date: str = vocab.REFERENCE_DATE) -> Assessment:
     return Assessment(raw, reference_date)
