@@ -215,3 +215,19 @@ def test_confounder_by_share(spark):
     turned = crosstab.select("category", F.col("triaged").alias("untriaged"), F.col("untriaged").alias("triaged"))
     cards = [triage_confidence(finding, c, F.lit(90.0), F.lit(100), F.lit(95), by_share=s).first().confounding_penalty for c, s in ((crosstab, False), (crosstab, True), (turned, True))]
     assert cards == [4.0, 0.0, 4.0]
+
+
+def test_entries_are_made_above_the_duplicate_join(spark, rows):
+    """The join carries raw cells and dates; entries are built after it."""
+    raw = rows(case_id=["1", "2", "3"], client_name=["A  b", "a b", "c"], category=["Billing", "Billing", ""], intake_date=["2024-01-02"] * 3, closure_date=["01/05/2024"] * 3)
+    flagged = clean(raw).flagged
+    plan = flagged._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join LeftOuter", 1)
+    assert "WHITESPACE_TRIMMING" in above and "WHITESPACE_TRIMMING" not in below
+    assert [(r.row_index, r.merged_into, r.disposition) for r in flagged.orderBy("row_index").collect()] == [(0, None, "CLEAN"), (1, 0, "MERGED"), (2, None, "CLEAN")]
+    found = [(r.row_index, r.column_name, r.new_value) for r in in_run_order(clean(raw).audit()).collect()]
+    assert (0, "client_name", "A b") in found and (2, "category", "Uncategorized") in found and (1, "RECORD", "MERGED_DUPLICATE") in found
+
+
+def test_huge_methods_are_left_to_split_code(spark):
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
