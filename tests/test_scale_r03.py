@@ -6,6 +6,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import duplicates
 from tidemark.operators.cleaning import clean
 from tidemark.operators.keyed import with_key_counts, with_key_stats
 
@@ -55,3 +56,14 @@ def test_entries_are_counted_without_their_texts(rows):
     assert result.summary.first().modifications == entries > 5
     plan = result.summary._jdf.queryExecution().optimizedPlan().toString()
     assert "WHITESPACE_TRIMMING" not in plan and "transformation_rule" not in plan
+
+
+def test_rows_of_two_alike_groups_are_paired_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(duplicates, "CHUNK_ROWS", 10)
+    names = {0: "north sea trading", 1: "north sea tradings", 2: "quite another name"}
+    data = [(i, names[i % 3 if i < 120 else 0], "x") for i in range(150)] + [(200, None, "x")]
+    df = spark.createDataFrame(data, "row_index long, client_name string, category string")
+    edges = duplicates.fuzzy_duplicates(df).withColumn("p", F.spark_partition_id()).collect()
+    left, right = [i for i, n, _ in data if n == names[0]], [i for i, n, _ in data if n == names[1]]
+    assert sorted((e.index_a, e.index_b) for e in edges) == sorted((min(a, b), max(a, b)) for a in left for b in right)
+    assert len({e.p for e in edges}) > 3

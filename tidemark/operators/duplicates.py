@@ -24,6 +24,8 @@ COMPANION_THRESHOLD = 70.0
 NORMALIZED_KEYS = ["client_name", "category", "intake_date", "closure_date"]
 GRAM_BUCKETS = 65_536
 SALT_ROWS = 20_000
+#: Rows of a group that are paired in one go; two chunks make some four million pairs.
+CHUNK_ROWS = 2_000
 
 
 def _star_edges(rows: DataFrame, match_type: str, fields: Sequence[str]) -> DataFrame:
@@ -183,19 +185,29 @@ def fuzzy_group_pairs(
 def fuzzy_duplicates(
     df: DataFrame, name: str = "client_name", companion: str | None = "category", threshold: float = DEFAULT_THRESHOLD
 ) -> DataFrame:
-    """Row-level fuzzy edges, smaller index first. As large as the answer itself; see :func:`fuzzy_links`."""
+    """Row-level fuzzy edges, smaller index first. As large as the answer itself; see :func:`fuzzy_links`.
+
+    A group's rows lie in chunks of some ``CHUNK_ROWS`` by digest. Pairs of chunks, not of rows, are joined and dealt to
+    all tasks; unfolding two chunks is a loop, so no row of the answer passes a join, a sort or a shuffle.
+    """
     pairs = fuzzy_group_pairs(df, name, companion, threshold)
     rows = named_rows(df, name, companion).select("row_index", "group_key")
-    # Lanes keep the rows of a hot group, on either side, in many tasks; a pair of groups repeats per pair of lanes.
-    def lanes(rows_of: str) -> Column:
-        return F.sequence(F.lit(0), F.ceil(F.col(rows_of) / F.lit(float(SALT_ROWS))).cast("int") - 1)
-
-    left = pairs.withColumn("lane_a", F.explode(lanes("rows_a"))).withColumn("lane_b", F.explode(lanes("rows_b")))
-    sized = with_key_stats(rows, "group_key", {}, min_rows=1)
-    own = F.pmod(F.xxhash64("row_index"), F.ceil(F.col("key_rows") / F.lit(float(SALT_ROWS)))).cast("int")
-    side_a = sized.select(F.col("row_index").alias("row_a"), F.col("group_key").alias("group_key_a"), own.alias("lane_a"))
-    side_b = sized.select(F.col("row_index").alias("row_b"), F.col("group_key").alias("group_key_b"), own.alias("lane_b"))
-    edges = left.join(side_a, ["group_key_a", "lane_a"]).join(side_b, ["group_key_b", "lane_b"])
+    sizes = pairs.select(F.col("group_key_a").alias("of"), F.col("rows_a").alias("n")).union(pairs.select("group_key_b", "rows_b")).distinct()
+    many = F.ceil(F.col("n") / F.lit(float(CHUNK_ROWS))).cast("int")
+    chunks = (
+        rows.join(sizes, F.col("group_key") == F.col("of"))
+        .groupBy("group_key", F.pmod(F.xxhash64("row_index"), many).cast("int").alias("chunk"))
+        .agg(F.collect_list("row_index").alias("rows"))
+    )
+    lanes = lambda n: F.explode(F.sequence(F.lit(0), F.ceil(F.col(n) / F.lit(float(CHUNK_ROWS))).cast("int") - 1))
+    met = pairs.select("group_key_a", "group_key_b", "rows_b", "similarity_score", lanes("rows_a").alias("chunk_a"))
+    met = met.select("group_key_a", "group_key_b", "similarity_score", "chunk_a", lanes("rows_b").alias("chunk_b"))
+    side = lambda tag: chunks.select(F.col("group_key").alias(f"group_key_{tag}"), F.col("chunk").alias(f"chunk_{tag}"), F.col("rows").alias(f"list_{tag}"))
+    both = met.join(side("a"), ["group_key_a", "chunk_a"]).join(side("b"), ["group_key_b", "chunk_b"])
+    # By number, so that adaptive execution doesn't put pairs of chunks, which are small themselves, into one task.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = both.repartition(tasks, "group_key_a", "chunk_a", "group_key_b", "chunk_b")
+    edges = dealt.select("similarity_score", "list_b", F.explode("list_a").alias("row_a")).select("similarity_score", "row_a", F.explode("list_b").alias("row_b"))
     return edges.select(
         F.least("row_a", "row_b").alias("index_a"),
         F.greatest("row_a", "row_b").alias("index_b"),
