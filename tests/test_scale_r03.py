@@ -6,7 +6,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import duplicates
+from tidemark.operators import duplicates, profile
 from tidemark.operators.cleaning import clean
 from tidemark.operators.keyed import with_key_counts, with_key_stats
 
@@ -67,3 +67,15 @@ def test_rows_of_two_alike_groups_are_paired_by_many_tasks(spark, monkeypatch):
     left, right = [i for i, n, _ in data if n == names[0]], [i for i, n, _ in data if n == names[1]]
     assert sorted((e.index_a, e.index_b) for e in edges) == sorted((min(a, b), max(a, b)) for a in left for b in right)
     assert len({e.p for e in edges}) > 3
+
+
+def test_only_columns_that_may_be_dates_are_read_as_dates(rows, monkeypatch):
+    data = {"when": ["2024-01-02"] * 8, "late": ["2024-01-02"] * 7 + ["soon"], "note": ["soon"] + ["2024-01-02"] * 7, "gone": [""] * 8}
+    for look in (1, 1000):  # however many rows are looked at first
+        monkeypatch.setattr(profile, "_FIRST_LOOK", look)
+        read, parse = [], profile.parse_date
+        monkeypatch.setattr(profile, "parse_date", lambda c: read.append(c) or parse(c))
+        got = {r.column_name: r.inferred_type for r in profile.column_profile(rows(**data).coalesce(1)).collect()}
+        monkeypatch.setattr(profile, "parse_date", parse)
+        assert got == {"when": "datetime", "late": "categorical", "note": "categorical", "gone": "empty"}
+        assert "when" in read[4:] and "note" not in read[4:]
