@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import random
+import re
 from contextlib import contextmanager
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import duplicates, profile
+from tidemark.operators import duplicates, profile, regression
 from tidemark.operators.cleaning import clean
 from tidemark.operators.keyed import with_key_counts, with_key_stats
 
@@ -79,3 +82,57 @@ def test_only_columns_that_may_be_dates_are_read_as_dates(rows, monkeypatch):
         monkeypatch.setattr(profile, "parse_date", parse)
         assert got == {"when": "datetime", "late": "categorical", "note": "categorical", "gone": "empty"}
         assert "when" in read[4:] and "note" not in read[4:]
+
+
+def _lines(seed=5, rows=600):
+    """Levels of two factors, one of them hot, in two segments of which one is NULL."""
+    rng = random.Random(seed)
+    return [(rng.choice(["u", None]), rng.choice([7, rng.randrange(30)]), rng.randrange(20), rng.randrange(9), rng.random() < 0.5, rng.gauss(5, 2)) for _ in range(rows)]
+
+
+LINES = "seg string, a long, b long, x int, z boolean, y double"
+
+
+@pytest.mark.parametrize("by", [[], ["seg"]])
+def test_steps_of_the_solver_leave_the_cells_where_they_are(spark, monkeypatch, by):
+    plans, step = [], regression._level_sums
+
+    def seen(*given):
+        sums = step(*given)
+        plans.append(sums._jdf.queryExecution().executedPlan().toString())
+        return sums
+
+    monkeypatch.setattr(regression, "_level_sums", seen)
+    df = spark.createDataFrame(_lines(), LINES)
+    with settings(spark, **SHUFFLED):
+        got = regression.factor_regression(df, "y", "a", "b", "x", "z", by, dense_levels=4, max_steps=2).collect()
+    assert len(got) == 1 + len(by) and plans
+    for plan in plans:  # what stands below InMemoryRelation has run already, before the first step
+        exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan.split("InMemoryRelation")[0])
+        assert len(exchanges) == 1 and not re.search(r"\ba#", exchanges[0])
+
+
+@pytest.mark.parametrize("by", [[], ["seg"]])
+def test_two_factors_are_solved_alike_where_levels_are_shuffled(spark, monkeypatch, by):
+    df = spark.createDataFrame([*_lines(), ("u", None, 1, 1, True, 1.0), ("u", 1, 2, 3, None, 1.0)], LINES)
+    exact = {r[0] if by else None: r for r in regression.factor_regression(df, "y", "a", "b", "x", "z", by).collect()}
+    monkeypatch.setattr(regression, "BROADCAST_LEVELS", 0)
+    monkeypatch.setattr(regression, "CELLS_A_TASK", 100)
+    got = {r[0] if by else None: r for r in regression.factor_regression(df, "y", "a", "b", "x", "z", by, dense_levels=4).collect()}
+    assert got.keys() == exact.keys()
+    for g, r in got.items():
+        assert (r.n, r.model_df, r.resid_df) == (exact[g].n, exact[g].model_df, exact[g].resid_df)
+        assert r.residual < 1e-9 and r.r2 == pytest.approx(exact[g].r2, rel=1e-9)
+
+
+@pytest.mark.parametrize("sent", [True, False])
+def test_connected_parts_of_levels_are_counted_without_shuffling_cells(spark, sent):
+    """A path, whose ends are far apart, a star around a high level, and single pairs, under shuffled numbers."""
+    rng = random.Random(3)
+    path = [(f"p{i}", i + j) for i in range(60) for j in (0, 1)]
+    star = [(f"s{i}", b) for i in range(20) for b in (100 + i, 999)]
+    data = [(0, a, b) for a, b in path + star + [("x", 500), ("y", 501), ("y", 502)]]
+    number = dict(zip(sorted({b for *_, b in data}), rng.sample(range(1000), 200)))
+    cells = spark.createDataFrame([(g, a, number[b]) for g, a, b in data], "g int, a string, b long").repartition(3, "a")
+    levels = len({a for _, a, _ in data}) + len({b for *_, b in data})
+    assert [tuple(r) for r in regression._levels_less_parts(cells, [], sent).collect()] == [(0, levels - 4)]
